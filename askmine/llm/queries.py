@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from askmine.llm import bpe, simhash
+from askmine.llm import bpe, simhash, substring_dedup, suffix_dedup
 from askmine.llm.base import table
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
@@ -25,8 +25,20 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op4_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", (F.size("spans") / 2).cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = substring_dedup.remove_repeated_windows(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op3_simhash": op3_simhash,
+    "op4_suffix_array": op4_suffix_array,
+    "op8_substring": op8_substring,
 }
 ORACLES: dict[str, str] = {}
