@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from askmine.llm import bpe, simhash, substring_dedup, suffix_dedup
+from askmine.llm import bpe, decontaminate, simhash, substring_dedup, suffix_dedup
 from askmine.llm.base import table
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
@@ -35,10 +35,17 @@ def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op10_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    ids = F.sha2(F.concat_ws(",", "items").cast("binary"), 256)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), ids.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op3_simhash": op3_simhash,
     "op4_suffix_array": op4_suffix_array,
     "op8_substring": op8_substring,
+    "op10_fm_index": op10_fm_index,
 }
 ORACLES: dict[str, str] = {}
