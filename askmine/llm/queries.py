@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from askmine.llm import bpe, decontaminate, simhash, substring_dedup, suffix_dedup
+from askmine.llm import bpe, decontaminate, hilbert, repetition, simhash, substring_dedup, suffix_dedup
 from askmine.llm.base import table
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
@@ -30,6 +30,16 @@ def op4_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_bytes", "n_removed", (F.size("spans") / 2).cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = repetition.judge(repetition.measure(table(spark, sf_dir, "documents")))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_covered", "longest")
+
+
+def op7_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = hilbert.shards(table(spark, sf_dir, "documents"))
+    return dealt.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "place")
+
+
 def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = substring_dedup.remove_repeated_windows(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -45,6 +55,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op3_simhash": op3_simhash,
     "op4_suffix_array": op4_suffix_array,
+    "op6_repetition": op6_repetition,
+    "op7_hilbert": op7_hilbert,
     "op8_substring": op8_substring,
     "op10_fm_index": op10_fm_index,
 }
