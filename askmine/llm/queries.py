@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from askmine.llm import bpe, decontaminate, hilbert, repetition, simhash, substring_dedup, suffix_dedup
+from askmine.llm import bpe, decontaminate, hilbert, quality, repetition, simhash, substring_dedup, suffix_dedup
 from askmine.llm.base import table
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
@@ -45,6 +45,15 @@ def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def _remainder(of: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(of))
+
+
+def op9_fourier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), learn=_remainder(4) != 2)
+    return scored.select("doc_id", (_remainder(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op10_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     ids = F.sha2(F.concat_ws(",", "items").cast("binary"), 256)
@@ -58,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_repetition": op6_repetition,
     "op7_hilbert": op7_hilbert,
     "op8_substring": op8_substring,
+    "op9_fourier": op9_fourier,
     "op10_fm_index": op10_fm_index,
 }
 ORACLES: dict[str, str] = {}
