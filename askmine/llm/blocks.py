@@ -19,19 +19,25 @@ NULL_KEY = np.iinfo(np.int64).min
 MIX_A, MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
-def blocked(docs: DataFrame, key: str, text: str, block_bytes: int) -> tuple[DataFrame, int]:
-    """(block, key, text) and the number of blocks, of about block_bytes each. The key must be an integer."""
+def blocked(docs: DataFrame, key: str, text: str, block_bytes: int, carry: bool = False) -> tuple[DataFrame, int]:
+    """(block, key, text) and the number of blocks, of about block_bytes each. The key must be an integer.
+
+    carry: the other columns come along as a struct ``row``.
+    """
     n_blocks = blocks_for(total_bytes(docs, text)[1], block_bytes)
-    return docs.select(block_of(F.col(key), n_blocks).alias("block"), F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text")), n_blocks
+    row = [F.struct(*[docs[c] for c in docs.columns if c != text]).alias("row")] if carry else []
+    return docs.select(block_of(F.col(key), n_blocks).alias("block"), F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text"), *row), n_blocks
 
 
 class Block:
     """A block's rows in their fixed order: keys, and the texts as one buffer with a byte after each text."""
 
     def __init__(self, rows: pa.Table, separator: bytes):
-        rows = rows.select(["key", "text"]).combine_chunks()
+        rows = rows.drop_columns("block").combine_chunks()
         order = pc.sort_indices(rows, sort_keys=[("key", "ascending"), ("text", "ascending")], null_placement="at_start")
         rows = rows.take(order)
+        self.row = rows["row"] if "row" in rows.column_names else None
+        self.null_text = np.asarray(rows["text"].is_null().to_numpy(), bool)
         self.null_key = np.asarray(rows["key"].is_null().to_numpy(), bool)
         self.keys = rows["key"].fill_null(int(NULL_KEY)).to_numpy()
         raw, ends = text_buffer(rows["text"])

@@ -193,7 +193,7 @@ def shared_queries(benchmark: DataFrame, item: str, text: str, window: int) -> l
 
 
 def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = 10, shard_bytes: int = 4 << 20, carry: bool = False) -> DataFrame:
-    """key, n_words, n_hit, items (found, sorted as strings), spans (byte starts and ends to remove, in turn), cleaned (the text without them).
+    """key, n_words, n_hit, items (found, sorted as strings), spans (byte starts and ends to remove, in turn), cleaned (the text without them; null for null).
 
     carry: a struct ``row`` of all of the document's columns comes along.
     """
@@ -232,7 +232,7 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
             if cuts[i] < cuts[i + 1]:
                 gaps = [0, *pairs[cuts[i] : cuts[i + 1]].tolist(), len(t)]
                 t = b"".join(t[x:y] for x, y in zip(gaps[::2], gaps[1::2]))
-            texts.append(t)
+            texts.append(t if part.column(1)[i].is_valid else None)
         return [
             pa.array(np.bincount(doc, minlength=n), pa.int64()),
             pa.array(np.bincount(doc[hit], minlength=n), pa.int64()),

@@ -8,10 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from askmine.llm import bpe, decontaminate, hilbert, quality, repetition, simhash, substring_dedup, suffix_dedup
+from askmine.llm import bpe, decontaminate, hilbert, quality, repetition, simhash, substring_dedup, suffix_dedup, toxicity
 from askmine.llm.base import table
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
+#: Scores from which a row is predicted toxic, or of good quality.
+TOXIC_FROM = GOOD_FROM = 0.7
+
+
+def _remainder(of: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(of))
+
+
+def learn_toxicity():
+    """The rows whose toxicity labels may be learnt."""
+    return _remainder(3) != 1
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +41,12 @@ def op4_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_bytes", "n_removed", (F.size("spans") / 2).cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), learn=learn_toxicity())
+    return toxicity.score(docs, model).select("doc_id", (_remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
+
+
 def op6_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = repetition.judge(repetition.measure(table(spark, sf_dir, "documents")))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_covered", "longest")
@@ -45,13 +62,9 @@ def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
-def _remainder(of: int):
-    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(of))
-
-
 def op9_fourier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), learn=_remainder(4) != 2)
-    return scored.select("doc_id", (_remainder(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+    return scored.select("doc_id", (_remainder(4) == 2).alias("held_out"), "score", (F.col("score") >= GOOD_FROM).cast("int").alias("predicted"))
 
 
 def op10_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op3_simhash": op3_simhash,
     "op4_suffix_array": op4_suffix_array,
+    "op5_string_kernel": op5_string_kernel,
     "op6_repetition": op6_repetition,
     "op7_hilbert": op7_hilbert,
     "op8_substring": op8_substring,

@@ -331,7 +331,15 @@ def _sort(length: int):
     return run
 
 
-def _apply(length: int, n_buckets: int):
+def _whole_characters(removed: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """Only characters all of whose bytes are removed."""
+    first = np.flatnonzero((data & 0xC0) != 0x80)
+    if not len(first):
+        return removed
+    return np.repeat(np.logical_and.reduceat(removed, first), np.diff(np.append(first, len(data))))
+
+
+def _apply(length: int, n_buckets: int, whole_characters: bool):
     def run(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
         s = Stretches(rows, length)
         block = s.block
@@ -354,6 +362,8 @@ def _apply(length: int, n_buckets: int):
                 np.add.at(step, w, 1)
                 np.subtract.at(step, w + length, 1)
         removed = np.cumsum(step[:-1]) > 0
+        if whole_characters:
+            removed = _whole_characters(removed, block.bytes)
         opens = removed.copy()
         opens[1:] &= ~removed[:-1]
         inside = block.starts[block.lengths > 0]
@@ -371,21 +381,27 @@ def _apply(length: int, n_buckets: int):
         return pa.table(
             {
                 "key": block.key_array(),
+                **({} if block.row is None else {"row": block.row}),
                 "n_bytes": pa.array(block.lengths, pa.int64()),
                 "n_removed": pa.array(count[block.ends] - count[block.starts], pa.int64()),
                 "spans": pa.array(pairs, pa.list_(pa.int64())),
-                "kept": binaries([data[a:b].tobytes() for a, b in zip(kept[block.starts], kept[block.ends])]),
+                "kept": binaries([None if gone else data[a:b].tobytes() for a, b, gone in zip(kept[block.starts], kept[block.ends], block.null_text & whole_characters)]),
             }
         )
 
     return run
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 200, block_bytes: int = 4 << 20) -> DataFrame:
-    """key, n_bytes, n_removed, spans (starts and ends of the maximal removed runs, in turn), kept (the other bytes)."""
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 200, block_bytes: int = 4 << 20, whole_characters: bool = False, carry: bool = False) -> DataFrame:
+    """key, n_bytes, n_removed, spans (starts and ends of the maximal removed runs, in turn), kept (the other bytes).
+
+    whole_characters: a character of which only some bytes are covered stays, so that kept is UTF-8 (and null for a null
+    text). carry: a struct ``row`` of the row's other columns comes along.
+    """
     if length < 2 * GRAM:
         raise ValueError(f"strings of {2 * GRAM} bytes at least")
-    blocks, n = blocked(docs, key, text, block_bytes)
+    blocks, n = blocked(docs, key, text, block_bytes, carry)
+    row = f"row {blocks.schema['row'].dataType.simpleString()}, " if carry else ""
     asked = blocks.groupBy("block").applyInArrow(_ask(length, n), "bucket int, block int, grams binary, wholes binary")
     answers = asked.groupBy("bucket").applyInArrow(_answer, "block int, bucket int, elsewhere binary, mixed binary")
     sent = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
@@ -393,5 +409,5 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     )
     sorted_ = sent.groupBy("bucket").applyInArrow(_sort(length), "block int, bucket int, windows binary")
     told = answers.unionByName(sorted_, allowMissingColumns=True)
-    done = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_apply(length, n), "key bigint, n_bytes bigint, n_removed bigint, spans array<bigint>, kept binary")
+    done = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_apply(length, n, whole_characters), f"key bigint, {row}n_bytes bigint, n_removed bigint, spans array<bigint>, kept binary")
     return done.withColumnRenamed("key", key)
