@@ -79,6 +79,7 @@ class Stretches:
             stop = np.flatnonzero(np.append((edge | ~valid)[1:], True) & valid)
             found.append((starts + a, stop + a, place[starts] + a, h[place[starts]]))
         self.first, self.last, self.anchor, gram = (np.concatenate(x) for x in zip(*found))
+        gram = mixed(gram)  # anchors have the smallest hashes: mixed again (one to one), they fill all buckets evenly
         view, digest = memoryview(data), xxhash.xxh3_64_intdigest
         whole = np.fromiter((digest(view[a:b], c) for a, b, c in zip(self.first.tolist(), (self.last + length).tolist(), (self.anchor - self.first).tolist())), np.uint64, len(gram))
         order = np.lexsort((whole, gram))
