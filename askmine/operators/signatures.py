@@ -1,0 +1,14 @@
+"""Signature zones as a column."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from askmine.operators.spans import zone_of
+
+
+def zones(messages: DataFrame, text: str, spans: Column) -> DataFrame:
+    """messages with zone_start and zone_end, null where there is no signature; spans: the redactions of the text."""
+    found = messages.withColumn("_zone", zone_of(F.coalesce(F.col(text), F.lit("")), spans))
+    return found.select(*messages.columns, F.col("_zone.start").alias("zone_start"), F.col("_zone.end").alias("zone_end"))
