@@ -21,7 +21,6 @@ whole, whatever their length. An empty table gives no rows.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,10 +34,10 @@ from askmine.llm.substring_dedup import IS_SPACE, word_bounds, word_hashes
 
 ORDER, DECAY, SHARE = 3, 0.6, 0.75
 #: Rows to learn from, landmarks of toxic words and of near other words, rounds of choosing sentences, and the machine's cost.
-TRAIN_ROWS, LANDMARKS, NEAR, ROUNDS, COST = 5000, 28, 8, 4, 2.0
+TRAIN_ROWS, LANDMARKS, NEAR, ROUNDS, COST = 4000, 28, 8, 4, 2.0
 #: Kernel value above which a word is too close to a landmark to be another, smallest eigenvalue, and sentences that stand for a row.
 CLOSE, LEAST, STAND = 0.7, 0.05, 3
-SHARD_BYTES, SEED = 4 << 20, 20240229
+SHARD_BYTES, TRAIN_BYTES, SEED = 4 << 20, 1 << 20, 20240229
 #: Letter codes: 0 drops out, 1 to 26 are a to z, 27 is any letter beyond ASCII (its first byte stands for it).
 LETTERS = np.zeros(256, np.uint8)
 LETTERS[97:123] = LETTERS[65:91] = np.arange(1, 27)
@@ -204,22 +203,28 @@ class Model:
         self.weights, self.bias, self.evidence, self.knots = np.zeros(0), 0.0, np.zeros(4), (np.zeros(0), np.zeros(0))
         if not len(texts) or toxic.all() or not toxic.any():
             return
-        words = Words(pa.array(texts, pa.string()))
-        chosen, negatives = _choose(words, toxic, n_landmarks)
+        chosen = _choose(texts, toxic, n_landmarks)
         if not chosen:
             return
         first = len(chosen)
-        self.landmarks = marks = Landmarks(_spread([*chosen, *_nearest(chosen, negatives)], first + NEAR, first))
+        self.landmarks = marks = Landmarks(_spread([*chosen, *_nearest(chosen, texts, toxic)], first + NEAR, first))
         rng = np.random.default_rng(SEED)
         spoilt = [_inserted(w, rng) for w in chosen for _ in range(8)]
         _, extra = marks.sentences(Words(pa.array([decoded(w) + "." for w in spoilt], pa.string())))
-        doc, rows = marks.sentences(words)
+        found, n_sentences, sizes = [], 0, []
+        for start, words in _blocks(texts):
+            doc, rows = marks.sentences(words)
+            found.append((doc + start, rows))
+            n_sentences += int(words.sentence.max()) + 1 if len(words.sentence) else 0
+            sizes.append(np.bincount(words.doc, minlength=words.n))
+        doc, rows = (np.concatenate(x) for x in zip(*found))
+        sizes = np.concatenate(sizes)
         matrix = np.array([[subsequence_kernel(a[None], b[None])[0] for b in marks.words] for a in marks.words]) / np.sqrt(np.outer(marks.norms, marks.norms))
         values, vectors = np.linalg.eigh((matrix + matrix.T) / 2)
         root = (vectors / np.sqrt(np.maximum(values, LEAST))) @ vectors.T
         x, more = rows @ root, extra @ root
         positive = toxic[doc]
-        n_plain = int(np.count_nonzero(~np.isin(np.unique(words.sentence), words.sentence[marks.kernels(words)[0]])))
+        n_plain = n_sentences - len(doc)
         score = rows[:, :first].max(1, initial=0)
         for _ in range(ROUNDS):
             order = np.lexsort((-score, doc))
@@ -234,16 +239,16 @@ class Model:
             w = _machine(np.vstack([x[use], more, np.zeros((1, x.shape[1]))]), y, weight, cost)
             score = x @ w[:-1] + w[-1]
         self.weights, self.bias = root @ w[:-1], float(w[-1])
-        facts = self._facts(words, doc, score)
+        facts = self._facts(sizes, doc, score)
         self.evidence = _logistic(facts, toxic.astype(float))
         self.knots = isotonic(self._evidence(facts), toxic.astype(float), np.ones(len(toxic)))
 
-    def _facts(self, words: Words, doc: np.ndarray, score: np.ndarray) -> np.ndarray:
+    def _facts(self, sizes: np.ndarray, doc: np.ndarray, score: np.ndarray) -> np.ndarray:
         """Of each text: its highest sentence score, the sum of scores above the margin (rooted), and its words (log)."""
-        most, total = np.full(words.n, self.bias), np.zeros(words.n)
+        most, total = np.full(len(sizes), self.bias), np.zeros(len(sizes))
         np.maximum.at(most, doc, score)
         np.add.at(total, doc, np.maximum(0, score + 1))
-        return np.column_stack([np.clip(most, -2, 3), np.sqrt(total), np.log1p(np.bincount(words.doc, minlength=words.n))])
+        return np.column_stack([np.clip(most, -2, 3), np.sqrt(total), np.log1p(sizes)])
 
     def _evidence(self, facts: np.ndarray) -> np.ndarray:
         return facts @ self.evidence[:-1] + self.evidence[-1]
@@ -253,7 +258,7 @@ class Model:
             return np.full(len(column), 0.5)
         words = Words(column)
         doc, rows = self.landmarks.sentences(words)
-        return calibrated(self._evidence(self._facts(words, doc, rows @ self.weights + self.bias)), self.knots)
+        return calibrated(self._evidence(self._facts(np.bincount(words.doc, minlength=words.n), doc, rows @ self.weights + self.bias)), self.knots)
 
 
 def _inserted(word: np.ndarray, rng: np.random.Generator) -> np.ndarray:
@@ -289,36 +294,53 @@ def _spread(candidates: list[np.ndarray], most: int, first: int = 0) -> list[np.
     return out
 
 
-def _nearest(chosen: list[np.ndarray], others: Words) -> list[np.ndarray]:
-    """The others' words, nearest to any chosen word first."""
-    word, _, value = Landmarks(chosen).kernels(others)
-    best: dict[bytes, float] = {}
-    for w, v in zip(word.tolist(), value.tolist()):
-        name = others.codes[others.start[w] : others.end[w]].tobytes()
-        best[name] = max(v, best.get(name, 0.0))
+def _blocks(texts: list[str]) -> Iterator[tuple[int, Words]]:
+    """The words of some texts at a time, and the number of the first of these texts."""
+    for a, b in row_blocks([len(t) for t in texts], TRAIN_BYTES):
+        yield a, Words(pa.array(texts[a:b], pa.string()))
+
+
+def _nearest(chosen: list[np.ndarray], texts: list[str], toxic: np.ndarray) -> list[np.ndarray]:
+    """The other rows' words, nearest to any chosen word first."""
+    marks, best = Landmarks(chosen), {}
+    for start, words in _blocks(texts):
+        word, _, value = marks.kernels(words)
+        some = (value > 0.3) & ~toxic[words.doc[word] + start]
+        for w, v in zip(word[some].tolist(), value[some].tolist()):
+            name = words.codes[words.start[w] : words.end[w]].tobytes()
+            best[name] = max(v, best.get(name, 0.0))
     return [np.frombuffer(x, np.uint8) for x in sorted(best, key=lambda x: (-best[x], x))[:400]]
 
 
-def _choose(words: Words, toxic: np.ndarray, n: int) -> tuple[list[np.ndarray], Words]:
-    """Words that toxic rows hold more often than others, by their log odds in standard deviations, and the others' words."""
-    counts = (Counter(), Counter())
-    names = [words.codes[a:b].tobytes() for a, b in zip(words.start.tolist(), words.end.tolist())]
-    for d, name in {*zip(words.doc.tolist(), names)}:
-        if ORDER < len(name) <= 32:
-            counts[int(toxic[d])][name] += 1
-    n_toxic, n_other = int(toxic.sum()), int((~toxic).sum())
-    odds = {}
-    for name, k in counts[1].items():
-        p, q = (k + 0.5) / (n_toxic + 1), (counts[0][name] + 0.5) / (n_other + 1)
-        z = np.log(p / q) / np.sqrt(1 / (k + 0.5) + 1 / (counts[0][name] + 0.5))
-        if k >= 3 and p > 3 * q and z > 2:
-            odds[name] = z
-    best = sorted(odds, key=lambda x: (-odds[x], x))
-    others = Words(pa.array([], pa.string()))
-    keep = ~toxic[words.doc]
-    others.codes, others.n = words.codes, words.n
-    others.start, others.end, others.doc, others.sentence = words.start[keep], words.end[keep], words.doc[keep], words.sentence[keep]
-    return _spread([np.frombuffer(name, np.uint8) for name in best], n), others
+def _choose(texts: list[str], toxic: np.ndarray, n: int) -> list[np.ndarray]:
+    """Words that toxic rows hold more often than others, by their log odds in standard deviations."""
+    counts = []
+    for start, words in _blocks(texts):
+        size = words.end - words.start
+        at = np.flatnonzero((size > ORDER) & (size <= 32))
+        h, doc = word_hashes(words.codes, words.start[at], words.end[at]) if len(at) else np.zeros(0, np.uint64), words.doc[at]
+        order = np.lexsort((doc, h))
+        h, doc = h[order], doc[order]
+        once = np.ones(len(h), bool)
+        once[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+        name, of = np.unique(h[once], return_inverse=True)
+        counts.append((name, np.bincount(of, weights=toxic[doc[once] + start], minlength=len(name)), np.bincount(of, minlength=len(name))))
+    names, of = np.unique(np.concatenate([c[0] for c in counts]), return_inverse=True)
+    k, every = (np.bincount(of, weights=np.concatenate([c[i] for c in counts]), minlength=len(names)) for i in (1, 2))
+    p, q = (k + 0.5) / (toxic.sum() + 1), (every - k + 0.5) / ((~toxic).sum() + 1)
+    z = np.log(p / q) / np.sqrt(1 / (k + 0.5) + 1 / (every - k + 0.5))
+    good = np.flatnonzero((k >= 3) & (p > 3 * q) & (z > 2))
+    good = good[np.argsort(-z[good], kind="stable")][:2000]
+    odds, spelled = dict(zip(names[good].tolist(), z[good].tolist())), {}
+    for _, words in _blocks(texts):
+        size = words.end - words.start
+        at = np.flatnonzero((size > ORDER) & (size <= 32))
+        h = word_hashes(words.codes, words.start[at], words.end[at]) if len(at) else np.zeros(0, np.uint64)
+        one, first = np.unique(h, return_index=True)
+        for name, i in zip(one.tolist(), first.tolist()):
+            if name in odds:
+                spelled[name] = words.codes[words.start[at[i]] : words.end[at[i]]].tobytes()
+    return _spread([np.frombuffer(spelled[x], np.uint8) for x in sorted(odds, key=lambda x: (-odds[x], spelled[x]))], n)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", learn: Column | None = None, key: str = "doc_id", text: str = "text", train_rows: int = TRAIN_ROWS) -> Model:
