@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from askmine.llm import bpe, decontaminate, hilbert, quality, repetition, simhash, substring_dedup, suffix_dedup, toxicity
+from askmine.llm import bpe, decontaminate, hilbert, quality, repetition, simhash, substring_dedup, suffix_dedup, toxicity, warc
 from askmine.llm.base import table
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
@@ -31,6 +31,11 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = warc.build(warc.responses(table(spark, sf_dir, "pages")))
+    return made.withColumnRenamed("key", "page_id").drop("block")
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -75,6 +80,7 @@ def op10_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_warc": op2_warc,
     "op3_simhash": op3_simhash,
     "op4_suffix_array": op4_suffix_array,
     "op5_string_kernel": op5_string_kernel,
