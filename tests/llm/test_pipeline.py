@@ -5,7 +5,7 @@ import re
 
 import pytest
 from pyspark.sql import functions as F
-from test_operators import WINDOW, brute_components, brute_cover, brute_print
+from test_llm_operators import WINDOW, brute_components, brute_cover, brute_print
 
 import corpus_pipeline
 from askmine.llm import queries, suffix_dedup
@@ -37,6 +37,7 @@ def folder(spark, tmp_path_factory):
     write = lambda data, schema, name: spark.createDataFrame(data, schema).write.parquet(str(path / f"{name}.parquet"))
     write(rows, "doc_id long, text string, lang string, source string, n_chars long", "documents")
     write([(i, 1, int(i % 6 == 0)) for i in range(260)], "doc_id long, quality int, toxic int", "labels")
+    write([(i, f"http://x.org/{i}", f"<p>{t}") for i, t in enumerate(docs)], "page_id long, url string, html string", "pages")
     write([(1, " ".join(WINDOW).title()), (2, None)], "item_id long, text string", "benchmark")
     return str(path)
 
@@ -83,6 +84,7 @@ def test_run_is_the_stages(spark, folder):
 
 CONTRACT = {
     "op1_bpe": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    "op2_warc": ["page_id", "warc_type", "record_id", "refers_to"],
     "op3_simhash": ["doc_id", "fingerprint", "component_id"],
     "op4_suffix_array": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
     "op5_string_kernel": ["doc_id", "held_out", "score", "predicted"],
@@ -99,8 +101,8 @@ def test_contract(spark, folder, name):
     df = queries.QUERIES[name](spark, folder)
     kinds = dict(df.dtypes)
     assert df.columns[: len(CONTRACT.get(name, []))] == CONTRACT.get(name, [])
-    assert all(kinds[c] == "bigint" for c in df.columns if c.startswith("n_") or c == "size")
-    assert df.agg(F.count_distinct("doc_id")).first()[0] == 266 or name.startswith("op2")
+    assert all(kinds[c] == "bigint" for c in df.columns if c.startswith("n_") or c in ("size", "content_length"))
+    assert df.agg(F.count_distinct(df.columns[0])).first()[0] == 266
 
 
 def test_characters_are_never_cut():
