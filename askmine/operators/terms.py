@@ -32,10 +32,9 @@ def top_terms(texts: DataFrame, group: str, text: str, n: int = 8) -> DataFrame:
     Equal scores (to nine decimals) are in alphabetical order.
     """
     counts = texts.select(group, F.explode(terms(F.col(text))).alias("term")).groupBy(group, "term").agg(F.count(F.lit(1)).alias("n_term"))
-    in_group = counts.groupBy(group).agg(F.sum("n_term").alias("n_group"))
-    mean = in_group.agg(F.avg("n_group").alias("mean"))
-    in_corpus = counts.groupBy("term").agg(F.sum("n_term").alias("n_corpus"))
-    scored = counts.join(in_corpus, "term").join(F.broadcast(in_group), group).crossJoin(F.broadcast(mean))  # mean: one row
+    # a term has a row per group at most, so its window is no hot one; the groups' sizes need no second shuffle of terms
+    in_group = texts.groupBy(group).agg(F.sum(F.size(terms(F.col(text)))).alias("n_group")).filter("n_group > 0").withColumn("mean", F.avg("n_group").over(W.partitionBy(F.lit(0))))
+    scored = counts.withColumn("n_corpus", F.sum("n_term").over(W.partitionBy("term"))).join(in_group, group)
     score = F.round(F.col("n_term") / F.col("n_group") * F.log1p(F.col("mean") / F.col("n_corpus")), 9)
     order = W.partitionBy(group).orderBy(score.desc(), "term")
     return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n).select(group, "rank", "term", "n_term")
