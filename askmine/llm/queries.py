@@ -90,4 +90,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_fourier": op9_fourier,
     "op10_fm_index": op10_fm_index,
 }
-ORACLES: dict[str, str] = {}
+#: DuckDB SQL of the queries that SQL can express.
+ORACLES: dict[str, str] = {
+    "op8_substring": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i : i + 12], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+least AS (SELECT s, min(doc_id) AS m FROM win GROUP BY s),
+gone AS (SELECT DISTINCT doc_id, i + k AS p FROM win JOIN least USING (s), range(0, 13) t(k) WHERE m < doc_id),
+each AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+done AS (SELECT doc_id, count(gone.p) AS n_removed, string_agg(word, ' ' ORDER BY p) FILTER (gone.p IS NULL) AS kept FROM each LEFT JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN done USING (doc_id)""",
+    "op10_fm_index": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+q AS (SELECT DISTINCT item_id::VARCHAR AS item, least(len(w), 10) AS n, array_to_string(w[i : i + 9], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+win AS (SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS s FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM q) WHERE len(w) >= n)),
+hit AS (SELECT doc_id, item, i, n FROM win JOIN q USING (n, s)),
+places AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY 1),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)""",
+}
