@@ -6,13 +6,15 @@ sent back as arrays in the order in which a block has asked, without row identit
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from askmine.llm.base import block_of, blocks_for, text_buffer, total_bytes
+from askmine.llm.base import block_of, blocks_for, release, text_buffer, total_bytes
 
 #: Stands for a null key: before any other.
 NULL_KEY = np.iinfo(np.int64).min
@@ -86,6 +88,24 @@ def unpack(data: bytes, sorted_: bool = False) -> np.ndarray:
     return np.cumsum(values, dtype=np.uint64) if sorted_ else values
 
 
+def released(run: Callable) -> Callable:
+    """run, with the memory of each group given back after it; the number of arguments tells Spark what they are."""
+    if run.__code__.co_argcount == 3:
+        def over_two(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+            out = run(key, left, right)
+            release()
+            return out
+
+        return over_two
+
+    def over_one(key: tuple, rows: pa.Table) -> pa.Table:
+        out = run(key, rows)
+        release()
+        return out
+
+    return over_one
+
+
 def binaries(values: list[bytes]) -> pa.Array:
     return pa.array(values, pa.binary())
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from askmine.llm.base import row_blocks, text_buffer, texts_of
+from askmine.llm.base import release, row_blocks, text_buffer, texts_of
 
 LETTER, NUMBER, OTHER, SHORT, LONG, BLANK_LAST, SPACE_LAST, SPACE_MORE, BREAK = range(9)
 #: White space of the pattern's \s class (the Unicode property White_Space).
@@ -280,6 +280,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
                     [batch.column(0).slice(a, b - a), pa.array([x.tobytes() for x in ids], pa.binary()), pa.array([x.tobytes() for x in ends], pa.binary()), pa.array([len(x) for x in ids], pa.int64())],
                     ["key", "ids", "ends", "n_tokens"],
                 )
+            release()
 
     return slim.mapInArrow(run, f"key {kind}, ids binary, ends binary, n_tokens bigint").withColumnRenamed("key", key)
 
@@ -298,5 +299,6 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
                 part = batch.slice(a, b - a)
                 texts = [vocabulary.decode(np.frombuffer(i, "<u4"), np.frombuffer(e, "<u4")).tobytes() for i, e in zip(part.column(1).to_pylist(), part.column(2).to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(3), pa.array(texts, pa.binary())], ["key", "ids", "n_tokens", "decoded"])
+            release()
 
     return slim.mapInArrow(run, f"key {kind}, ids binary, n_tokens bigint, decoded binary").withColumnRenamed("key", key)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from askmine.llm.base import block_of, blocks_for, row_blocks, text_buffer, total_bytes
+from askmine.llm.base import block_of, blocks_for, release, row_blocks, text_buffer, total_bytes
 from askmine.llm.substring_dedup import word_bounds, word_hashes
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -192,13 +192,13 @@ def shared_queries(benchmark: DataFrame, item: str, text: str, window: int) -> l
     return out
 
 
-def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = 10, shard_bytes: int = 4 << 20, carry: bool = False) -> DataFrame:
+def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = 10, shard_bytes: int = 2 << 20, carry: bool = False) -> DataFrame:
     """key, n_words, n_hit, items (found, sorted as strings), spans (byte starts and ends to remove, in turn), cleaned (the text without them; null for null).
 
-    carry: a struct ``row`` of all of the document's columns comes along.
+    carry: a struct ``row`` of the document's other columns comes along.
     """
     shared = shared_queries(benchmark, item, item_text, window)
-    row = [F.struct(*[docs[c] for c in docs.columns]).alias("row")] if carry else []
+    row = [F.struct(*[docs[c] for c in docs.columns if c != text]).alias("row")] if carry else []
     slim = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"), *row)
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema if f.name != "text"]
     names = ["n_words", "n_hit", "items", "spans", "cleaned"]
@@ -247,5 +247,6 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
                 part = batch.slice(a, b - a)
                 own = [part.column(i) for i in range(part.num_columns) if i != 1]
                 yield pa.RecordBatch.from_arrays([*own, *shard(part)], ["key", *(["row"] if carry else []), *names])
+            release()
 
     return slim.mapInArrow(run, schema).withColumnRenamed("key", key)

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from askmine.llm.base import checkpointed, text_buffer
+from askmine.llm.base import checkpointed, release, text_buffer
 from askmine.llm.components import components
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -66,6 +66,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words
             raw, ends = text_buffer(batch.column(1))
             prints = np.array([fingerprint(raw[a:b].tobytes(), words_each) for a, b in zip(ends[:-1], ends[1:])], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64), pa.int64())], ["key", "fp"])
+            release()
 
     return slim.mapInArrow(run, f"key {kind}, fp bigint").withColumnRenamed("key", key)
 

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from askmine.llm.blocks import Block, binaries, blocked, bucket_cuts, by_bucket, mixed, pack, unpack
+from askmine.llm.blocks import Block, binaries, blocked, bucket_cuts, by_bucket, mixed, pack, released, unpack
 
 #: Odd bases of the two polynomials: over the bytes of a word, and over the words of a window.
 BYTE_BASE, WORD_BASE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)
@@ -117,7 +117,7 @@ def _ask(width: int, n_buckets: int):
             }
         )
 
-    return run
+    return released(run)
 
 
 def _answer(key: tuple, rows: pa.Table) -> pa.Table:
@@ -163,7 +163,7 @@ def _apply(width: int, n_buckets: int):
             }
         )
 
-    return run
+    return released(run)
 
 
 def remove_repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 13, block_bytes: int = 4 << 20) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 
-from askmine.llm.blocks import Block, binaries, blocked, bucket_cuts, by_bucket, mixed, pack, unpack
+from askmine.llm.blocks import Block, binaries, blocked, bucket_cuts, by_bucket, mixed, pack, released, unpack
 
 GRAM = 32
 GRAM_BASE = 0xA24BAED4963EE407
@@ -107,7 +107,7 @@ def _ask(length: int, n_buckets: int):
             }
         )
 
-    return run
+    return released(run)
 
 
 def _answer(key: tuple, rows: pa.Table) -> pa.Table:
@@ -167,7 +167,7 @@ def _send(length: int, n_buckets: int):
             }
         )
 
-    return run
+    return released(run)
 
 
 class BlindTrie:
@@ -329,7 +329,7 @@ def _sort(length: int):
         bits = np.packbits(found & ~covered[:, None], axis=1)
         return pa.table({"block": rows["block"], "bucket": rows["bucket"], "windows": binaries([x.tobytes() for x in np.split(bits, sizes)])})
 
-    return run
+    return released(run)
 
 
 def _whole_characters(removed: np.ndarray, data: np.ndarray) -> np.ndarray:
@@ -390,7 +390,7 @@ def _apply(length: int, n_buckets: int, whole_characters: bool):
             }
         )
 
-    return run
+    return released(run)
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 200, block_bytes: int = 4 << 20, whole_characters: bool = False, carry: bool = False) -> DataFrame:

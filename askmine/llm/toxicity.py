@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from askmine.llm.base import row_blocks, text_buffer
+from askmine.llm.base import release, row_blocks, text_buffer
 from askmine.llm.calibrate import calibrated, isotonic
 from askmine.llm.substring_dedup import IS_SPACE, word_bounds, word_hashes
 
@@ -37,7 +37,7 @@ ORDER, DECAY, SHARE = 3, 0.6, 0.75
 TRAIN_ROWS, LANDMARKS, NEAR, ROUNDS, COST = 4000, 28, 8, 4, 2.0
 #: Kernel value above which a word is too close to a landmark to be another, smallest eigenvalue, and sentences that stand for a row.
 CLOSE, LEAST, STAND = 0.7, 0.05, 3
-SHARD_BYTES, TRAIN_BYTES, SEED = 4 << 20, 1 << 20, 20240229
+SHARD_BYTES, TRAIN_BYTES, SEED = 2 << 20, 1 << 20, 20240229
 #: Letter codes: 0 drops out, 1 to 26 are a to z, 27 is any letter beyond ASCII (its first byte stands for it).
 LETTERS = np.zeros(256, np.uint8)
 LETTERS[97:123] = LETTERS[65:91] = np.arange(1, 27)
@@ -361,17 +361,19 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", learn: Column
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", carry: bool = False) -> DataFrame:
     """key, score (0 to 1) of every row. carry: a struct ``row`` of all of the row's columns comes along."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # some landmarks, weights and knots
-    row = [F.struct(*[docs[c] for c in docs.columns]).alias("row")] if carry else []
-    slim = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"), *row)
+    # the text comes once: in the row, where that comes along
+    slim = docs.select(F.col(key).alias("key"), F.struct(*[docs[c] for c in docs.columns]).alias("row") if carry else F.col(text).cast("string").alias("text"))
     fields = [f for f in slim.schema if f.name != "text"]
+    place = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            for a, b in row_blocks(np.diff(text_buffer(batch.column(1))[1]).tolist(), SHARD_BYTES):
-                part = batch.slice(a, b - a)
-                own = [part.column(i) for i in range(part.num_columns) if i != 1]
-                yield pa.RecordBatch.from_arrays([*own, pa.array(model.scores(part.column(1)))], [*(f.name for f in fields), "score"])
+            texts = batch.column(1).field(place).cast(pa.string()) if carry else batch.column(1)
+            for a, b in row_blocks(np.diff(text_buffer(texts)[1]).tolist(), SHARD_BYTES):
+                scores = pa.array(model.scores(texts.slice(a, b - a)))
+                yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns[: 1 + carry], scores], [*(f.name for f in fields), "score"])
+            release()
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "score double"])
     return slim.mapInArrow(run, schema).withColumnRenamed("key", key)

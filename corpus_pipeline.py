@@ -40,7 +40,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the spans in which benchmark windows occur."""
     done = decontaminate.find(docs, table(spark, sf_dir, "benchmark"), carry=True)
-    return _with_text(done.select("row.*", "cleaned").drop("text").withColumnRenamed("cleaned", "text"), docs.columns)
+    return _with_text(done.select("row.*", F.col("cleaned").alias("text")), docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
