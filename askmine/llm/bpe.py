@@ -247,13 +247,19 @@ _LOADED: dict[int, Vocabulary] = {}
 
 
 def _vocabulary(shared) -> Vocabulary:
-    found = _LOADED.get(shared._jbroadcast_id if hasattr(shared, "_jbroadcast_id") else id(shared))
+    found = _LOADED.get(id(shared))
     if found is None:
         _LOADED.clear()
         found = _LOADED[id(shared)] = Vocabulary(shared.value)
     return found
 
 
+def forget() -> None:
+    """Let the vocabulary and its pieces go at a task's end: the worker may serve other operators next."""
+    _LOADED.clear()
+    release()
+
+
 def _shared(docs: DataFrame, path: str):
     """The rank file, read by the driver; a vocabulary is of a fixed size, and checked to be small."""
     with open(path, "rb") as f:
@@ -281,6 +287,8 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
                     ["key", "ids", "ends", "n_tokens"],
                 )
             release()
+        del vocabulary
+        forget()
 
     return slim.mapInArrow(run, f"key {kind}, ids binary, ends binary, n_tokens bigint").withColumnRenamed("key", key)
 
@@ -300,5 +308,7 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
                 texts = [vocabulary.decode(np.frombuffer(i, "<u4"), np.frombuffer(e, "<u4")).tobytes() for i, e in zip(part.column(1).to_pylist(), part.column(2).to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(3), pa.array(texts, pa.binary())], ["key", "ids", "n_tokens", "decoded"])
             release()
+        del vocabulary
+        forget()
 
     return slim.mapInArrow(run, f"key {kind}, ids binary, n_tokens bigint, decoded binary").withColumnRenamed("key", key)
