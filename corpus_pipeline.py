@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from askmine.llm import bpe, decontaminate, simhash, suffix_dedup, toxicity
+from askmine.llm import bpe, decontaminate, shingle_sets, suffix_dedup, toxicity
 from askmine.llm.base import checkpointed, table
 from askmine.llm.queries import RANK_FILE, TOXIC_FROM, learn_toxicity
 
@@ -25,8 +25,8 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of linked fingerprints the document with the smallest doc_id stays; without a doc_id, all stay."""
-    found = simhash.near_duplicates(docs)
+    """Of each component of texts at a similarity of 0.8 or more the smallest doc_id stays; without a doc_id, all stay."""
+    found = shingle_sets.near_copies(docs)
     gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
