@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from askmine.functions import text, tripwire
+from askmine.operators import similar
 
 
 def with_first_reply(messages: DataFrame, thread: str, time: str, position: str, is_question: Column, is_reply: Column) -> DataFrame:
@@ -52,6 +53,14 @@ def first_client_message(emails: DataFrame, own: DataFrame) -> DataFrame:
     return first.select("thrid", why.alias("reason"), "f.id", "f.kind", "f.lang", "f.text")
 
 
+def with_near_duplicates_named(picked: DataFrame, emails: DataFrame) -> DataFrame:
+    """picked (of first_client_message), where a test query's reason is near_duplicate if a message of another thread holds most of its own words."""
+    body = F.coalesce(F.col("body"), F.lit(""))
+    own = emails.select("id", F.coalesce("thrid", F.lit("")).alias("thrid"), text.without_flat_quote(body).alias("text"))
+    found = similar.near_duplicates(picked.filter("reason = ''").select("id"), own, "id", "thrid", "text").select("id", F.lit(True).alias("_twin"))
+    return picked.join(found, "id", "left").withColumn("reason", F.when((F.col("reason") == "") & F.col("_twin"), "near_duplicate").otherwise(F.col("reason"))).select(*picked.columns)
+
+
 def without_own_unsent(emails: DataFrame) -> DataFrame:
     """Inbound rows whose sender never sent outbound mail, and all others; the senders are as many as they are."""
     own = emails.filter((F.col("direction") == "outbound") & (F.coalesce("sender", F.lit("")) != "")).select("sender").distinct()

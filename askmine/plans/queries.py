@@ -162,7 +162,8 @@ def _emails(spark, sf_dir) -> DataFrame:
 def holdout_queries(spark, sf_dir):
     emails = _emails(spark, sf_dir)
     own = emails.filter("direction = 'outbound'").select("sender")
-    return threads.first_client_message(emails, own).filter(hashes.is_held_out(F.col("thrid"))).select("thrid", "reason", "id", "kind", "lang")
+    picked = threads.first_client_message(emails, own).filter(hashes.is_held_out(F.col("thrid")))
+    return threads.with_near_duplicates_named(picked, emails).select("thrid", "reason", "id", "kind", "lang")
 
 
 @_query("SELECT conv_id, turn FROM conversations a WHERE role = 'user' AND NOT EXISTS (SELECT 1 FROM conversations b WHERE b.role = 'assistant' AND b.text = a.text)")
