@@ -110,6 +110,14 @@ def chunk_counts(spark, sf_dir):
     return parts.groupBy("n_words").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
+@_query()
+def all_chunk_counts(spark, sf_dir):
+    """How many documents have how many words and chunks, whatever their length; chunk_counts has those of one chunk."""
+    body = F.coalesce("text", F.lit(""))
+    sizes = _table(spark, sf_dir, "documents").select(t.n_words(body).alias("n_words"), F.size(chunking.chunks_of(body)).alias("n_chunks"))
+    return sizes.groupBy("n_words", "n_chunks").agg(F.count(F.lit(1)).alias("n_docs"))
+
+
 @_query("WITH" + RUNS + """, rare AS (SELECT runs.* FROM runs JOIN seen USING (run) WHERE n <= 20), n_of AS (SELECT doc_id, count(*) AS n_rare FROM rare GROUP BY 1),
  pairs AS (SELECT a.doc_id, b.doc_id AS twin, count(*) AS n_shared FROM rare a JOIN rare b ON a.run = b.run AND a.doc_id <> b.doc_id GROUP BY 1, 2),
  best AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n_shared DESC, twin) AS rn FROM pairs)

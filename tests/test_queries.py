@@ -41,3 +41,34 @@ def test_holdout_queries_name_near_duplicates(spark, tmp_path):
             want[str(c)] = "near_duplicate" if most and most >= 0.5 * len(rare) else ""
     got = {r["thrid"]: r["reason"] for r in queries.holdout_queries(spark, str(tmp_path)).collect()}
     assert got == want and Counter(want.values())["near_duplicate"] >= 5 and Counter(want.values())[""] >= 5
+
+
+def _n_chunks(body):
+    """The chunks of a body, one piece at a time."""
+    total = len(body.split())
+    if total <= 300:
+        return int(total > 0)
+    pieces = []
+    for paragraph in re.split(r"\n\s*\n", body):
+        sentences = [paragraph] if len(paragraph.split()) <= 300 else re.split(r"(?<=[.!?])\s+", paragraph)
+        for n in (len(s.split()) for s in sentences):
+            parts = -(-n // 300)
+            step = -(-n // parts) if n else 1
+            pieces += [min(step, n - i) for i in range(0, n, step)]
+    enough, found, size = -(-total // -(-total // 300)), 0, 301
+    for n in pieces:
+        if size + n > 300 or size >= enough:
+            found, size = found + 1, 0
+        size += n
+    return found
+
+
+def test_chunks_of_all_documents_are_counted(spark, tmp_path):
+    rng = np.random.default_rng(6)
+    sentence = lambda n: " ".join(["word"] * n) + "."
+    texts = ["", None, " \n", "one", sentence(300), sentence(301), sentence(650), "\n\n".join(sentence(90) for _ in range(9))]
+    texts += ["\n\n".join(" ".join(sentence(int(n)) for n in rng.integers(1, 120, rng.integers(1, 9))) for _ in range(rng.integers(1, 7))) for _ in range(60)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    want = Counter((len((x or "").split()), _n_chunks(x or "")) for x in texts)
+    got = {(r["n_words"], r["n_chunks"]): r["n_docs"] for r in queries.QUERIES["all_chunk_counts"](spark, str(tmp_path)).collect()}
+    assert got == want and max(n for _, n in want) > 4
