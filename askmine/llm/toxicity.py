@@ -139,7 +139,7 @@ class Landmarks:
         self.need = np.ceil(SHARE * np.bitwise_count(self.masks)).astype(int)
         self.sizes = np.array([len(w) for w in words])
         self.norms = np.array([_self_kernel(w[None])[0] for w in words])
-        self.reach = self.sizes * 3 // 2 + 1
+        self.reach = 2 * self.sizes
         self.width = int(self.reach.max()) if words else 1
 
     def kernels(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
