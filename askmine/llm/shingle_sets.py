@@ -18,8 +18,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from askmine.llm import simhash
@@ -31,6 +32,8 @@ WORDS_EACH, BANDS, BAND_ROWS = 5, 32, 3
 #: Similarity from which two sets are linked, as a fraction.
 SHARE = (4, 5)
 BLOCK_BYTES = 2 << 20
+#: Bits of the filter that spares rows a shuffle.
+FILTER_BITS = 1 << 24
 _LOWER = np.frombuffer(simhash.LOWER, np.uint8)
 _ODD = np.random.default_rng(20240301).integers(1 << 62, 1 << 63, 2 * BANDS * BAND_ROWS + 64, np.uint64) | np.uint64(1)
 
@@ -95,6 +98,37 @@ def _sketch(hashes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return node, cells
 
 
+def _fingerprint(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Of each text 64 bits, each set if it is set in over half of its shingles."""
+    some = np.flatnonzero(np.diff(ends) > 0)
+    out = np.zeros(len(ends) - 1, np.uint64)
+    if len(some):
+        for bit in range(64):
+            count = np.add.reduceat((hashes >> np.uint64(bit) & np.uint64(1)).astype(np.int64), ends[:-1][some])
+            out[some] |= (2 * count > np.diff(ends)[some]).astype(np.uint64) << np.uint64(bit)
+    return out
+
+
+def maybe_among(keys: DataFrame, key: str) -> Column:
+    """Whether a row's key may be one of keys: surely if it is, else seldom. A bitmap of FILTER_BITS, whatever the number of keys."""
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
+    each = keys.select(slot(F.col(key)).alias("slot"))
+    parts = each.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).collect()
+    bits = np.zeros(FILTER_BITS // 8 + 8192, np.uint8)  # a bucket has 4,096 bytes; the first may be numbered 1
+    for part in parts:
+        own = np.frombuffer(bytes(part["bits"]), np.uint8)
+        bits[part["bucket"] * len(own) : (part["bucket"] + 1) * len(own)] = own
+    shared = keys.sparkSession.sparkContext.broadcast(bits)
+
+    @F.pandas_udf("boolean")
+    def among(place: pd.Series) -> pd.Series:
+        at = place.to_numpy()
+        return pd.Series((shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))
+
+    c = slot(F.col(key))
+    return among(F.bitmap_bucket_number(c) * F.lit(8 * 4096) + F.bitmap_bit_position(c))
+
+
 def _mapped(docs: DataFrame, key: str, text: str, make: Callable, schema: str) -> DataFrame:
     slim = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     kind = slim.schema[0].dataType.simpleString()
@@ -195,25 +229,26 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", words_
         sizes = np.diff(ends)
         cells = cells[sizes > 0]
         places = np.concatenate([[0], np.cumsum((sizes > 0) * BANDS)]).astype(np.int32)
-        return {"node": _signed(node), "n": pa.array(sizes, pa.int64()), "cells": pa.ListArray.from_arrays(pa.array(places), _signed(cells.ravel()))}
+        return {"node": _signed(node), "fp": _signed(_fingerprint(hashes, ends)), "n": pa.array(sizes, pa.int64()), "cells": pa.ListArray.from_arrays(pa.array(places), _signed(cells.ravel()))}
 
     def sets_of(column: pa.Array) -> dict[str, pa.Array]:
         hashes, ends = shingle_sets(column, words_each)
         return {"own": _signed(_set_hash(hashes, ends)), "shingles": pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), _signed(hashes))}
 
-    rows = checkpointed(_mapped(keyed, key, text, sketched, "node bigint, n bigint, cells array<bigint>"))
-    nodes = rows.groupBy("node").agg(F.min("key").alias("least"), F.first("n").alias("n"), F.first("cells").alias("cells"))
+    rows = checkpointed(_mapped(keyed, key, text, sketched, "node bigint, fp bigint, n bigint, cells array<bigint>"))
+    nodes = rows.groupBy("node").agg(F.min("key").alias("least"), F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("cells").alias("cells"))
     cells = nodes.select("node", "n", F.explode("cells").alias("cell"))
     shared = checkpointed(_by_cell(cells, ["node", "n"], _shared, "cell bigint, node bigint, n bigint"))
 
-    alike = simhash.near_duplicates(keyed, key, text, words_each).select(F.col(key).alias("key"), "component_id").filter("key <> component_id")
-    named = rows.select("key", "node")
-    alike = alike.join(named.toDF("key", "x"), "key").join(named.toDF("component_id", "y"), "component_id").filter("x <> y")
+    of_print = checkpointed(nodes.groupBy("fp").agg(F.min("node").alias("node")))
+    alike = simhash.links(of_print.select("fp")).join(of_print.toDF("a", "x"), "a").join(of_print.toDF("b", "y"), "b").select("x", "y")
+    alike = alike.union(nodes.select("fp", "node").join(of_print.toDF("fp", "x"), "fp").filter("node <> x").select("x", "node"))
     first = _by_cell(shared, ["node", "n"], _linear, "a bigint, b bigint").union(alike.select(F.least("x", "y"), F.greatest("x", "y")))
     first = checkpointed(first.distinct())
 
     wanted = shared.select("node").union(first.select("a")).union(first.select("b")).distinct().join(nodes.select("node", "least"), "node")
-    texts = keyed.join(wanted.select(F.col("least").alias(key)), key)
+    wanted = checkpointed(wanted.select(F.col("least").alias(key)))
+    texts = keyed.filter(maybe_among(wanted, key)).join(wanted, key)
     # a key that repeats may bring another row's text: the set's own hash tells
     sets = checkpointed(_mapped(texts, key, text, sets_of, "own bigint, shingles array<bigint>").select(F.col("own").alias("node"), "shingles").dropDuplicates(["node"]))
 

@@ -27,8 +27,10 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of texts at a similarity of 0.8 or more the smallest doc_id stays; without a doc_id, all stay."""
     found = shingle_sets.near_copies(docs)
-    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = checkpointed(found.filter("doc_id <> component_id").select("doc_id").distinct())
+    marked = docs.withColumn("_maybe", F.coalesce(shingle_sets.maybe_among(gone, "doc_id"), F.lit(False)))
+    # most rows are surely not among them, and aren't shuffled
+    return marked.filter(~F.col("_maybe")).union(marked.filter("_maybe").join(gone, "doc_id", "left_anti").select(*marked.columns)).select(*docs.columns)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
