@@ -5,13 +5,13 @@ from __future__ import annotations
 import ctypes
 import gc
 import sys
-import tempfile
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 _LIBC = ctypes.CDLL(None) if sys.platform == "linux" and hasattr(ctypes.CDLL(None), "malloc_trim") else None
 
@@ -29,21 +29,53 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder that the cluster names.
-
-    Only where ``spark.checkpoint.dir`` is unset (tests on one machine) a temporary folder is chosen.
-    """
+    """Cut the lineage with a reliable checkpoint in the folder that the session names, which all executors must share."""
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
+        if not folder:
+            raise ValueError("spark.checkpoint.dir is not set: it names a folder that driver and executors share")
+        context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 
+def quoted(name: str) -> str:
+    """A column's name as Spark reads it back, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def row_of(docs: DataFrame, *without: str) -> Column:
+    """A struct ``row`` of a row's columns, whatever their names."""
+    return F.struct(*[F.col(quoted(c)) for c in docs.columns if c not in without]).alias("row")
+
+
+def with_fields(fields: Iterable[StructField], more: str) -> StructType:
+    """A schema of some fields and those that a DDL string names."""
+    return StructType([*fields, *StructType.fromDDL(more).fields])
+
+
+#: A key that more than this share of all rows have is joined by broadcast: there are HOT_SHARE such keys at most.
+HOT_SHARE = 1000
+
+
+def joined_hot(rows: DataFrame, table: DataFrame, on: str, n_rows: int, count: str) -> DataFrame:
+    """rows joined with table, whose keys are unique and which says in ``count`` how many rows have each (the column goes).
+
+    The keys of over 1/HOT_SHARE of n_rows rows, of which there are HOT_SHARE at most, are broadcast, so that a key that a
+    third of all rows have doesn't make one task join them all; the others are joined by a shuffle.
+    """
+    others = [c for c in table.columns if c not in (on, count)]
+    is_hot = F.col(count) * HOT_SHARE > F.lit(n_rows)
+    marked = rows.join(F.broadcast(table.filter(is_hot).select(on, *others, F.lit(True).alias("_hot"))), on, "left")
+    columns = [*rows.columns, *others]
+    cold = marked.filter(F.col("_hot").isNull()).select(*rows.columns).join(table.filter(~is_hot).select(on, *others), on)
+    return marked.filter("_hot").select(*columns).union(cold.select(*columns))
+
+
 def total_bytes(docs: DataFrame, text: str = "text") -> tuple[int, int]:
     """Rows and UTF-8 bytes of the texts: one native aggregate, two numbers to the driver."""
-    row = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.col(text))).alias("b")).first()
+    row = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.col(quoted(text)).cast("string"))).alias("b")).first()
     return int(row["n"]), int(row["b"] or 0)
 
 

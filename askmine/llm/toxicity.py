@@ -3,51 +3,96 @@
 The kernel of two words counts their common subsequences of ORDER letters, each weighed by DECAY to the letters that it
 spans in both, and is normalised. Gaps cost little, so a word with inserted characters stays close to the word itself;
 characters other than letters drop out before ("i.d-i*o_t"), digits count as the letters that they stand for, and a run
-of three or more single letters counts as one word as well ("i d i o t"). A landmark's kernel is taken for words that
-have at least SHARE of its distinct letters and at most twice its length; elsewhere it is 0, in training and scoring
-alike. A sentence has the largest kernel value of its words for each landmark, mapped by the landmarks' inverse root
-kernel matrix (Nystroem); the machine scores sentences, and a text has its highest sentence's score.
-
-Training takes labelled sentences from at most about TRAIN_ROWS labelled rows, chosen by a hash of the key (a documented
-bound; all rows are scored). Landmarks are words that the toxic rows hold unusually often, none too close to one before
-it, and their nearest words in the others. A toxic row stands for its three highest-scoring sentences, chosen anew in
-each round; all sentences of the others are negative. Copies of the toxic words with inserted letters join as positives.
-Scores are calibrated by isotonic regression over rows.
+of three or more single letters counts as one word as well ("i d i o t"). Every letter of any script is itself; a mark
+before the first one counts as a letter too. A landmark's kernel is taken for words that have at least SHARE of its
+distinct letters (an insertion or a gap takes none away) and at most twice its length; elsewhere it is 0, in training and
+scoring alike. A sentence has the largest kernel value of its words for each landmark, mapped by the landmarks' inverse
+root kernel matrix (Nystroem); the machine scores sentences. A text has four facts: its highest sentence's score, the
+sums of its sentences' scores above two margins, and its number of words (one weak hit in a long text is no evidence); a
+logistic function of them is calibrated by isotonic regression over rows.
+
+Training takes labelled sentences from at most about TRAIN_ROWS labelled rows or SAMPLE_BYTES of whole texts, chosen by a
+hash of the key (documented bounds; all rows are scored). Landmarks are words of up to LONGEST letters, or beginnings that
+STEM such words share, that the toxic rows hold unusually often, none too close to one before it, and their nearest words
+in the others. A toxic row stands for its STAND highest-scoring sentences, chosen anew in each round; all sentences of the
+others are negative. Copies of the toxic words with inserted letters join as positives.
 
 Null, empty and blank texts have no words and get the score of a text without any landmark's word. Without labels of
-both kinds every score is 0.5. Rows with a null label aren't learnt from. Repeated rows each get a score. Texts are read
-whole, whatever their length. An empty table gives no rows.
+both kinds every score is 0.5. Rows with a null label aren't learnt from, and of repeated labels each counts. Repeated
+rows each get a score, equal ones the same. Texts are read whole, whatever their length. An empty table gives no rows.
+Other columns, whatever their names, aren't read, or come along in the struct.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import unicodedata
+from collections import Counter
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from askmine.llm.base import release, row_blocks, text_buffer
+from askmine.llm.base import checkpointed, quoted, release, row_blocks, row_of, text_buffer, with_fields
 from askmine.llm.calibrate import calibrated, isotonic
 from askmine.llm.substring_dedup import IS_SPACE, word_bounds, word_hashes
 
-ORDER, DECAY, SHARE = 3, 0.6, 0.75
+ORDER, DECAY, SHARE = 3, 0.6, 0.8
 #: Rows to learn from, landmarks of toxic words and of near other words, rounds of choosing sentences, and the machine's cost.
-TRAIN_ROWS, LANDMARKS, NEAR, ROUNDS, COST = 4000, 28, 8, 4, 2.0
+TRAIN_ROWS, LANDMARKS, NEAR, ROUNDS, COST = 4000, 56, 32, 4, 2.0
 #: Kernel value above which a word is too close to a landmark to be another, smallest eigenvalue, and sentences that stand for a row.
-CLOSE, LEAST, STAND = 0.7, 0.05, 3
-SHARD_BYTES, TRAIN_BYTES, SEED = 2 << 20, 1 << 20, 20240229
-#: Letter codes: 0 drops out, 1 to 26 are a to z, 27 is any letter beyond ASCII (its first byte stands for it).
-LETTERS = np.zeros(256, np.uint8)
-LETTERS[97:123] = LETTERS[65:91] = np.arange(1, 27)
-LETTERS[0xC0:] = 27
-for digit, letter in zip(b"013457", b"oieast"):  # digits that stand for letters
-    LETTERS[digit] = letter - 96
-BITS = np.concatenate([[0], 1 << np.arange(27)]).astype(np.uint32)
+CLOSE, LEAST, STAND = 0.8, 0.05, 8
+#: Words whose kernel values a worker remembers; then it begins anew.
+CACHE = 100_000
+#: Sentence scores from which a text's sentences add up.
+MARGINS = (-1.0, -0.5)
+#: Logarithm of the least ratio of frequencies of a landmark, its most letters, and how many of such words make their common beginning one.
+ODDS, LONGEST, STEM = 2.1, 32, 3
+SHARD_BYTES, TRAIN_BYTES, SAMPLE_BYTES, SEED = 2 << 20, 1 << 20, 24 << 20, 20240229
+#: Digits that stand for letters.
+DIGITS = dict(zip("013457", "oieast"))
 ENDS = np.isin(np.arange(256), list(b".!?"))
 
 
+def _letter(place: int) -> int:
+    """The code of a character: 0 drops out, 1 to 26 are a to z, any other letter or mark has a code of its own, by its small form."""
+    char = chr(place)
+    char = DIGITS.get(char, char.lower())
+    if char.isascii():
+        return ord(char) - 96 if char.isalpha() else 0
+    return ord(char[0]) if char[0].isalpha() or unicodedata.category(char[0]) in ("Mc", "Mn") and ord(char[0]) >= 0x370 else 0
+
+
+#: Stands before a word's first letter, so that a common beginning counts for more than letters anywhere.
+MARK = 0x110000
+#: Codes of the characters below 0x10000; beyond, each is its own.
+LETTERS = np.array([_letter(x) if x < 0xD800 or x > 0xDFFF else 0 for x in range(1 << 16)], np.uint32)
+
+
+def letters(data: np.ndarray) -> np.ndarray:
+    """The letter code at each first byte of a UTF-8 character, 0 at the others."""
+    out = LETTERS[data]  # right for ASCII; bytes beyond it follow
+    lead = np.flatnonzero(data >= 0x80)
+    out[lead] = 0
+    lead = lead[data[lead] >= 0xC2]
+    tail = np.append(data, np.zeros(3, np.uint8)).astype(np.uint32) & 0x3F
+    first = data[lead].astype(np.uint32)
+    for low, high, bits, more in ((0xC2, 0xDF, 0x1F, 1), (0xE0, 0xEF, 0x0F, 2), (0xF0, 0xF4, 0x07, 3)):
+        at = (first >= low) & (first <= high)
+        place = first[at] & bits
+        for k in range(1, more + 1):
+            place = place << 6 | tail[lead[at] + k]
+        out[lead[at]] = LETTERS[place] if more < 3 else place
+    return out
+
+
+def bits(codes: np.ndarray) -> np.ndarray:
+    """One bit of 64 for a letter: a to z have their own, the others share the rest."""
+    place = np.where(codes < 27, codes, 27 + codes % 37).astype(np.uint64)
+    return np.where(codes > 0, np.uint64(1) << place, np.uint64(0))
+
+
 class Words:
     """Of the texts in a column: words as letter codes, with the sentence and the text of each."""
 
@@ -61,7 +106,7 @@ class Words:
         text_end = np.cumsum(lengths + 1)
         start, end = word_bounds(data, IS_SPACE)
         doc = np.searchsorted(text_end, start, "right")
-        codes = LETTERS[data]
+        codes = letters(data)
         is_letter = codes > 0
         before = np.concatenate([[0], np.cumsum(is_letter)])
         lines = np.concatenate([[0], np.cumsum(data == 10)])
@@ -81,27 +126,36 @@ class Words:
         self.start, self.end = np.concatenate([a, a[first]]), np.concatenate([b, b[stop - 1]])
         self.doc, self.sentence = np.concatenate([doc, doc[first]]), np.concatenate([sentence, sentence[first]])
 
-    def masks(self) -> np.ndarray:
-        """The set of letters of each word, as bits."""
-        if not len(self.start):
-            return np.zeros(0, np.uint32)
-        bounds = np.append(np.column_stack([self.start, self.end]).ravel(), 0)[:-1]
-        padded = np.append(BITS[self.codes], np.uint32(0))
-        return np.bitwise_or.reduceat(padded, bounds)[::2]
+    def masks(self, at: np.ndarray) -> np.ndarray:
+        """The set of letters of each of some words, as bits."""
+        if not len(at):
+            return np.zeros(0, np.uint64)
+        order = np.argsort(self.start[at])  # in their order, what lies between two words is short
+        bounds = np.column_stack([self.start[at], self.end[at]])[order].ravel()
+        out = np.empty(len(at), np.uint64)
+        out[order] = np.bitwise_or.reduceat(np.append(bits(self.codes), np.uint64(0)), bounds)[::2]
+        return out
 
     def padded(self, at: np.ndarray, width: int) -> np.ndarray:
-        """The codes of some words, zeros after their ends."""
-        place = np.arange(width)
-        index = np.minimum(self.start[at, None] + place, len(self.codes) - 1)
-        return np.where(place < (self.end - self.start)[at, None], self.codes[index], 0)
+        """MARK and the codes of some words, zeros after their ends."""
+        place = np.arange(-1, width)
+        index = np.clip(self.start[at, None] + place, 0, len(self.codes) - 1)
+        out = np.where(place < (self.end - self.start)[at, None], self.codes[index], np.uint32(0))
+        out[:, 0] = MARK
+        return out
 
 
 def encoded(word: str) -> np.ndarray:
-    return LETTERS[np.frombuffer(word.encode(), np.uint8)]
+    codes = letters(np.frombuffer(word.encode(), np.uint8))
+    return _marked(codes[codes > 0])
+
+
+def _marked(codes: np.ndarray) -> np.ndarray:
+    return np.concatenate([[MARK], codes]).astype(np.uint32)
 
 
 def decoded(codes: np.ndarray) -> str:
-    return "".join("~" if c == 27 else chr(96 + c) for c in codes if c)
+    return "".join(chr(96 + c) if c < 27 else chr(c) for c in codes.tolist() if 0 < c < MARK)
 
 
 def subsequence_kernel(s: np.ndarray, t: np.ndarray) -> np.ndarray:
@@ -135,37 +189,64 @@ def _self_kernel(rows: np.ndarray) -> np.ndarray:
 class Landmarks:
     def __init__(self, words: list[np.ndarray]):
         self.words = words
-        self.masks = np.array([np.bitwise_or.reduce(BITS[w]) for w in words], np.uint32)
+        self.masks = np.array([np.bitwise_or.reduce(bits(w[1:])) for w in words], np.uint64)
         self.need = np.ceil(SHARE * np.bitwise_count(self.masks)).astype(int)
-        self.sizes = np.array([len(w) for w in words])
+        self.sizes = np.array([len(w) - 1 for w in words])
         self.norms = np.array([_self_kernel(w[None])[0] for w in words])
         self.reach = 2 * self.sizes
         self.width = int(self.reach.max()) if words else 1
+        self.forget()
+
+    def forget(self) -> None:
+        self.cache = np.zeros(0, np.uint64), np.zeros((0, len(self.words)), np.float32)
 
     def kernels(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(word, landmark, value) wherever a landmark's kernel is taken and isn't 0."""
-        size, masks = words.end - words.start, words.masks()
+        size = words.end - words.start
         sound = np.flatnonzero((size >= ORDER) & (size <= self.width))
-        near = [sound[(np.bitwise_count(masks[sound] & m) >= need) & (size[sound] <= reach)] for m, need, reach in zip(self.masks, self.need, self.reach)]
-        some = np.unique(np.concatenate([np.zeros(0, np.int64), *near]))
-        if not len(some):
+        if not len(sound) or not self.words:
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-        _, one, of = np.unique(word_hashes(words.codes, words.start[some], words.end[some]), return_index=True, return_inverse=True)
-        rows = words.padded(some[one], self.width)
+        names, one, of = np.unique(word_hashes(words.codes, words.start[sound], words.end[sound]), return_index=True, return_inverse=True)
+        values = self._values(names, words, sound[one])
+        some = np.flatnonzero(values.any(1)[of])
+        at, landmark = np.nonzero(values[of[some]])
+        return sound[some[at]], landmark, values[of[some[at]], landmark].astype(float)
+
+    def _values(self, names: np.ndarray, words: Words, at: np.ndarray) -> np.ndarray:
+        """A row of kernel values for each of some different words; names are their hashes, by which a worker's cache knows them."""
+        known, rows = self.cache
+        place = np.searchsorted(known, names)
+        place[place == len(known)] = 0
+        is_known = known[place] == names if len(known) else np.zeros(len(names), bool)
+        out = np.zeros((len(names), len(self.words)), np.float32)
+        out[is_known] = rows[place[is_known]]
+        new = np.flatnonzero(~is_known)
+        out[new] = self._computed(words, at[new])
+        if len(known) + len(new) > CACHE:
+            known, rows = known[:0], rows[:0]
+        if len(new) <= CACHE:
+            known, rows = np.concatenate([known, names[new]]), np.concatenate([rows, out[new]])
+            order = np.argsort(known)
+            self.cache = known[order], rows[order]
+        return out
+
+    def _computed(self, words: Words, at: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(at), len(self.words)), np.float32)
+        size, masks = (words.end - words.start)[at], words.masks(at)
+        near = [np.flatnonzero((np.bitwise_count(masks & m) >= need) & (size <= reach)) for m, need, reach in zip(self.masks, self.need, self.reach)]
+        some = np.unique(np.concatenate(near))
+        if not len(some):
+            return out
+        rows = words.padded(at[some], self.width)
         norms = _self_kernel(rows)
-        place = np.full(len(size), -1)
-        place[some] = of
-        out = []
-        for j, at in enumerate(near):
-            own, back = np.unique(place[at], return_inverse=True)
-            if not len(own):
-                continue
-            reach = self.reach[j]
-            values = np.concatenate([subsequence_kernel(rows[own[a : a + 4096], :reach], self.words[j][None]) for a in range(0, len(own), 4096)])
-            values = values / np.sqrt(np.maximum(norms[own] * self.norms[j], 1e-30))
-            out.append((at, np.full(len(at), j), values[back]))
-        word, landmark, value = (np.concatenate(x) for x in zip(*out))
-        return word[value > 0], landmark[value > 0], value[value > 0]
+        for j, own in enumerate(near):
+            own = own[np.argsort(size[own], kind="stable")]
+            for a in range(0, len(own), 2048):
+                part = own[a : a + 2048]
+                row = np.searchsorted(some, part)
+                value = subsequence_kernel(rows[row, : size[part[-1]] + 1], self.words[j][None])
+                out[part, j] = value / np.sqrt(np.maximum(norms[row] * self.norms[j], 1e-30))
+        return out
 
     def sentences(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """The text of each sentence that has any kernel value, and a row of its largest values."""
@@ -200,7 +281,7 @@ class Model:
 
     def __init__(self, texts: list[str], toxic: np.ndarray, n_landmarks: int = LANDMARKS, cost: float = COST):
         self.landmarks = Landmarks([])
-        self.weights, self.bias, self.evidence, self.knots = np.zeros(0), 0.0, np.zeros(4), (np.zeros(0), np.zeros(0))
+        self.weights, self.bias, self.evidence, self.knots = np.zeros(0), 0.0, np.zeros(5), (np.zeros(0), np.zeros(0))
         if not len(texts) or toxic.all() or not toxic.any():
             return
         chosen = _choose(texts, toxic, n_landmarks)
@@ -244,11 +325,12 @@ class Model:
         self.knots = isotonic(self._evidence(facts), toxic.astype(float), np.ones(len(toxic)))
 
     def _facts(self, sizes: np.ndarray, doc: np.ndarray, score: np.ndarray) -> np.ndarray:
-        """Of each text: its highest sentence score, the sum of scores above the margin (rooted), and its words (log)."""
-        most, total = np.full(len(sizes), self.bias), np.zeros(len(sizes))
+        """Of each text: its highest sentence score, the sums of scores above two margins (logarithms), and its words (log)."""
+        most, sums = np.full(len(sizes), self.bias), np.zeros((2, len(sizes)))
         np.maximum.at(most, doc, score)
-        np.add.at(total, doc, np.maximum(0, score + 1))
-        return np.column_stack([np.clip(most, -2, 3), np.sqrt(total), np.log1p(sizes)])
+        for total, margin in zip(sums, MARGINS):
+            np.add.at(total, doc, np.maximum(0, score - margin))
+        return np.column_stack([np.clip(most, -2, 3), *np.log(sums + 0.05), np.log1p(sizes)])
 
     def _evidence(self, facts: np.ndarray) -> np.ndarray:
         return facts @ self.evidence[:-1] + self.evidence[-1]
@@ -263,8 +345,8 @@ class Model:
 
 def _inserted(word: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     """The word with a letter inserted, or two if it is a longer one."""
-    n = 1 + (len(word) > 6)
-    return np.insert(word, np.sort(rng.integers(1, len(word), n)), rng.integers(1, 27, n))
+    n = 1 + (len(word) > 7)
+    return np.insert(word, np.sort(rng.integers(2, len(word), n)), rng.integers(1, 27, n))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> np.ndarray:
@@ -309,60 +391,95 @@ def _nearest(chosen: list[np.ndarray], texts: list[str], toxic: np.ndarray) -> l
         for w, v in zip(word[some].tolist(), value[some].tolist()):
             name = words.codes[words.start[w] : words.end[w]].tobytes()
             best[name] = max(v, best.get(name, 0.0))
-    return [np.frombuffer(x, np.uint8) for x in sorted(best, key=lambda x: (-best[x], x))[:400]]
-
-
-def _choose(texts: list[str], toxic: np.ndarray, n: int) -> list[np.ndarray]:
-    """Words that toxic rows hold more often than others, by their log odds in standard deviations."""
-    counts = []
-    for start, words in _blocks(texts):
-        size = words.end - words.start
-        at = np.flatnonzero((size > ORDER) & (size <= 32))
-        h, doc = word_hashes(words.codes, words.start[at], words.end[at]) if len(at) else np.zeros(0, np.uint64), words.doc[at]
+    near = (x for x in best if best[x] <= CLOSE)  # the others are too close to be landmarks
+    return [_marked(np.frombuffer(x, np.uint32)) for x in sorted(near, key=lambda x: (-best[x], x))]
+
+
+def _tally(texts: list[str], toxic: np.ndarray, spans: Callable[[Words], tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, worth) of the letter runs that spans gives of some texts' words (starts, ends and texts): the toxic rows that hold
+    a run, times the logarithm of how much more often than others they do, less one deviation; 0 if that is under ODDS."""
+    counts = [(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))]
+    for first, words in _blocks(texts):
+        start, end, doc = spans(words)
+        if not len(start):
+            continue
+        h = word_hashes(words.codes, start, end)
         order = np.lexsort((doc, h))
         h, doc = h[order], doc[order]
         once = np.ones(len(h), bool)
         once[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
         name, of = np.unique(h[once], return_inverse=True)
-        counts.append((name, np.bincount(of, weights=toxic[doc[once] + start], minlength=len(name)), np.bincount(of, minlength=len(name))))
+        counts.append((name, np.bincount(of, weights=toxic[doc[once] + first], minlength=len(name)), np.bincount(of, minlength=len(name))))
     names, of = np.unique(np.concatenate([c[0] for c in counts]), return_inverse=True)
     k, every = (np.bincount(of, weights=np.concatenate([c[i] for c in counts]), minlength=len(names)) for i in (1, 2))
     p, q = (k + 0.5) / (toxic.sum() + 1), (every - k + 0.5) / ((~toxic).sum() + 1)
-    z = np.log(p / q) / np.sqrt(1 / (k + 0.5) + 1 / (every - k + 0.5))
-    good = np.flatnonzero((k >= 3) & (p > 3 * q) & (z > 2))
-    good = good[np.argsort(-z[good], kind="stable")][:2000]
-    odds, spelled = dict(zip(names[good].tolist(), z[good].tolist())), {}
-    for _, words in _blocks(texts):
-        size = words.end - words.start
-        at = np.flatnonzero((size > ORDER) & (size <= 32))
-        h = word_hashes(words.codes, words.start[at], words.end[at]) if len(at) else np.zeros(0, np.uint64)
-        one, first = np.unique(h, return_index=True)
-        for name, i in zip(one.tolist(), first.tolist()):
-            if name in odds:
-                spelled[name] = words.codes[words.start[at[i]] : words.end[at[i]]].tobytes()
-    return _spread([np.frombuffer(spelled[x], np.uint8) for x in sorted(odds, key=lambda x: (-odds[x], spelled[x]))], n)
+    bound = np.log(p / q) - np.sqrt(1 / (k + 0.5) + 1 / (every - k + 0.5))
+    return names, np.where((k >= 3) & (bound > ODDS), k * bound, 0.0)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", learn: Column | None = None, key: str = "doc_id", text: str = "text", train_rows: int = TRAIN_ROWS) -> Model:
-    """Learn from about train_rows of the labelled rows for which learn, a condition on ``key``, holds."""
+def _choose(texts: list[str], toxic: np.ndarray, n: int) -> list[np.ndarray]:
+    """Words, and beginnings that several of them share, that toxic rows hold much more often than others."""
+
+    def whole(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        size = words.end - words.start
+        at = np.flatnonzero((size > ORDER) & (size <= LONGEST))
+        return words.start[at], words.end[at], words.doc[at]
+
+    names, worth = _tally(texts, toxic, whole)
+    good = np.flatnonzero(worth > 0)
+    odds, spelled = dict(zip(names[good].tolist(), worth[good].tolist())), {}
+    for _, words in _blocks(texts):
+        start, end, _ = whole(words)
+        one, first = np.unique(word_hashes(words.codes, start, end) if len(start) else np.zeros(0, np.uint64), return_index=True)
+        for i in first[np.isin(one, names[good])].tolist():
+            word = words.codes[start[i] : end[i]]
+            spelled[tuple(word.tolist())] = odds[int(word_hashes(word, np.array([0]), np.array([len(word)]))[0])]
+    shared = Counter(w[:size] for w in spelled for size in range(ORDER + 1, len(w)))
+    stems = {w: w for w, many in shared.items() if many >= STEM}
+    for size in sorted({len(w) for w in stems}):
+
+        def begun(words: Words, size: int = size) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            at = np.flatnonzero(words.end - words.start >= size)
+            return words.start[at], words.start[at] + size, words.doc[at]
+
+        own = [np.array(w, np.uint32) for w in stems if len(w) == size]
+        found = dict(zip(*(x.tolist() for x in _tally(texts, toxic, begun))))
+        for w in own:
+            value = found[int(word_hashes(w, np.array([0]), np.array([size]))[0])]
+            if value > 0:
+                spelled[tuple(w.tolist())] = max(value, spelled.get(tuple(w.tolist()), value))
+    return _spread([_marked(np.array(w, np.uint32)) for w in sorted(spelled, key=lambda w: (-spelled[w], w))], n)
+
+
+def fit(
+    docs: DataFrame, labels: DataFrame, label: str = "toxic", learn: Column | None = None, key: str = "doc_id", text: str = "text", train_rows: int = TRAIN_ROWS, train_bytes: int = SAMPLE_BYTES
+) -> Model:
+    """Learn from about train_rows of the labelled rows for which learn, a condition on ``key``, holds; from fewer, if their
+    texts, which are taken whole, have more than train_bytes."""
     known = labels.filter(F.col(label).isNotNull())
     known = known.filter(learn) if learn is not None else known
     known = known.select(F.col(key).alias("key"), (F.col(label) > 0).alias("toxic"))
     n = known.count()
     if not n:
         return Model([], np.zeros(0, bool))
+
+    def chosen(rows: DataFrame, share: float) -> DataFrame:
+        return rows.filter(F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1))
+
+    slim = docs.select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).cast("string").alias("text"))
     share = min(1.0, train_rows / n)
-    sample = known.filter(F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1))
-    slim = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    rows = slim.join(sample, "key").sort("key", "text").toArrow()  # about train_rows rows, a documented bound
+    sample = checkpointed(slim.join(chosen(known, share), "key"))  # a table of about train_rows rows
+    size = sample.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    rows = chosen(sample, share * min(1.0, train_bytes / max(1, size))).sort("key", "text").toArrow()  # both bounds are documented
     return Model([t or "" for t in rows["text"].to_pylist()], rows["toxic"].to_numpy().astype(bool))
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", carry: bool = False) -> DataFrame:
     """key, score (0 to 1) of every row. carry: a struct ``row`` of all of the row's columns comes along."""
+    model.landmarks.forget()
     shared = docs.sparkSession.sparkContext.broadcast(model)  # some landmarks, weights and knots
     # the text comes once: in the row, where that comes along
-    slim = docs.select(F.col(key).alias("key"), F.struct(*[docs[c] for c in docs.columns]).alias("row") if carry else F.col(text).cast("string").alias("text"))
+    slim = docs.select(F.col(quoted(key)).alias("key"), row_of(docs) if carry else F.col(quoted(text)).cast("string").alias("text"))
     fields = [f for f in slim.schema if f.name != "text"]
     place = docs.columns.index(text)
 
@@ -374,6 +491,6 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
                 scores = pa.array(model.scores(texts.slice(a, b - a)))
                 yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns[: 1 + carry], scores], [*(f.name for f in fields), "score"])
             release()
+        model.landmarks.forget()
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "score double"])
-    return slim.mapInArrow(run, schema).withColumnRenamed("key", key)
+    return slim.mapInArrow(run, with_fields(fields, "score double")).withColumnRenamed("key", key)
