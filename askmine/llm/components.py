@@ -1,44 +1,54 @@
-"""Connected components by alternating large-star and small-star rounds, each cut by a reliable checkpoint."""
+"""Connected components by alternating large-star and small-star rounds, each cut by a reliable checkpoint.
+
+An empty table of edges gives no rows. Loops, repeated edges, and edges in both directions don't matter; nodes without an
+edge are absent; a null end makes no edge. A node with many neighbours is joined by broadcast (see ``joined_hot``).
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from askmine.llm.base import checkpointed
+from askmine.llm.base import checkpointed, joined_hot
 
 
 def _least(edges: DataFrame) -> DataFrame:
-    """The smallest of each node and its neighbours: partial sums before the shuffle, so hot nodes are cheap."""
-    return edges.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+    """The smallest of each node and its neighbours, and their number: partial sums before the shuffle, so hot nodes are cheap."""
+    return edges.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count(F.lit(1)).alias("n"))
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, n: int) -> DataFrame:
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    joined = both.filter("b > a").join(_least(both), "a")
+    joined = joined_hot(both.filter("b > a"), _least(both), "a", 2 * n, "n")
     return joined.select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, n: int) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = _least(down)
-    moved = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    moved = joined_hot(down, least, "a", n, "n").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """node, root (the smallest node of its component) of every node that has an edge; edges: two columns, a and b.
 
-    Loops and repeated edges don't matter. Nodes without an edge are absent. Only a count and a checksum per round
-    reach the driver.
+    Only a count and a checksum per round reach the driver.
     """
-    edges = edges.toDF("a", "b").filter("a <> b").distinct()
-    before = None
-    for _ in range(most_rounds):
-        edges = checkpointed(_small_star(_large_star(edges)))
+
+    def counted(edges: DataFrame) -> tuple[int, int]:
         row = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 31))).alias("s")).first()
-        now = (row["n"], row["s"])
-        if now == before or not row["n"]:
+        return row["n"], row["s"]
+
+    edges = checkpointed(edges.toDF("a", "b").filter("a <> b").distinct())
+    before = counted(edges)
+    for _ in range(most_rounds):
+        if not before[0]:
+            break
+        starred = checkpointed(_large_star(edges, before[0]))
+        edges = checkpointed(_small_star(starred, before[0]))
+        now = counted(edges)
+        if now == before:
             break
         before = now
     else:

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from askmine.llm.base import checkpointed, release, text_buffer
+from askmine.llm.base import checkpointed, joined_hot, quoted, release, text_buffer, with_fields
 from askmine.llm.components import components
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -58,8 +58,7 @@ def fingerprint(text: bytes, words_each: int = 4) -> int:
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words_each: int = 4) -> DataFrame:
     """key, fp (the fingerprint's bits as a signed long)."""
-    slim = docs.select(F.col(key), F.col(text).cast("string").alias("text"))
-    kind = slim.schema[0].dataType.simpleString()
+    slim = docs.select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -68,7 +67,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64), pa.int64())], ["key", "fp"])
             release()
 
-    return slim.mapInArrow(run, f"key {kind}, fp bigint").withColumnRenamed("key", key)
+    return slim.mapInArrow(run, with_fields([slim.schema["key"]], "fp bigint")).withColumnRenamed("key", key)
 
 
 def _long(x: int) -> Column:
@@ -167,10 +166,11 @@ def links(prints: DataFrame, distance: int = 4, n_groups: int | None = None, hot
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words_each: int = 4, distance: int = 4) -> DataFrame:
     """key, fp, component_id (the smallest key reachable by links, its own included) of every row."""
-    prints = checkpointed(fingerprints(docs, key, text, words_each))
-    least = prints.groupBy("fp").agg(F.min(key).alias("least"))
+    prints = checkpointed(fingerprints(docs, key, text, words_each).toDF("key", "fp"))
+    least = checkpointed(prints.groupBy("fp").agg(F.min("key").alias("least"), F.count(F.lit(1)).alias("n")))
     roots = components(links(least.select("fp"), distance))
     named = roots.join(least, roots["node"] == least["fp"])
-    ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_print = least.join(roots.join(ids, "root").select(F.col("node").alias("fp"), "component_id"), "fp", "left")
-    return prints.join(of_print.select("fp", F.coalesce("component_id", "least").alias("component_id")), "fp").select(key, "fp", "component_id")
+    ids = named.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n"))
+    of_node = joined_hot(roots, ids, "root", least.count(), "n").select(F.col("node").alias("fp"), "component_id")
+    of_print = least.join(of_node, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"), "n")
+    return joined_hot(prints, checkpointed(of_print), "fp", prints.count(), "n").select(F.col("key").alias(key), "fp", "component_id")
