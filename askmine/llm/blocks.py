@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from askmine.llm.base import block_of, blocks_for, release, text_buffer, total_bytes
+from askmine.llm.base import blocks_for, quoted, release, row_of, text_buffer, total_bytes
 
 #: Stands for a null key: before any other.
 NULL_KEY = np.iinfo(np.int64).min
@@ -27,8 +27,10 @@ def blocked(docs: DataFrame, key: str, text: str, block_bytes: int, carry: bool
     carry: the other columns come along as a struct ``row``.
     """
     n_blocks = blocks_for(total_bytes(docs, text)[1], block_bytes)
-    row = [F.struct(*[docs[c] for c in docs.columns if c != text]).alias("row")] if carry else []
-    return docs.select(block_of(F.col(key), n_blocks).alias("block"), F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text"), *row), n_blocks
+    row = [row_of(docs, text)] if carry else []
+    k, t = F.col(quoted(key)), F.col(quoted(text)).cast("string")
+    block = F.pmod(F.xxhash64(k, t), F.lit(n_blocks)).cast("int")  # by the text too: rows of one key, or of none, are spread
+    return docs.select(block.alias("block"), k.cast("bigint").alias("key"), t.alias("text"), *row), n_blocks
 
 
 class Block:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from askmine.llm.base import block_of, blocks_for, release, row_blocks, text_buffer, total_bytes
+from askmine.llm.base import block_of, blocks_for, quoted, release, row_blocks, row_of, text_buffer, total_bytes, with_fields
 from askmine.llm.substring_dedup import word_bounds, word_hashes
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -198,11 +198,10 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
     carry: a struct ``row`` of the document's other columns comes along.
     """
     shared = shared_queries(benchmark, item, item_text, window)
-    row = [F.struct(*[docs[c] for c in docs.columns if c != text]).alias("row")] if carry else []
-    slim = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"), *row)
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema if f.name != "text"]
+    row = [row_of(docs, text)] if carry else []
+    slim = docs.select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).cast("string").alias("text"), *row)
     names = ["n_words", "n_hit", "items", "spans", "cleaned"]
-    schema = ", ".join([*fields, "n_words bigint, n_hit bigint, items array<string>, spans array<bigint>, cleaned string"])
+    schema = with_fields([f for f in slim.schema if f.name != "text"], "n_words bigint, n_hit bigint, items array<string>, spans array<bigint>, cleaned string")
 
     def shard(part: pa.RecordBatch) -> list[pa.Array]:
         raw, ends = text_buffer(part.column(1))

@@ -10,7 +10,9 @@ and with the one before it, by size); the second takes all pairs in a cell that
 into one component. So a large group of near copies is not compared all with all, and no pair is left out.
 
 Null, empty and blank texts have the empty set, and link. Fewer words than a shingle: the whole sequence is the one
-shingle. Rows with a null key link nothing and are left out. Rows that repeat a key keep a row each.
+shingle. A row is known by its key and a hash of its text: rows that repeat a key with other texts count each by
+themselves, equal rows are counted, and a null key is one more key, after all others. Texts are read whole. An empty
+table gives no rows. Other columns may have any names; they are read only to be handed on.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from askmine.llm import simhash
-from askmine.llm.base import checkpointed, release, row_blocks, text_buffer
+from askmine.llm.base import checkpointed, joined_hot, quoted, release, row_blocks, row_of, text_buffer, with_fields
 from askmine.llm.components import components
 from askmine.llm.substring_dedup import IS_SPACE, word_bounds, word_hashes
 
@@ -109,10 +111,10 @@ def _fingerprint(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return out
 
 
-def maybe_among(keys: DataFrame, key: str) -> Column:
-    """Whether a row's key may be one of keys: surely if it is, else seldom. A bitmap of FILTER_BITS, whatever the number of keys."""
-    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
-    each = keys.select(slot(F.col(key)).alias("slot"))
+def maybe_among(keys: DataFrame, *columns: str) -> Column:
+    """Whether a row's columns may be those of a row of keys: surely if they are, else seldom. A bitmap of FILTER_BITS, whatever the number of keys."""
+    c = F.pmod(F.xxhash64(*columns), F.lit(FILTER_BITS))
+    each = keys.select(c.alias("slot"))
     parts = each.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).collect()
     bits = np.zeros(FILTER_BITS // 8 + 8192, np.uint8)  # a bucket has 4,096 bytes; the first may be numbered 1
     for part in parts:
@@ -125,23 +127,21 @@ def maybe_among(keys: DataFrame, key: str) -> Column:
         at = place.to_numpy()
         return pd.Series((shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))
 
-    c = slot(F.col(key))
     return among(F.bitmap_bucket_number(c) * F.lit(8 * 4096) + F.bitmap_bit_position(c))
 
 
-def _mapped(docs: DataFrame, key: str, text: str, make: Callable, schema: str) -> DataFrame:
-    slim = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    kind = slim.schema[0].dataType.simpleString()
+def _mapped(hashed: DataFrame, make: Callable, more: str) -> DataFrame:
+    """key, hash and what make gives for the texts; hashed: key, hash, text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in row_blocks(np.diff(text_buffer(batch.column(1))[1]).tolist(), BLOCK_BYTES):
+            for a, b in row_blocks(np.diff(text_buffer(batch.column(2))[1]).tolist(), BLOCK_BYTES):
                 part = batch.slice(a, b - a)
-                made = make(part.column(1))
-                yield pa.RecordBatch.from_arrays([part.column(0), *made.values()], ["key", *made])
+                made = make(part.column(2))
+                yield pa.RecordBatch.from_arrays([*part.columns[:2], *made.values()], ["key", "hash", *made])
             release()
 
-    return slim.mapInArrow(run, f"key {kind}, {schema}")
+    return hashed.select("key", "hash", "text").mapInArrow(run, with_fields(hashed.schema[:2], more))
 
 
 def _by_cell(rows: DataFrame, columns: list[str], make: Callable[..., list[np.ndarray]], schema: str) -> DataFrame:
@@ -220,8 +220,14 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", words_each: int = WORDS_EACH) -> DataFrame:
-    """key, component_id (the smallest key reachable by links, its own included) of every row that has a key."""
-    keyed = docs.select(F.col(key), F.col(text)).filter(F.col(key).isNotNull())
+    """Of each (key, text) that occurs: key, text_hash (XXH64 of the text), times (rows), component_id, first.
+
+    component_id is the smallest key reachable by links, its own included (null if none has a key). first: whether these
+    are the first rows of their component, by key (a null key last) and text_hash.
+    """
+    keyed = docs.select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).cast("string").alias("text"))
+    name = F.struct(F.col("key").isNull().alias("none"), "key", "hash").alias("name")
+    hashed = keyed.select("key", F.xxhash64("text").alias("hash"), "text")
 
     def sketched(column: pa.Array) -> dict[str, pa.Array]:
         hashes, ends = shingle_sets(column, words_each)
@@ -235,8 +241,8 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", words_
         hashes, ends = shingle_sets(column, words_each)
         return {"own": _signed(_set_hash(hashes, ends)), "shingles": pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), _signed(hashes))}
 
-    rows = checkpointed(_mapped(keyed, key, text, sketched, "node bigint, fp bigint, n bigint, cells array<bigint>"))
-    nodes = rows.groupBy("node").agg(F.min("key").alias("least"), F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("cells").alias("cells"))
+    rows = checkpointed(_mapped(hashed, sketched, "node bigint, fp bigint, n bigint, cells array<bigint>"))
+    nodes = rows.groupBy("node").agg(F.min(name).alias("least"), F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("cells").alias("cells"))
     cells = nodes.select("node", "n", F.explode("cells").alias("cell"))
     shared = checkpointed(_by_cell(cells, ["node", "n"], _shared, "cell bigint, node bigint, n bigint"))
 
@@ -247,10 +253,9 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", words_
     first = checkpointed(first.distinct())
 
     wanted = shared.select("node").union(first.select("a")).union(first.select("b")).distinct().join(nodes.select("node", "least"), "node")
-    wanted = checkpointed(wanted.select(F.col("least").alias(key)))
-    texts = keyed.filter(maybe_among(wanted, key)).join(wanted, key)
-    # a key that repeats may bring another row's text: the set's own hash tells
-    sets = checkpointed(_mapped(texts, key, text, sets_of, "own bigint, shingles array<bigint>").select(F.col("own").alias("node"), "shingles").dropDuplicates(["node"]))
+    wanted = checkpointed(_known(wanted.select(F.col("least.key").alias("key"), F.col("least.hash").alias("hash"))).select("id", "hash"))
+    texts = _known(hashed).filter(maybe_among(wanted, "id", "hash")).join(wanted, ["id", "hash"])
+    sets = checkpointed(_mapped(texts, sets_of, "own bigint, shingles array<bigint>").select(F.col("own").alias("node"), "shingles").dropDuplicates(["node"]))
 
     def verified(pairs: DataFrame) -> DataFrame:
         both = pairs.join(sets.toDF("a", "s"), "a").join(sets.toDF("b", "t"), "b").withColumn("same", F.size(F.array_intersect("s", "t")))
@@ -259,8 +264,33 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", words_
     links = checkpointed(verified(first))
     rooted = shared.join(components(links).toDF("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     second = _by_cell(rooted, ["node", "n", "root"], _across, "a bigint, b bigint").distinct().join(first, ["a", "b"], "left_anti")
-    roots = components(links.union(verified(second)))
-    least = nodes.select("node", "least")
-    ids = least.join(roots, "node").groupBy("root").agg(F.min("least").alias("component_id"))
-    of_node = least.join(roots.join(ids, "root").select("node", "component_id"), "node", "left").select("node", F.coalesce("component_id", "least").alias("component_id"))
-    return rows.select("key", "node").join(of_node, "node").select(F.col("key").alias(key), "component_id")
+    roots = checkpointed(components(links.union(verified(second))))
+    parted = rows.groupBy("key", "hash", "node").agg(F.count(F.lit(1)).alias("times"))
+    least = parted.groupBy("node").agg(F.min(name).alias("least"), F.count(F.lit(1)).alias("n"))
+    ids = least.join(roots, "node").groupBy("root").agg(F.min("least").alias("first"), F.count(F.lit(1)).alias("n"))
+    n_roots = roots.count()
+    of_node = least.join(joined_hot(roots, ids, "root", n_roots, "n").select("node", "first"), "node", "left")
+    of_node = checkpointed(of_node.select("node", F.coalesce("first", "least").alias("first"), "n"))
+    done = joined_hot(parted, of_node, "node", rows.count(), "n").withColumn("own", name)
+    return done.select(F.col("key").alias(key), F.col("hash").alias("text_hash"), "times", F.col("first.key").alias("component_id"), F.col("own").eqNullSafe(F.col("first")).alias("first"))
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", words_each: int = WORDS_EACH) -> DataFrame:
+    """docs with one row of each component, the first by key (a null key last) and by the text's hash; of equal rows of it one stays.
+
+    Identity is the pair of key and text, so that rows which repeat a key with another text are texts of their own. Most
+    rows surely stay, and aren't shuffled.
+    """
+    found = near_copies(docs, key, text, words_each).withColumnRenamed(key, "key").withColumnRenamed("text_hash", "hash")
+    found = checkpointed(_known(found.filter("not first or times > 1")).select("id", "hash", "first"))
+    marked = docs.select(F.struct(F.col(quoted(key)).alias("key"), F.xxhash64(F.col(quoted(text)).cast("string")).alias("hash"), row_of(docs)).alias("x")).select("x.key", "x.hash", "x.row")
+    marked = _known(marked).withColumn("maybe", F.coalesce(maybe_among(found, "id", "hash"), F.lit(False)))
+    sure = marked.filter(~F.col("maybe")).select("row.*")
+    gone = found.filter(~F.col("first")).select("id", "hash")
+    others = marked.filter("maybe").dropDuplicates(["id", "hash"]).join(gone, ["id", "hash"], "left_anti")  # one shuffle
+    return sure.union(others.select("row.*"))
+
+
+def _known(rows: DataFrame) -> DataFrame:
+    """rows with a number ``id`` of key and hash, which is never null and makes one identity with the hash."""
+    return rows.withColumn("id", F.xxhash64("key", "hash"))

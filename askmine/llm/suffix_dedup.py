@@ -22,7 +22,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql.types import LongType, StructField
 
+from askmine.llm.base import with_fields
 from askmine.llm.blocks import Block, binaries, blocked, bucket_cuts, by_bucket, mixed, pack, released, unpack
 
 GRAM = 32
@@ -402,7 +404,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     if length < 2 * GRAM:
         raise ValueError(f"strings of {2 * GRAM} bytes at least")
     blocks, n = blocked(docs, key, text, block_bytes, carry)
-    row = f"row {blocks.schema['row'].dataType.simpleString()}, " if carry else ""
+    row = [blocks.schema["row"]] if carry else []
     asked = blocks.groupBy("block").applyInArrow(_ask(length, n), "bucket int, block int, grams binary, wholes binary")
     answers = asked.groupBy("bucket").applyInArrow(_answer, "block int, bucket int, elsewhere binary, mixed binary")
     sent = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
@@ -410,5 +412,5 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     )
     sorted_ = sent.groupBy("bucket").applyInArrow(_sort(length), "block int, bucket int, windows binary")
     told = answers.unionByName(sorted_, allowMissingColumns=True)
-    done = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_apply(length, n, whole_characters), f"key bigint, {row}n_bytes bigint, n_removed bigint, spans array<bigint>, kept binary")
+    done = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_apply(length, n, whole_characters), with_fields([StructField("key", LongType()), *row], "n_bytes bigint, n_removed bigint, spans array<bigint>, kept binary"))
     return done.withColumnRenamed("key", key)
