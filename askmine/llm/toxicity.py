@@ -195,6 +195,7 @@ class Landmarks:
         self.norms = np.array([_self_kernel(w[None])[0] for w in words])
         self.reach = 2 * self.sizes
         self.width = int(self.reach.max()) if words else 1
+        self.most_known = CACHE
         self.forget()
 
     def forget(self) -> None:
@@ -210,7 +211,7 @@ class Landmarks:
         values = self._values(names, words, sound[one])
         some = np.flatnonzero(values.any(1)[of])
         at, landmark = np.nonzero(values[of[some]])
-        return sound[some[at]], landmark, values[of[some[at]], landmark].astype(float)
+        return sound[some[at]], landmark, values[of[some[at]], landmark]
 
     def _values(self, names: np.ndarray, words: Words, at: np.ndarray) -> np.ndarray:
         """A row of kernel values for each of some different words; names are their hashes, by which a worker's cache knows them."""
@@ -222,9 +223,9 @@ class Landmarks:
         out[is_known] = rows[place[is_known]]
         new = np.flatnonzero(~is_known)
         out[new] = self._computed(words, at[new])
-        if len(known) + len(new) > CACHE:
+        if len(known) + len(new) > self.most_known:
             known, rows = known[:0], rows[:0]
-        if len(new) <= CACHE:
+        if len(new) <= self.most_known:
             known, rows = np.concatenate([known, names[new]]), np.concatenate([rows, out[new]])
             order = np.argsort(known)
             self.cache = known[order], rows[order]
@@ -252,24 +253,32 @@ class Landmarks:
         """The text of each sentence that has any kernel value, and a row of its largest values."""
         word, landmark, value = self.kernels(words)
         if not len(word):
-            return np.zeros(0, np.int64), np.zeros((0, len(self.words)))
+            return np.zeros(0, np.int64), np.zeros((0, len(self.words)), np.float32)
         found, one, of = np.unique(words.sentence[word], return_index=True, return_inverse=True)
-        rows = np.zeros((len(found), len(self.words)))
-        np.maximum.at(rows, (of, landmark), value)
+        rows = np.zeros((len(found), len(self.words)), np.float32)
+        np.maximum.at(rows, (of, landmark), value.astype(np.float32))
         return words.doc[word[one]], rows
 
 
 def _machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float) -> np.ndarray:
-    """A linear machine with squared hinge loss, by Newton's method on the active rows; the last weight is the bias."""
-    x = np.column_stack([x, np.ones(len(x))])
+    """A linear machine with squared hinge loss, by Newton's method on the active rows; the last weight is the bias.
+
+    The last column of x is 1. Sums are taken over some rows at a time.
+    """
     w = np.zeros(x.shape[1])
     ridge = np.eye(len(w))
     ridge[-1, -1] = 1e-3
     active = np.ones(len(x), bool)
     for _ in range(50):
-        c = cost * weight[active]
-        w = np.linalg.solve(ridge + x[active].T @ (c[:, None] * x[active]), x[active].T @ (c * y[active]))
-        now = y * (x @ w) < 1
+        square, product = ridge.copy(), np.zeros(len(w))
+        at = np.flatnonzero(active)
+        for a in range(0, len(at), 4096):
+            own = at[a : a + 4096]
+            rows, c = x[own].astype(float), cost * weight[own]
+            square += rows.T @ (c[:, None] * rows)
+            product += rows.T @ (c * y[own])
+        w = np.linalg.solve(square, product)
+        now = y * (x @ w.astype(np.float32)) < 1
         if np.array_equal(now, active):
             break
         active = now
@@ -303,22 +312,28 @@ class Model:
         matrix = np.array([[subsequence_kernel(a[None], b[None])[0] for b in marks.words] for a in marks.words]) / np.sqrt(np.outer(marks.norms, marks.norms))
         values, vectors = np.linalg.eigh((matrix + matrix.T) / 2)
         root = (vectors / np.sqrt(np.maximum(values, LEAST))) @ vectors.T
-        x, more = rows @ root, extra @ root
+        del words
+        marks.forget()
+        root32 = root.astype(np.float32)
+        many_more = len(extra)
+        top = rows[:, :first].max(1, initial=0)
+        x = np.ones((len(doc) + many_more + 1, rows.shape[1] + 1), np.float32)
+        x[: len(doc), :-1], x[len(doc) : -1, :-1], x[-1, :-1] = rows @ root32, extra @ root32, 0
+        del rows, extra
         positive = toxic[doc]
         n_plain = n_sentences - len(doc)
-        score = rows[:, :first].max(1, initial=0)
+        score = top
         for _ in range(ROUNDS):
             order = np.lexsort((-score, doc))
             place = np.arange(len(doc)) - np.maximum.accumulate(np.where(np.concatenate([[True], doc[order][1:] != doc[order][:-1]]), np.arange(len(doc)), 0)) if len(doc) else np.zeros(0, int)
             stands = np.zeros(len(doc), bool)
             stands[order[place < STAND]] = True
-            stands &= positive & (rows[:, :first].max(1, initial=0) > 0.5)
-            use = stands | ~positive
-            y = np.concatenate([np.where(stands[use], 1.0, -1.0), np.ones(len(more)), [-1.0]])
+            stands &= positive & (top > 0.5)
             many = max(1, int(stands.sum()))
-            weight = np.concatenate([np.ones(int(use.sum())), np.full(len(more), 0.5 * many / max(1, len(more))), [min(n_plain, 5 * many)]])
-            w = _machine(np.vstack([x[use], more, np.zeros((1, x.shape[1]))]), y, weight, cost)
-            score = x @ w[:-1] + w[-1]
+            y = np.concatenate([np.where(stands, 1.0, -1.0), np.ones(many_more), [-1.0]])
+            weight = np.concatenate([(stands | ~positive).astype(float), np.full(many_more, 0.5 * many / max(1, many_more)), [min(n_plain, 5 * many)]])
+            w = _machine(x, y, weight, cost)
+            score = x[: len(doc)] @ w.astype(np.float32)
         self.weights, self.bias = root @ w[:-1], float(w[-1])
         facts = self._facts(sizes, doc, score)
         self.evidence = _logistic(facts, toxic.astype(float))
@@ -380,6 +395,7 @@ def _blocks(texts: list[str]) -> Iterator[tuple[int, Words]]:
     """The words of some texts at a time, and the number of the first of these texts."""
     for a, b in row_blocks([len(t) for t in texts], TRAIN_BYTES):
         yield a, Words(pa.array(texts[a:b], pa.string()))
+        release()
 
 
 def _nearest(chosen: list[np.ndarray], texts: list[str], toxic: np.ndarray) -> list[np.ndarray]:
@@ -391,6 +407,7 @@ def _nearest(chosen: list[np.ndarray], texts: list[str], toxic: np.ndarray) -> l
         for w, v in zip(word[some].tolist(), value[some].tolist()):
             name = words.codes[words.start[w] : words.end[w]].tobytes()
             best[name] = max(v, best.get(name, 0.0))
+    marks.forget()
     near = (x for x in best if best[x] <= CLOSE)  # the others are too close to be landmarks
     return [_marked(np.frombuffer(x, np.uint32)) for x in sorted(near, key=lambda x: (-best[x], x))]
 
