@@ -31,8 +31,11 @@ def locate(text: str, wanted: str, start: int | None, end: int | None) -> list[t
 
 def resolved(hits: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """Hits without overlap, by place."""
-    inner = lambda i, j: hits[j][0] <= hits[i][0] and hits[i][1] <= hits[j][1] and (hits[i][:2] != hits[j][:2] or j < i)
-    kept = sorted(hits[i] for i in range(len(hits)) if not any(i != j and inner(i, j) for j in range(len(hits))))
+    kept, reach = [], -1
+    for start, end, entity in sorted(hits, key=lambda h: (h[0], -h[1])):  # stable: of equal ones the first comes first
+        if end > reach:  # else it lies inside one before it
+            kept.append((start, end, entity))
+            reach = end
     out: list[tuple[int, int, str]] = []
     for start, end, entity in kept:
         start = max(start, out[-1][1]) if out else start
