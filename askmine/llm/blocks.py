@@ -1,7 +1,12 @@
-"""Blocks of documents: text shuffled once by a hash of the key, and compact arrays sent between blocks and hash buckets.
+"""Blocks of documents: text shuffled once by a hash of key and text, and packets of hashes sent between blocks and buckets.
 
 A block is rebuilt in the same order whenever its rows are read (sorted by key, then text), so that answers can be
 sent back as arrays in the order in which a block has asked, without row identities.
+
+A block sends one packet to each of FAN buckets, whatever the number of blocks, so that packets stay of a size and their
+number grows with the input. A bucket takes MOST_PACKETS packets at most. Where there are more blocks, the packets of
+MOST_PACKETS blocks for a bucket are merged and sent on to FAN finer buckets, whose answers come back the same way: a
+level more for every factor of MOST_PACKETS (with blocks of 4 MB one level serves 4 GB, two 4 TB, three 4 PB).
 """
 
 from __future__ import annotations
@@ -71,10 +76,80 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def bucket_cuts(hashes: np.ndarray, n_buckets: int) -> np.ndarray:
-    """Where each bucket starts in sorted hashes; buckets are equal ranges of the hashes' upper 32 bits."""
-    upper = (hashes >> np.uint64(32)).astype(np.int64)
-    return np.searchsorted(upper, -((-np.arange(n_buckets + 1) << 32) // n_buckets))
+#: Log of the buckets of a level, and most packets of a bucket.
+FAN_BITS, MOST_PACKETS = 8, 1024
+
+
+def parts_of(hashes: np.ndarray, level: int, fan_bits: int) -> list[tuple[int, int, int]]:
+    """(bucket, start, end) of the buckets that sorted hashes have at a level, where a bucket's number has level * fan_bits bits."""
+    bucket = (hashes >> np.uint64(64 - level * fan_bits)).astype(np.int64)
+    edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, np.int64)
+    return list(zip(bucket[edges].tolist(), edges.tolist(), [*edges[1:].tolist(), len(bucket)]))
+
+
+def packets(block: int, columns: list[np.ndarray], level: int = 1, fan_bits: int = FAN_BITS) -> pa.Table:
+    """A block's packets: bucket, block, and the columns, of which the first has sorted hashes."""
+    parts = parts_of(columns[0], level, fan_bits)
+    made = {f"c{i}": binaries([pack(c[a:b], i == 0) for _, a, b in parts]) for i, c in enumerate(columns)}
+    return pa.table({"bucket": pa.array([x for x, _, _ in parts], pa.int32()), "block": pa.array([block] * len(parts), pa.int32()), **made})
+
+
+class Merge:
+    """What is said of the packets' entries. __call__ takes the entries' columns and gives (first, of, bits): the entries that
+    stand for all equal ones, sorted by hash, each entry's number among them, and a row of bits for each kind of answer.
+    combined takes an entry's bits and those of what stands for it a level above."""
+
+    kinds: int
+
+    def __call__(self, *columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        raise NotImplementedError
+
+    def combined(self, own: np.ndarray, above: np.ndarray) -> np.ndarray:
+        return own | above
+
+
+def answered(asked: DataFrame, n_columns: int, merge: Merge, n_blocks: int, fan_bits: int = FAN_BITS, most_packets: int = MOST_PACKETS, level: int = 1) -> DataFrame:
+    """block, bucket, bits: the answers to packets, the bits of a packet's entries in their order, kind by kind."""
+
+    def opened(rows: pa.Table) -> tuple[pa.Table, list[np.ndarray], np.ndarray]:
+        rows = rows.take(pc.sort_indices(rows, sort_keys=[("block", "ascending")]))
+        lists = [[unpack(x, i == 0) for x in rows[f"c{i}"].to_pylist()] for i in range(n_columns)]
+        return rows, [np.concatenate(x) for x in lists], np.cumsum([len(x) for x in lists[0]])[:-1]
+
+    def told(rows: pa.Table, bits: np.ndarray, cuts: np.ndarray) -> pa.Table:
+        parts = np.split(bits, cuts, axis=1)
+        return pa.table({"block": rows["block"], "bucket": rows["bucket"], "bits": binaries([np.packbits(x.ravel()).tobytes() for x in parts])})
+
+    if n_blocks <= most_packets:
+
+        def answer(key: tuple, rows: pa.Table) -> pa.Table:
+            rows, columns, cuts = opened(rows)
+            return told(rows, merge(*columns)[2], cuts)
+
+        return asked.groupBy("bucket").applyInArrow(released(answer), "block int, bucket int, bits binary")
+
+    def send_on(key: tuple, rows: pa.Table) -> pa.Table:
+        _, columns, _ = opened(rows)
+        first, _, _ = merge(*columns)
+        return packets(key[1].as_py(), [c[first] for c in columns], level + 1, fan_bits)
+
+    def send_back(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
+        rows, columns, cuts = opened(rows)
+        first, of, own = merge(*columns)
+        above = bits_of(answers, parts_of(columns[0][first], level + 1, fan_bits), merge.kinds)
+        return told(rows, merge.combined(own, above[:, of]), cuts)
+
+    marked = asked.withColumn("above", F.floor(F.col("block") / F.lit(most_packets)).cast("int"))
+    sent = marked.groupBy("bucket", "above").applyInArrow(released(send_on), asked.schema)
+    known = answered(sent, n_columns, merge, -(-n_blocks // most_packets), fan_bits, most_packets, level + 1)
+    known = known.withColumn("above", F.col("block")).withColumn("coarse", F.shiftright("bucket", fan_bits))
+    return marked.groupBy("bucket", "above").cogroup(known.groupBy("coarse", "above")).applyInArrow(released(send_back), "block int, bucket int, bits binary")
+
+
+def bits_of(answers: pa.Table, parts: list[tuple[int, int, int]], kinds: int) -> np.ndarray:
+    """The bits of all of a block's entries, a row for each kind; parts as it has sent them."""
+    found = [np.unpackbits(np.frombuffer(x, np.uint8), count=kinds * (b - a)).astype(bool).reshape(kinds, -1) for x, (_, a, b) in zip(by_bucket(answers, "bits"), parts)]
+    return np.concatenate([np.zeros((kinds, 0), bool), *found], axis=1)
 
 
 def pack(values: np.ndarray, sorted_: bool = False) -> bytes:

@@ -2,9 +2,10 @@
 
 Texts are dealt into blocks (one shuffle of the text, read twice). Each block hashes every window of its documents
 with a rolling polynomial, keeps each distinct hash once with the smallest key that has it, and sends those, sorted and
-packed, to hash buckets: a window of a passage that a third of all rows share costs a bucket one entry per block. A
-bucket finds the smallest key of each hash over all blocks and answers with a bit per entry; blocks turn the bits into
-repeated windows, and merge those into maximal removal intervals.
+packed, to hash buckets: a window of a passage that a third of all rows share costs a bucket one entry per block. Spark
+groups the packets, and a group finds the smallest key of each hash over all blocks and answers with a bit per entry (see
+``blocks``: the packets grow with the input, not with its square); blocks turn the bits into repeated windows, and merge
+those into maximal removal intervals. A row of Spark's own for each window would take over four times the input's disk.
 
 Words are runs of bytes other than space and 0x09 to 0x0D. A window is removed if its word sequence also starts in a
 row with a smaller key. Rows with equal keys never remove each other; a null key counts as smaller than any other. Null
@@ -18,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from askmine.llm.blocks import Block, binaries, blocked, bucket_cuts, by_bucket, mixed, pack, released, unpack
+from askmine.llm.blocks import FAN_BITS, MOST_PACKETS, Block, Merge, answered, bits_of, blocked, mixed, packets, parts_of, released
 
 #: Odd bases of the two polynomials: over the bytes of a word, and over the words of a window.
 BYTE_BASE, WORD_BASE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)
@@ -102,45 +103,28 @@ class Windows:
         return np.cumsum(step[:-1]) > 0
 
 
-def _ask(width: int, n_buckets: int):
-    def run(key: tuple, rows: pa.Table) -> pa.Table:
-        w = Windows(rows, width)
-        cuts = bucket_cuts(w.hashes, n_buckets)
-        full = np.flatnonzero(np.diff(cuts))
-        ranges = [(cuts[i], cuts[i + 1]) for i in full]
-        return pa.table(
-            {
-                "bucket": pa.array(full, pa.int32()),
-                "block": pa.array([key[0].as_py()] * len(full), pa.int32()),
-                "hashes": binaries([pack(w.hashes[a:b], True) for a, b in ranges]),
-                "keys": binaries([pack(w.keys[a:b]) for a, b in ranges]),
-            }
-        )
-
-    return released(run)
+class Least(Merge):
+    """Of equal hashes the one with the smallest key stands for all; the bit says that a smaller key has the hash."""
 
+    kinds = 1
 
-def _answer(key: tuple, rows: pa.Table) -> pa.Table:
-    hashes = [unpack(x, True) for x in rows["hashes"].to_pylist()]
-    keys = np.concatenate([unpack(x).view(np.int64) for x in rows["keys"].to_pylist()])
-    sizes = np.cumsum([len(x) for x in hashes])[:-1]
-    h = np.concatenate(hashes)
-    order = np.argsort(h, kind="stable")
-    h, k = h[order], keys[order]
-    first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-    least = np.repeat(np.minimum.reduceat(k, first), np.diff(np.append(first, len(h))))
-    repeated = np.empty(len(h), bool)
-    repeated[order] = k > least
-    return pa.table({"block": rows["block"], "bucket": rows["bucket"], "bits": binaries([np.packbits(x).tobytes() for x in np.split(repeated, sizes)])})
+    def __call__(self, hashes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        keys = keys.view(np.int64)
+        order = np.lexsort((keys, hashes))
+        new = np.ones(len(hashes), bool)
+        new[1:] = hashes[order][1:] != hashes[order][:-1]
+        of = np.empty(len(hashes), np.int64)
+        of[order] = np.cumsum(new) - 1
+        first = order[new]
+        return first, of, (keys > keys[first][of])[None]
 
 
-def _apply(width: int, n_buckets: int):
+def _apply(width: int, fan_bits: int):
     def run(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
         w = Windows(rows, width)
         block = w.block
-        sizes = np.diff(bucket_cuts(w.hashes, n_buckets))
-        bits = [np.unpackbits(np.frombuffer(x, np.uint8), count=n).astype(bool) for x, n in zip(by_bucket(answers, "bits"), sizes[sizes > 0])]
-        removed = w.removed_words(w.repeated(np.concatenate([*bits, np.zeros(0, bool)])))
+        (elsewhere,) = bits_of(answers, parts_of(w.hashes, 1, fan_bits), 1)
+        removed = w.removed_words(w.repeated(elsewhere))
         keep = ~removed
         step = np.zeros(len(block.bytes) + 1, np.int8)
         step[w.word_start[keep]] += 1
@@ -166,10 +150,15 @@ def _apply(width: int, n_buckets: int):
     return released(run)
 
 
-def remove_repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 13, block_bytes: int = 4 << 20) -> DataFrame:
+def remove_repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 13, block_bytes: int = 4 << 20, fan_bits: int = FAN_BITS, most_packets: int = MOST_PACKETS) -> DataFrame:
     """key, n_words, n_removed, n_intervals (maximal removed runs of words), kept (the other words, joined by one space)."""
     blocks, n = blocked(docs, key, text, block_bytes)
-    asked = blocks.groupBy("block").applyInArrow(_ask(width, n), "bucket int, block int, hashes binary, keys binary")
-    answers = asked.groupBy("bucket").applyInArrow(_answer, "block int, bucket int, bits binary")
-    done = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_apply(width, n), "key bigint, n_words bigint, n_removed bigint, n_intervals bigint, kept string")
+
+    def ask(key: tuple, rows: pa.Table) -> pa.Table:
+        w = Windows(rows, width)
+        return packets(key[0].as_py(), [w.hashes, w.keys], 1, fan_bits)
+
+    asked = blocks.groupBy("block").applyInArrow(released(ask), "bucket int, block int, c0 binary, c1 binary")
+    answers = answered(asked, 2, Least(), n, fan_bits, most_packets)
+    done = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_apply(width, fan_bits), "key bigint, n_words bigint, n_removed bigint, n_intervals bigint, kept string")
     return done.withColumnRenamed("key", key)

@@ -2,10 +2,12 @@
 
 All windows of ``length`` bytes can't be sorted as suffixes in one place, so they are dealt by content: the smallest
 hashed 32-byte gram of a window (its anchor) is the same wherever the window's bytes occur. Neighbouring windows with
-one anchor form a stretch, of which only (anchor hash, stretch hash) is sent, once per block. A bucket of anchor hashes
-says of each stretch whether it also occurs elsewhere (then all its windows are repeated) and whether its anchor occurs
-in other stretches. Only those send their bytes, to be sorted: the suffixes that start at the anchors, and the reversed
-prefixes that end there, by deep-shallow sorting. Multikey quicksort orders them to a shallow depth; each group that
+one anchor form a stretch, of which only (anchor hash, stretch hash) is sent, once per block (see ``blocks``). A bucket of
+anchor hashes says of each stretch whether it also occurs elsewhere (then all its windows are repeated) and whether its
+anchor occurs in other stretches. Only those send their bytes, once each, to be sorted: the suffixes that start at the
+anchors, and the reversed prefixes that end there, by deep-shallow sorting. An anchor of over HOT_ANCHOR stretches deals
+its windows into HOT_RANGES ranges by their bytes before it; for each range those stretches meet that share all bytes that
+every window of the range has, so that a common gram in very many surroundings is not one task's. Multikey quicksort orders them to a shallow depth; each group that
 still shares its prefix goes through a blind trie, which compares branching bytes on the way down and one longest
 common prefix per string. A window with o bytes before its anchor is repeated exactly if another string lies in the
 same longest-common-prefix interval at depth length - o of the suffixes and at depth o of the reversed prefixes.
@@ -17,6 +19,8 @@ so that long equal rows all lose all. An empty table gives no rows. Only the key
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -24,13 +28,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StructField
 
-from askmine.llm.base import with_fields
-from askmine.llm.blocks import Block, binaries, blocked, bucket_cuts, by_bucket, mixed, pack, released, unpack
+from askmine.llm.base import release, text_buffer, with_fields
+from askmine.llm.blocks import FAN_BITS, MOST_PACKETS, Block, Merge, answered, binaries, bits_of, blocked, mixed, packets, parts_of, released
 
 GRAM = 32
 GRAM_BASE = 0xA24BAED4963EE407
 #: Bytes hashed at a time, and the low bits of a packed hash that hold a place among them.
 STRIDE, PLACE_BITS = 1 << 18, 24
+#: Stretches of an anchor above which they are dealt anew, into how many ranges, and bytes sorted at a time.
+HOT_ANCHOR, HOT_RANGES, SORT_BYTES = 16_384, 8, 4 << 20
 #: Bytes that multikey quicksort goes through before blind tries take over: a multiple of 8.
 SHALLOW = 48
 
@@ -94,80 +100,70 @@ class Stretches:
         self.twice = np.bincount(self.of, minlength=len(self.gram)) > 1
 
 
-def _ask(length: int, n_buckets: int):
-    def run(key: tuple, rows: pa.Table) -> pa.Table:
-        s = Stretches(rows, length)
-        cuts = bucket_cuts(s.gram, n_buckets)
-        full = np.flatnonzero(np.diff(cuts))
-        ranges = [(cuts[i], cuts[i + 1]) for i in full]
-        return pa.table(
-            {
-                "bucket": pa.array(full, pa.int32()),
-                "block": pa.array([key[0].as_py()] * len(full), pa.int32()),
-                "grams": binaries([pack(s.gram[a:b], True) for a, b in ranges]),
-                "wholes": binaries([pack(s.whole[a:b]) for a, b in ranges]),
-            }
-        )
+class Stretched(Merge):
+    """Of entries (anchor hash, stretch hash): the stretch occurs elsewhere too; its anchor occurs in other stretches, and in
+    over ``hot`` of them; and this entry is to send the stretch's bytes, of all entries that have it."""
 
-    return released(run)
+    kinds = 4
 
+    def __init__(self, hot: int):
+        self.hot = hot
 
-def _answer(key: tuple, rows: pa.Table) -> pa.Table:
-    """Two bits of each stretch: it occurs in another block; its anchor occurs in another stretch."""
-    grams = [unpack(x, True) for x in rows["grams"].to_pylist()]
-    g, w = np.concatenate(grams), np.concatenate([unpack(x) for x in rows["wholes"].to_pylist()])
-    sizes = np.cumsum([len(x) for x in grams])[:-1]
-    order = np.lexsort((w, g))
-    g, w = g[order], w[order]
-    new_gram = np.concatenate([[True], g[1:] != g[:-1]])
-    new = new_gram | np.concatenate([[True], w[1:] != w[:-1]])
-    of, of_gram = np.cumsum(new) - 1, np.cumsum(new_gram) - 1
-    elsewhere, mixed_ = np.empty(len(g), bool), np.empty(len(g), bool)
-    elsewhere[order] = (np.bincount(of) > 1)[of]
-    mixed_[order] = (np.bincount(of_gram, weights=new) > 1)[of_gram]
-    return pa.table(
-        {
-            "block": rows["block"],
-            "bucket": rows["bucket"],
-            "elsewhere": binaries([np.packbits(x).tobytes() for x in np.split(elsewhere, sizes)]),
-            "mixed": binaries([np.packbits(x).tobytes() for x in np.split(mixed_, sizes)]),
-        }
-    )
+    def __call__(self, grams: np.ndarray, wholes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        order = np.lexsort((np.arange(len(grams)), wholes, grams))
+        g, w = grams[order], wholes[order]
+        new_gram = np.concatenate([[True], g[1:] != g[:-1]])[: len(g)]
+        new = new_gram | np.concatenate([[True], w[1:] != w[:-1]])[: len(g)]
+        of, of_gram = np.cumsum(new) - 1, np.cumsum(new_gram) - 1
+        many = np.bincount(of_gram, weights=new)[of_gram] if len(g) else np.zeros(0)
+        bits = np.zeros((4, len(g)), bool)
+        bits[:, order] = [(np.bincount(of) > 1)[of] if len(g) else new, many > 1, many > self.hot, new]
+        back = np.empty(len(g), np.int64)
+        back[order] = of
+        return order[new], back, bits
 
+    def combined(self, own: np.ndarray, above: np.ndarray) -> np.ndarray:
+        return np.concatenate([own[:3] | above[:3], own[3:] & above[3:]])
 
-def _told(s: Stretches, rows: pa.Table, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    sizes = np.diff(bucket_cuts(s.gram, n_buckets))
-    sizes = sizes[sizes > 0]
 
-    def bits(column: str) -> np.ndarray:
-        return np.concatenate([np.zeros(0, bool), *(np.unpackbits(np.frombuffer(x, np.uint8), count=n).astype(bool) for x, n in zip(by_bucket(rows, column), sizes))])
+def ranges_of(length: int, is_hot: bool) -> list[tuple[int, int]]:
+    """The numbers of bytes before the anchor that windows have, in one range, or in several for an anchor of very many stretches."""
+    reach = length - GRAM + 1
+    step = -(-reach // HOT_RANGES) if is_hot else reach
+    return [(o, min(o + step, reach)) for o in range(0, reach, step)]
 
-    return bits("elsewhere"), bits("mixed")
 
+def _send(length: int, fan_bits: int):
+    """Rows (deal, block, at, whole, left, right, covered, low, high, bytes) of stretches whose anchor other stretches have.
+
+    deal says which rows may share a window with low to high - 1 bytes before the anchor: all of one anchor; or, of an anchor
+    of very many stretches, those that share all bytes that any of these windows has.
+    """
 
-def _send(length: int, n_buckets: int):
     def run(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
         s = Stretches(rows, length)
-        elsewhere, mixed_ = _told(s, answers, n_buckets)
-        at = np.flatnonzero(mixed_)
+        elsewhere, mixed_, hot, sends = bits_of(answers, parts_of(s.gram, 1, fan_bits), Stretched.kinds)
+        covered = s.twice | elsewhere
+        at = np.flatnonzero(mixed_ & (sends | ~covered))
         one = s.one[at]
-        data = s.block.bytes.tobytes()
-        bucket = np.searchsorted(bucket_cuts(s.gram, n_buckets), at, "right") - 1
-        edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(at) else np.zeros(0, np.int64)
-        groups = list(zip(edges.tolist(), [*edges[1:].tolist(), len(at)]))
-        a, b, p = s.first[one], s.last[one] + length, s.anchor[one]
-        covered = s.twice[at] | elsewhere[at]
+        view, digest = memoryview(s.block.bytes), xxhash.xxh3_64_intdigest
+        out: list[tuple] = []
+        for i, a, b, p, g, is_hot in zip(at.tolist(), s.first[one].tolist(), (s.last[one] + length).tolist(), s.anchor[one].tolist(), s.gram[at].tolist(), hot[at].tolist()):
+            if not is_hot:
+                out.append((g, i, p - a, b - p, 0, length - GRAM + 1, a, b))
+                continue
+            for low, high in ranges_of(length, True):
+                x, y = p - low, p + length - high + 1
+                if x >= a and y <= b:
+                    out.append((digest(view[x:y], g & (1 << 63) - 1 ^ low), i, p - a, b - p, low, high, a, b))
+        deal, i, left, right, low, high, a, b = (np.array(x, dtype=t) for x, t in zip(zip(*out), (np.uint64, *[np.int64] * 7))) if out else (np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 7)
+        small = lambda x: pa.array(x, pa.int32())
         return pa.table(
             {
-                "bucket": pa.array(bucket[edges], pa.int32()),
-                "block": pa.array([key[0].as_py()] * len(groups), pa.int32()),
-                "wholes": binaries([s.whole[at[i:j]].tobytes() for i, j in groups]),
-                "left": binaries([(p[i:j] - a[i:j]).astype("<u2").tobytes() for i, j in groups]),
-                "right": binaries([(b[i:j] - p[i:j]).astype("<u2").tobytes() for i, j in groups]),
-                "covered": binaries([covered[i:j].tobytes() for i, j in groups]),
-                "bytes": binaries([b"".join(data[x:y] for x, y in zip(a[i:j].tolist(), b[i:j].tolist())) for i, j in groups]),
+                "deal": pa.array(deal.view(np.int64)), "block": small([key[0].as_py()] * len(i)), "at": small(i), "whole": pa.array(s.whole[i].view(np.int64)),
+                "left": small(left), "right": small(right), "covered": pa.array(covered[i]), "low": small(low), "high": small(high), "bytes": binaries([view[x:y].tobytes() for x, y in zip(a.tolist(), b.tolist())]),
             }
-        )
+        )
 
     return released(run)
 
@@ -277,8 +273,8 @@ def _common_bytes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def repeated_windows(left: np.ndarray, right: np.ndarray, before: np.ndarray, after: np.ndarray, length: int) -> np.ndarray:
-    """(string, o): whether the window with o bytes before the anchor also lies in another of the strings.
+def repeated_windows(left: np.ndarray, right: np.ndarray, before: np.ndarray, after: np.ndarray, length: int, low: int = 0, high: int | None = None) -> np.ndarray:
+    """(string, o): whether the window with o bytes before the anchor, low to high - 1, also lies in another of the strings.
 
     left: the reversed bytes before the anchors (before has their numbers); right: the bytes from the anchors on
     (after has their numbers); both padded with zeros. The strings must differ.
@@ -288,7 +284,7 @@ def repeated_windows(left: np.ndarray, right: np.ndarray, before: np.ndarray, af
     r_rank, l_rank = np.empty(n, np.int64), np.empty(n, np.int64)
     r_rank[r_order], l_rank[l_order] = np.arange(n), np.arange(n)
     out = np.zeros((n, reach), bool)
-    for o in range(reach):
+    for o in range(low, reach if high is None else high):
         at = np.flatnonzero((before >= o) & (after >= length - o))
         if len(at) < 2:
             continue
@@ -305,33 +301,57 @@ def repeated_windows(left: np.ndarray, right: np.ndarray, before: np.ndarray, af
     return out
 
 
-def _sort(length: int):
-    def run(key: tuple, rows: pa.Table) -> pa.Table:
-        lists = {c: rows[c].to_pylist() for c in ("wholes", "left", "right", "covered", "bytes")}
-        whole = np.concatenate([np.frombuffer(x, np.uint64) for x in lists["wholes"]])
-        before, after = (np.concatenate([np.frombuffer(x, "<u2") for x in lists[c]]).astype(np.int64) for c in ("left", "right"))
-        covered = np.concatenate([np.frombuffer(x, bool) for x in lists["covered"]])
-        data = np.frombuffer(b"".join(lists["bytes"]), np.uint8)
-        start = np.cumsum(before + after) - before - after
-        anchor = start + before
-        gram = data[anchor[:, None] + np.arange(GRAM)].view(f"V{GRAM}").ravel()
-        _, gram = np.unique(gram, return_inverse=True)
-        order = np.lexsort((whole, gram))
-        new = np.concatenate([[True], (gram[order][1:] != gram[order][:-1]) | (whole[order][1:] != whole[order][:-1])])
+def _sorted_rows(rows: pa.Table, length: int) -> pa.RecordBatch:
+    """block, at, windows (a bit for each number of bytes before the anchor) of the rows that aren't covered and share a window."""
+    before, after, low, high = (rows[c].to_numpy().astype(np.int64) for c in ("left", "right", "low", "high"))
+    whole, covered, deal = rows["whole"].to_numpy(), rows["covered"].to_numpy(zero_copy_only=False), rows["deal"].to_numpy()
+    data, ends = text_buffer(rows["bytes"])
+    anchor = ends[:-1] + before
+    gram = data[anchor[:, None] + np.arange(GRAM)].view(f"V{GRAM}").ravel()
+    _, gram = np.unique(gram, return_inverse=True)
+    found = np.zeros((len(whole), length - GRAM + 1), bool)
+    for x, y in sorted({*zip(low.tolist(), high.tolist())}):  # one range, but for anchors of very many stretches
+        at = np.flatnonzero((low == x) & (high == y))
+        order = at[np.lexsort((whole[at], gram[at], deal[at]))]
+        new = np.concatenate([[True], (gram[order][1:] != gram[order][:-1]) | (whole[order][1:] != whole[order][:-1]) | (deal[order][1:] != deal[order][:-1])])
         of = np.empty(len(whole), np.int64)
         of[order] = np.cumsum(new) - 1
         one = order[new]
         width = -(-length // 8) * 8
         span = np.arange(width)
-        padded = np.concatenate([np.zeros(width, np.uint8), data, np.zeros(width, np.uint8)])
-        left = np.where(span < before[one, None], padded[width + anchor[one, None] - 1 - span], 0).astype(np.uint8)
-        right = np.where(span < after[one, None], padded[width + anchor[one, None] + span], 0).astype(np.uint8)
-        found = repeated_windows(left, right, before[one], after[one], length)[of]
-        sizes = np.cumsum([len(x) // 8 for x in lists["wholes"]])[:-1]
-        bits = np.packbits(found & ~covered[:, None], axis=1)
-        return pa.table({"block": rows["block"], "bucket": rows["bucket"], "windows": binaries([x.tobytes() for x in np.split(bits, sizes)])})
+        left = np.where(span < before[one, None], data[np.maximum(anchor[one, None] - 1 - span, 0)], 0).astype(np.uint8)
+        right = np.where(span < after[one, None], data[np.minimum(anchor[one, None] + span, len(data) - 1)], 0).astype(np.uint8)
+        found[at] = repeated_windows(left, right, before[one], after[one], length, x, y)[of[at]]
+    found &= ~covered[:, None]
+    some = np.flatnonzero(found.any(1))
+    bits = np.packbits(found[some], axis=1)
+    return pa.RecordBatch.from_arrays([pa.array(rows["block"].to_numpy()[some]), pa.array(rows["at"].to_numpy()[some]), binaries([x.tobytes() for x in bits])], ["block", "at", "windows"])
 
-    return released(run)
+
+def _sort(length: int):
+    """Whole deals at a time, as many as SORT_BYTES hold; rows come by deal."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size = 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            size += batch.nbytes
+            if size < SORT_BYTES or batch["deal"][-1] == held[0]["deal"][0]:
+                continue
+            rows = pa.Table.from_batches(held).combine_chunks()
+            cut = int(np.searchsorted(rows["deal"].to_numpy(), rows["deal"][-1].as_py()))
+            yield _sorted_rows(rows.slice(0, cut), length)
+            held = pa.concat_tables([rows.slice(cut)]).to_batches()
+            size = sum(x.nbytes for x in held)
+            release()
+        if held:
+            yield _sorted_rows(pa.Table.from_batches(held).combine_chunks(), length)
+        release()
+
+    return run
 
 
 def _whole_characters(removed: np.ndarray, data: np.ndarray) -> np.ndarray:
@@ -342,25 +362,24 @@ def _whole_characters(removed: np.ndarray, data: np.ndarray) -> np.ndarray:
     return np.repeat(np.logical_and.reduceat(removed, first), np.diff(np.append(first, len(data))))
 
 
-def _apply(length: int, n_buckets: int, whole_characters: bool):
+def _apply(length: int, fan_bits: int, whole_characters: bool):
     def run(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
         s = Stretches(rows, length)
         block = s.block
         is_sorted = answers["windows"].is_valid()
-        elsewhere, mixed_ = _told(s, answers.filter(pc.invert(is_sorted)), n_buckets)
+        elsewhere = bits_of(answers.filter(pc.invert(is_sorted)), parts_of(s.gram, 1, fan_bits), Stretched.kinds)[0]
         step = np.zeros(len(block.bytes) + 1, np.int32)
         whole = (s.twice | elsewhere)[s.of]
         np.add.at(step, s.first[whole], 1)
         np.subtract.at(step, s.last[whole] + length, 1)
         reach = length - GRAM + 1
-        bits = [np.frombuffer(x, np.uint8).reshape(-1, -(-reach // 8)) for x in by_bucket(answers.filter(is_sorted), "windows")]
-        if bits:
-            asked = np.full(len(s.gram), -1, np.int64)
-            asked[mixed_] = np.arange(mixed_.sum())
-            some = np.flatnonzero(~whole & mixed_[s.of])
-            bits = np.concatenate(bits)
+        windows = answers.filter(is_sorted)
+        if len(windows):
+            bits = np.zeros((len(s.gram), -(-reach // 8)), np.uint8)
+            np.bitwise_or.at(bits, windows["at"].to_numpy(), np.frombuffer(b"".join(windows["windows"].to_pylist()), np.uint8).reshape(len(windows), -1))
+            some = np.flatnonzero(~whole & bits.any(1)[s.of])
             for at in np.array_split(some, len(some) // 50_000 + 1):
-                i, o = np.nonzero(np.unpackbits(bits[asked[s.of[at]]], axis=1, count=reach))
+                i, o = np.nonzero(np.unpackbits(bits[s.of[at]], axis=1, count=reach))
                 w = s.anchor[at[i]] - o
                 np.add.at(step, w, 1)
                 np.subtract.at(step, w + length, 1)
@@ -395,7 +414,10 @@ def _apply(length: int, n_buckets: int, whole_characters: bool):
     return released(run)
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 200, block_bytes: int = 4 << 20, whole_characters: bool = False, carry: bool = False) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 200, block_bytes: int = 4 << 20, whole_characters: bool = False, carry: bool = False,
+    fan_bits: int = FAN_BITS, most_packets: int = MOST_PACKETS, hot: int = HOT_ANCHOR,
+) -> DataFrame:
     """key, n_bytes, n_removed, spans (starts and ends of the maximal removed runs, in turn), kept (the other bytes).
 
     whole_characters: a character of which only some bytes are covered stays, so that kept is UTF-8 (and null for a null
@@ -405,12 +427,18 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
         raise ValueError(f"strings of {2 * GRAM} bytes at least")
     blocks, n = blocked(docs, key, text, block_bytes, carry)
     row = [blocks.schema["row"]] if carry else []
-    asked = blocks.groupBy("block").applyInArrow(_ask(length, n), "bucket int, block int, grams binary, wholes binary")
-    answers = asked.groupBy("bucket").applyInArrow(_answer, "block int, bucket int, elsewhere binary, mixed binary")
+
+    def ask(key: tuple, rows: pa.Table) -> pa.Table:
+        s = Stretches(rows, length)
+        return packets(key[0].as_py(), [s.gram, s.whole], 1, fan_bits)
+
+    asked = blocks.groupBy("block").applyInArrow(released(ask), "bucket int, block int, c0 binary, c1 binary")
+    answers = answered(asked, 2, Stretched(hot), n, fan_bits, most_packets)
     sent = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _send(length, n), "bucket int, block int, wholes binary, left binary, right binary, covered binary, bytes binary"
+        _send(length, fan_bits), "deal bigint, block int, at int, whole bigint, left int, right int, covered boolean, low int, high int, bytes binary"
     )
-    sorted_ = sent.groupBy("bucket").applyInArrow(_sort(length), "block int, bucket int, windows binary")
-    told = answers.unionByName(sorted_, allowMissingColumns=True)
-    done = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_apply(length, n, whole_characters), with_fields([StructField("key", LongType()), *row], "n_bytes bigint, n_removed bigint, spans array<bigint>, kept binary"))
+    windows = sent.repartition("deal").sortWithinPartitions("deal").mapInArrow(_sort(length), "block int, at int, windows binary")
+    told = answers.unionByName(windows, allowMissingColumns=True)
+    schema = with_fields([StructField("key", LongType()), *row], "n_bytes bigint, n_removed bigint, spans array<bigint>, kept binary")
+    done = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_apply(length, fan_bits, whole_characters), schema)
     return done.withColumnRenamed("key", key)
