@@ -8,8 +8,9 @@ occurrences located by walking to the next sampled position, and the occurrences
 
 Words are runs of bytes of 0-9, a-z and everything above 0x7F, once A-Z are lower-cased. Null texts and items have no
 words; an item without words is never found; an item of fewer words than a window is one window. Repeated items are
-each reported. Repeated rows each get their own result. Empty tables give no rows, or rows without hits. The benchmark
-is the query set: it goes to every task in blocks of BLOCK_BYTES at most, however many these are.
+each reported. Repeated rows each get their own result. Empty tables give no rows, or rows without hits. Texts are read
+whole. Other columns may have any names. The benchmark is the query set: it goes to every task in blocks of about
+BLOCK_BYTES, as word numbers (12 bytes a word at most), of which a worker opens one at a time.
 """
 
 from __future__ import annotations
@@ -22,15 +23,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from askmine.llm.base import block_of, blocks_for, quoted, release, row_blocks, row_of, text_buffer, total_bytes, with_fields
-from askmine.llm.substring_dedup import word_bounds, word_hashes
+from askmine.llm.base import blocks_for, quoted, release, row_blocks, row_of, text_buffer, total_bytes, with_fields
+from askmine.llm.blocks import mixed
+from askmine.llm.substring_dedup import WORD_BASE, word_bounds, word_hashes
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 IS_GAP = np.ones(256, bool)
 IS_GAP[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 #: Bytes of benchmark text in a block, and every how many suffix positions one is sampled.
-BLOCK_BYTES, SAMPLE = 32 << 20, 8
+BLOCK_BYTES, SAMPLE = 8 << 20, 8
+#: Bytes of benchmark text that go to every task at most, and shards that are searched with a block before the next is opened.
+MOST_BYTES, SHARDS_AT_ONCE = 512 << 20, 16
 
 
 def words_of(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -45,25 +49,50 @@ def words_of(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 class Queries:
-    """Windows of a block of benchmark items: word numbers, and which items have each."""
+    """A block of benchmark items as it is sent out: their words as numbers, 12 bytes a word at most."""
 
     def __init__(self, items: list[str], texts: list[str | None], window: int):
         column = pa.array([t or "" for t in texts], pa.string())
         hashes, _, _, text = words_of(*text_buffer(column)) if texts else (np.zeros(0, np.uint64),) * 4
         self.vocabulary, numbers = np.unique(hashes, return_inverse=True)
-        found: dict[tuple[int, ...], set[str]] = defaultdict(set)
-        edges = np.searchsorted(text, np.arange(len(items) + 1))
-        for item, a, b in zip(items, edges[:-1], edges[1:]):
-            own = (numbers[a:b] + 1).tolist()
-            for i in range(max(1, len(own) - window + 1) if own else 0):
-                found[tuple(own[i : i + window])].add(item)
-        self.windows = list(found)
-        self.items = [sorted(x) for x in found.values()]
-        self.lengths = np.array([len(w) for w in self.windows], np.int64)
-        self.shortest = int(self.lengths.min()) if self.windows else 0
-        self.by_place = np.zeros((window, len(self.windows)), np.int64)  # from the last word backwards; 0 beyond the first
-        for j, w in enumerate(self.windows):
-            self.by_place[: len(w), j] = w[::-1]
+        self.names, self.window = items, window
+        self.words = (numbers + 1).astype(np.int32)
+        self.edges = np.searchsorted(text, np.arange(len(items) + 1))
+
+    def opened(self) -> Windows:
+        return Windows(self)
+
+
+class Windows:
+    """A block's distinct windows, made where they are searched for: word numbers, lengths, and which items have each.
+
+    Windows are told apart by 64 bits of hash.
+    """
+
+    def __init__(self, block: Queries):
+        self.vocabulary, self.names, width = block.vocabulary, block.names, block.window
+        size = np.diff(block.edges)
+        many = np.where(size > 0, np.maximum(1, size - width + 1), 0)
+        item = np.repeat(np.arange(len(size)), many)
+        start = np.arange(len(item)) - np.repeat(np.cumsum(many) - many, many) + block.edges[:-1][item]
+        length = np.minimum(width, size[item])
+        padded = np.concatenate([block.words, np.zeros(width, np.int32)])
+        hashes = np.zeros(len(item), np.uint64)
+        for k in range(width):
+            hashes = hashes * WORD_BASE + np.where(k < length, padded[start + k], 0).astype(np.uint64)
+        hashes = mixed(hashes ^ length.astype(np.uint64) << np.uint64(56))
+        order = np.lexsort((item, hashes))
+        new = np.ones(len(order), bool)
+        new[1:] = hashes[order][1:] != hashes[order][:-1]
+        one = order[new]
+        self.n, self.lengths, start = len(one), length[one], start[one]
+        once = new.copy()  # an item's window that it repeats counts once
+        once[1:] |= item[order][1:] != item[order][:-1]
+        self.item = item[order][once]
+        self.item_edges = np.append(np.flatnonzero(new[once]), once.sum())
+        self.shortest = int(self.lengths.min()) if self.n else 0
+        # from the last word backwards; 0 beyond the first
+        self.by_place = np.stack([np.where(k < self.lengths, padded[np.maximum(start + self.lengths - 1 - k, 0)], 0) for k in range(width)]) if self.n else np.zeros((width, 0), np.int32)
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[(self.vocabulary >> np.uint64(44)).astype(np.int64)] = True
 
@@ -73,10 +102,13 @@ class Queries:
         at = np.flatnonzero(self.maybe[(hashes >> np.uint64(44)).astype(np.int64)])
         place = np.searchsorted(self.vocabulary, hashes[at])
         place[place == len(self.vocabulary)] = 0
-        hit = self.vocabulary[place] == hashes[at]
+        hit = self.vocabulary[place] == hashes[at] if len(self.vocabulary) else np.zeros(0, bool)
         out[at[hit]] = place[hit] + 1
         return out
 
+    def items(self, window: int) -> list[str]:
+        return [self.names[i] for i in self.item[self.item_edges[window] : self.item_edges[window + 1]]]
+
 
 class FMIndex:
     """Of a sequence of numbers in which 0 separates stretches; matches never cross a 0. It must end with a 0."""
@@ -154,10 +186,10 @@ def _suffix_array(text: np.ndarray) -> np.ndarray:
         reach *= 2
 
 
-def occurrences(hashes: np.ndarray, text: np.ndarray, queries: Queries) -> tuple[np.ndarray, np.ndarray]:
+def occurrences(hashes: np.ndarray, text: np.ndarray, queries: Windows) -> tuple[np.ndarray, np.ndarray]:
     """(query, first word) of every occurrence of the queries within a text."""
     none = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    if not queries.windows or not len(hashes):
+    if not queries.n or not len(hashes):
         return none
     numbers = queries.numbers(hashes)
     known = numbers > 0
@@ -180,42 +212,42 @@ def occurrences(hashes: np.ndarray, text: np.ndarray, queries: Queries) -> tuple
     return query, word[index.locate(rows)]
 
 
-def shared_queries(benchmark: DataFrame, item: str, text: str, window: int) -> list:
-    """Broadcasts of Queries, each of BLOCK_BYTES of text at most (or of one hash class of items, where that is larger)."""
-    n = blocks_for(total_bytes(benchmark, text)[1], BLOCK_BYTES)
-    slim = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).cast("string").alias("text"))
+def shared_queries(benchmark: DataFrame, item: str, text: str, window: int, block_bytes: int = BLOCK_BYTES) -> list:
+    """Broadcasts of Queries, each of about block_bytes of text; the driver holds one block at a time.
+
+    The benchmark is the query set and goes to every task; one of over MOST_BYTES is refused.
+    """
+    size = total_bytes(benchmark, text)[1]
+    if size > MOST_BYTES:
+        raise ValueError(f"a benchmark of {size} bytes: search it in parts of {MOST_BYTES} at most")
+    n = blocks_for(size, block_bytes)
+    slim = benchmark.select(F.col(quoted(item)).cast("string").alias("item"), F.col(quoted(text)).cast("string").alias("text"))
     out = []
     for block in range(n):
-        rows = slim.filter(block_of(F.col("item"), n) == block).toArrow()
+        rows = slim.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == block).sort("item", "text").toArrow()
         queries = Queries([x or "" for x in rows["item"].to_pylist()], rows["text"].to_pylist(), window)
+        del rows
         out.append(benchmark.sparkSession.sparkContext.broadcast(queries))
+        del queries
+        release()
     return out
 
 
-def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = 10, shard_bytes: int = 2 << 20, carry: bool = False) -> DataFrame:
+def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = 10, shard_bytes: int = 2 << 20, carry: bool = False, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """key, n_words, n_hit, items (found, sorted as strings), spans (byte starts and ends to remove, in turn), cleaned (the text without them; null for null).
 
     carry: a struct ``row`` of the document's other columns comes along.
     """
-    shared = shared_queries(benchmark, item, item_text, window)
+    shared = shared_queries(benchmark, item, item_text, window, block_bytes)
     row = [row_of(docs, text)] if carry else []
     slim = docs.select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).cast("string").alias("text"), *row)
     names = ["n_words", "n_hit", "items", "spans", "cleaned"]
     schema = with_fields([f for f in slim.schema if f.name != "text"], "n_words bigint, n_hit bigint, items array<string>, spans array<bigint>, cleaned string")
 
-    def shard(part: pa.RecordBatch) -> list[pa.Array]:
+    def shard(part: pa.RecordBatch, read: tuple, step: np.ndarray, found: dict[int, set[str]]) -> list[pa.Array]:
         raw, ends = text_buffer(part.column(1))
         n = part.num_rows
-        hashes, start, end, doc = words_of(raw, ends)
-        step = np.zeros(len(hashes) + 1, np.int64)
-        found: dict[int, set[str]] = defaultdict(set)
-        for block in shared:
-            queries = block.value
-            query, at = occurrences(hashes, doc, queries)
-            np.add.at(step, at, 1)
-            np.subtract.at(step, at + queries.lengths[query], 1)
-            for d, q in {*zip(doc[at].tolist(), query.tolist())}:
-                found[d].update(queries.items[q])
+        _, start, end, doc = read
         hit = np.cumsum(step[:-1]) > 0
         opens, closes = hit.copy(), hit.copy()
         same = doc[1:] == doc[:-1]
@@ -240,12 +272,37 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
             pa.array(texts, pa.binary()).cast(pa.string()),
         ]
 
+    def searched(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The shards of a batch, by one block of the benchmark after another: one is open at a time."""
+        reads = [words_of(*text_buffer(part.column(1))) for part in parts]
+        steps = [np.zeros(len(hashes) + 1, np.int64) for hashes, *_ in reads]
+        found: list[dict[int, set[str]]] = [defaultdict(set) for _ in parts]
+        for number in range(len(shared)):
+            queries = block_of_queries(number)
+            for (hashes, _, _, doc), step, own in zip(reads, steps, found):
+                query, at = occurrences(hashes, doc, queries)
+                np.add.at(step, at, 1)
+                np.subtract.at(step, at + queries.lengths[query], 1)
+                for d, q in {*zip(doc[at].tolist(), query.tolist())}:
+                    own[d].update(queries.items(q))
+        for part, *known in zip(parts, reads, steps, found):
+            own_columns = [part.column(i) for i in range(part.num_columns) if i != 1]
+            yield pa.RecordBatch.from_arrays([*own_columns, *shard(part, *known)], ["key", *(["row"] if carry else []), *names])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in row_blocks(np.diff(text_buffer(batch.column(1))[1]).tolist(), shard_bytes):
-                part = batch.slice(a, b - a)
-                own = [part.column(i) for i in range(part.num_columns) if i != 1]
-                yield pa.RecordBatch.from_arrays([*own, *shard(part)], ["key", *(["row"] if carry else []), *names])
+            parts = [batch.slice(a, b - a) for a, b in row_blocks(np.diff(text_buffer(batch.column(1))[1]).tolist(), shard_bytes)]
+            for a in range(0, len(parts), SHARDS_AT_ONCE if len(shared) > 1 else 1):
+                yield from searched(parts[a : a + (SHARDS_AT_ONCE if len(shared) > 1 else 1)])
             release()
+        is_open.clear()
+
+    is_open: dict[int, Windows] = {}
+
+    def block_of_queries(number: int) -> Windows:
+        if number not in is_open:
+            is_open.clear()
+            is_open[number] = shared[number].value.opened()
+        return is_open[number]
 
     return slim.mapInArrow(run, schema).withColumnRenamed("key", key)
