@@ -33,7 +33,7 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = warc.build(warc.responses(table(spark, sf_dir, "pages")))
-    return made.withColumnRenamed("key", "page_id").drop("block")
+    return made.withColumnRenamed("key", "page_id")
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
