@@ -14,6 +14,7 @@ Only the key and the text column are read, so that other columns, whatever their
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 import sys
 import unicodedata
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from askmine.llm.base import release, row_blocks, text_buffer, texts_of
+from askmine.llm.base import quoted, release, row_blocks, text_buffer, texts_of, with_fields
 
 LETTER, NUMBER, OTHER, SHORT, LONG, BLANK_LAST, SPACE_LAST, SPACE_MORE, BREAK = range(9)
 #: White space of the pattern's \s class (the Unicode property White_Space).
@@ -243,15 +244,16 @@ class _Pieces(dict):
         return ids
 
 
-_LOADED: dict[int, Vocabulary] = {}
+_LOADED: dict[str, Vocabulary] = {}
 
 
 def _vocabulary(shared) -> Vocabulary:
-    found = _LOADED.get(id(shared))
-    if found is None:
+    """The worker's vocabulary of a rank file, known by the file's digest."""
+    name, content = shared.value
+    if name not in _LOADED:
         _LOADED.clear()
-        found = _LOADED[id(shared)] = Vocabulary(shared.value)
-    return found
+        _LOADED[name] = Vocabulary(content)
+    return _LOADED[name]
 
 
 def forget() -> None:
@@ -266,14 +268,13 @@ def _shared(docs: DataFrame, path: str):
         content = f.read()
     if len(content) > 64 << 20:
         raise ValueError(f"{path} is no vocabulary of a size to broadcast")
-    return docs.sparkSession.sparkContext.broadcast(content)
+    return docs.sparkSession.sparkContext.broadcast((hashlib.sha256(content).hexdigest(), content))
 
 
 def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, ids (little-endian unsigned 32-bit), ends (byte offset at which each token ends, likewise), n_tokens."""
     shared = _shared(docs, path)
-    slim = docs.select(F.col(key), F.col(text).cast("string").alias("text"))
-    kind = slim.schema[0].dataType.simpleString()
+    slim = docs.select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(shared)
@@ -290,14 +291,13 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
         del vocabulary
         forget()
 
-    return slim.mapInArrow(run, f"key {kind}, ids binary, ends binary, n_tokens bigint").withColumnRenamed("key", key)
+    return slim.mapInArrow(run, with_fields(slim.schema[:1], "ids binary, ends binary, n_tokens bigint")).withColumnRenamed("key", key)
 
 
 def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
     """encoded, with the decoded bytes in place of the offsets."""
     shared = _shared(encoded, path)
-    slim = encoded.select(F.col(key), "ids", "ends", "n_tokens")
-    kind = slim.schema[0].dataType.simpleString()
+    slim = encoded.select(F.col(quoted(key)).alias("key"), "ids", "ends", "n_tokens")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(shared)
@@ -311,4 +311,4 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
         del vocabulary
         forget()
 
-    return slim.mapInArrow(run, f"key {kind}, ids binary, n_tokens bigint, decoded binary").withColumnRenamed("key", key)
+    return slim.mapInArrow(run, with_fields(slim.schema[:1], "ids binary, n_tokens bigint, decoded binary")).withColumnRenamed("key", key)
