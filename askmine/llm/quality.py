@@ -16,10 +16,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from askmine.llm.base import checkpointed, row_blocks, text_buffer
+from askmine.llm.base import checkpointed, quoted, row_blocks, text_buffer, with_fields
 from askmine.llm.blocks import mixed
 from askmine.llm.calibrate import calibrated, isotonic
 from askmine.llm.repetition import covered, duplicate_lines, shared_prefixes
@@ -30,7 +31,7 @@ STATISTICS = (
     "capitals", "short_words", "marked_words", "bare_marks", "distinct_words", "same_as_before", "repeated", "repeated_long", "dup_lines",
     "sentence_ends", "letters", "vowels",
 )
-#: Random features, the kernel's width in standard deviations, the ridge, bins of scores, and partitions that sum.
+#: Random features, the kernel's width in standard deviations, the ridge, bins of scores, and groups in which partitions' sums meet.
 FEATURES, WIDTH, RIDGE, BINS, SUMMING = 256, 6.0, 1.0, 2048, 64
 SEED, SHARD_BYTES = 20240229, 2 << 20
 
@@ -90,8 +91,7 @@ def statistics(column: pa.Array) -> np.ndarray:
 
 def measured(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, stats (array of doubles)."""
-    slim = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    kind = slim.schema[0].dataType.simpleString()
+    slim = docs.select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -99,7 +99,7 @@ def measured(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([part.column(0), _lists(statistics(part.column(1)))], ["key", "stats"])
 
-    return slim.mapInArrow(run, f"key {kind}, stats array<double>")
+    return slim.mapInArrow(run, with_fields(slim.schema[:1], "stats array<double>"))
 
 
 def _lists(rows: np.ndarray) -> pa.Array:
@@ -137,12 +137,16 @@ def normal_equations(train: DataFrame, fourier: Fourier) -> tuple[np.ndarray, np
                 part = batch.slice(a, 8192)
                 z = fourier(_matrix(part.column(0)))
                 total += z.T @ np.column_stack([z, part.column(1).to_numpy(zero_copy_only=False)])
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(width), pa.int32()), pa.array([r.tobytes() for r in total], pa.binary())], ["i", "sums"])
+        part = TaskContext.get().partitionId() % SUMMING
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(width), pa.int32()), pa.array(np.full(width, part), pa.int32()), pa.array([r.tobytes() for r in total], pa.binary())], ["i", "part", "sums"])
 
     def add(key: tuple, rows: pa.Table) -> pa.Table:
-        return pa.table({"i": pa.array([key[0].as_py()], pa.int32()), "sums": pa.array([np.sum([np.frombuffer(x) for x in rows["sums"].to_pylist()], axis=0).tobytes()], pa.binary())})
+        added = np.sum([np.frombuffer(x) for x in rows["sums"].to_pylist()], axis=0).tobytes()
+        return pa.table({"i": pa.array([key[0].as_py()], pa.int32()), "sums": pa.array([added], pa.binary())})
 
-    rows = train.select("stats", "label").repartition(SUMMING).mapInArrow(sums, "i int, sums binary").groupBy("i").applyInArrow(add, "i int, sums binary").collect()  # width rows of a fixed size
+    # each partition sums its own rows where they are; their sums meet in SUMMING groups a matrix row, and then in one
+    own = train.select("stats", "label").mapInArrow(sums, "i int, part int, sums binary")
+    rows = own.groupBy("i", "part").applyInArrow(add, "i int, sums binary").groupBy("i").applyInArrow(add, "i int, sums binary").collect()  # width rows of a fixed size
     total = np.zeros((width, width + 1))
     for row in rows:
         total[row["i"]] = np.frombuffer(bytes(row["sums"]))
@@ -158,8 +162,7 @@ def _scored(df: DataFrame, fourier: Fourier, weights: np.ndarray, knots=None) ->
             score = np.concatenate([np.zeros(0), *(fourier(_matrix(batch.column(0).slice(a, 8192))) @ weights for a in range(0, batch.num_rows, 8192))])
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(score if knots is None else calibrated(score, knots))], [*(f.name for f in others), "score"])
 
-    fields = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in others), "score double"])
-    return df.select("stats", *[f.name for f in others]).mapInArrow(run, fields)
+    return df.select("stats", *[f.name for f in others]).mapInArrow(run, with_fields(others, "score double"))
 
 
 def score(docs: DataFrame, labels: DataFrame, label: str = "quality", learn: Column | None = None, key: str = "doc_id", text: str = "text", features: int = FEATURES, width: float = WIDTH, ridge: float = RIDGE) -> DataFrame:
