@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from askmine.llm.base import checkpointed
 
-BITS, SALTS, WHOLE = 5, 64, 10
+BITS, SALTS, SALTED, WHOLE = 5, 64, 1_000_000, 10
 
 
 def curve_tables(dims: int) -> tuple[list[int], list[int]]:
@@ -105,12 +105,13 @@ def shards(docs: DataFrame, n_shards: int = 16, key: str = "doc_id", text: str =
         )
     )
     group = ["hash", "crc", "size"]
-    total = rows.agg(F.sum("size").alias("total")).first()["total"] or 1
+    n_rows, total = rows.agg(F.count(F.lit(1)), F.sum("size")).first()
+    total, salts = total or 1, max(SALTS, n_rows // SALTED)  # parts grow in number, not in size
     head = F.min(F.struct("key", *[f"name{i}" for i in range(len(names))]))
     groups = rows.groupBy(*group).agg(head.alias("head"), F.count(F.lit(1)).alias("n"))
     dims = [quantised_size(F.col("size")), *[quantised_name(F.col(f"head.name{i}")) for i in range(len(names))]]
     groups = groups.select(*group, "n", (F.col("n") * F.col("size")).alias("bytes"), *[d.alias(f"dim{i}") for i, d in enumerate(dims)])
-    placed = groups.select(*group, "n", "bytes", curve_index([F.col(f"dim{i}") for i in range(len(dims))]).alias("place"), F.pmod("hash", F.lit(SALTS)).cast("int").alias("part"))
+    placed = groups.select(*group, "n", "bytes", curve_index([F.col(f"dim{i}") for i in range(len(dims))]).alias("place"), F.pmod("hash", F.lit(salts)).cast("int").alias("part"))
     placed = checkpointed(placed)
 
     parts = placed.groupBy("place", "part").agg(F.sum("n").alias("part_n"), F.sum("bytes").alias("part_bytes"))
@@ -127,10 +128,10 @@ def shards(docs: DataFrame, n_shards: int = 16, key: str = "doc_id", text: str =
     whole = slim.join(large.select(*group), group, "left_anti").join(at.filter(~is_large), group)
     rank = W.partitionBy(*group, "salt").orderBy("key")
     whole = whole.withColumn("salt", F.lit(0)).withColumn("rank", (F.row_number().over(rank) - 1).cast("bigint")).withColumn("middle", F.col("first_byte") + F.col("bytes") / 2)
-    cut = slim.join(large, group).withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))
+    cut = slim.join(large, group).withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(salts)).cast("int"))
     salted = cut.groupBy(*group, "salt").count()
-    salted = _running(salted, W.partitionBy(*group).orderBy("salt"), rank0="count").drop("count")  # SALTS rows of a group at most
-    cut = cut.join(F.broadcast(salted), [*group, "salt"])  # n_shards * WHOLE * SALTS rows at most
+    salted = _running(salted, W.partitionBy(*group).orderBy("salt"), rank0="count").drop("count")  # a row a part of a large group
+    cut = cut.join(salted, [*group, "salt"])
     cut = cut.withColumn("rank", F.col("rank0") + F.row_number().over(rank) - 1).withColumn("middle", F.col("first_byte") + (F.col("rank") + 0.5) * F.col("size")).drop("rank0")
     dealt = whole.unionByName(cut).select("key", "size", "crc", "place", (F.col("first_row") + F.col("rank")).alias("row"), F.least(F.floor(F.col("middle") * n_shards / F.lit(total)), F.lit(n_shards - 1)).cast("int").alias("shard"))
     dealt = checkpointed(dealt)
