@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import re
 import sys
+import tempfile
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -29,14 +31,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder that the session names, which all executors must share."""
-    spark = df.sparkSession
-    context = spark.sparkContext
+    """Cut the lineage with a reliable checkpoint in the folder that the session names, which all executors must share.
+
+    Where none is named, a temporary folder serves a session of one process; on a cluster that is an error.
+    """
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and re.fullmatch(r"local(\[.*\])?", context.master) is None:
             raise ValueError("spark.checkpoint.dir is not set: it names a folder that driver and executors share")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
     return df.checkpoint(eager=True)
 
 
