@@ -22,7 +22,7 @@ from askmine.llm.base import row_blocks, text_buffer
 from askmine.llm.blocks import mixed
 from askmine.llm.substring_dedup import IS_SPACE, word_bounds, word_hashes
 
-#: Repeats of fewer words don't count; the share of words that repeats may cover; words of the longest repeat, beyond which it fails if it is also a tenth of the text.
+#: Repeats of fewer words don't count; the share of words that repeats may cover; words of the longest repeat that passes.
 MIN_WORDS, MOST_COVERED, LONGEST = 8, 0.4, 50
 IS_SYMBOL = np.zeros(256, bool)
 IS_SYMBOL[list(b"#*$%&|<>")] = True
@@ -132,5 +132,5 @@ def judge(measured: DataFrame, most_covered: float = MOST_COVERED, longest: int
     """measured, with base_failed and kept."""
     words = F.col("n_words")
     base = (words < 50) | (100 * F.col("n_repeat_words") > 50 * words)
-    repeats = (F.col("n_covered") > most_covered * words) | ((F.col("longest") > longest) & (10 * F.col("longest") > words))
+    repeats = (F.col("n_covered") > most_covered * words) | (F.col("longest") > longest)
     return measured.withColumns({"base_failed": base, "kept": ~base & ~repeats})
