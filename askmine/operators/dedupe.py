@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 import pandas as pd
@@ -12,11 +13,18 @@ from pyspark.sql import functions as F
 from askmine.functions.text import dedupe_key
 
 
+#: A text of more than one in so many rows is a hot one.
+HOT_TEXTS = 1000
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the cluster's folder; a temporary one only where none is set."""
+    """A reliable checkpoint in the folder that the session names; a temporary one only where none is named and one process runs all."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and re.fullmatch(r"local(\[.*\])?", context.master) is None:
+            raise ValueError("spark.checkpoint.dir is not set: it names a folder that driver and executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
     return df.checkpoint(eager=True)
 
 
@@ -26,8 +34,13 @@ def first_of_equal_texts(df: DataFrame, key: str, text: str) -> DataFrame:
     Partial minima by a digest of the text, then a join, so that a text that many rows share is no hot window.
     """
     marked = df.withColumn("_digest", F.sha2(dedupe_key(F.coalesce(F.col(text), F.lit(""))), 256))
-    first = marked.groupBy("_digest").agg(F.min(key).alias("first_key"))
-    return marked.join(first, "_digest").drop("_digest")
+    first = marked.groupBy("_digest").agg(F.min(key).alias("first_key"), F.count(F.lit(1)).alias("_n"))
+    # texts that very many rows share, HOT_TEXTS of them at most, go to the rows by broadcast: no task joins them all
+    hot = F.broadcast(first.filter(F.col("_n") * HOT_TEXTS > F.lit(df.count())).select("_digest", F.col("first_key").alias("_hot")))
+    known = marked.join(hot, "_digest", "left")
+    shared = known.filter("_hot is not null").select(*df.columns, F.col("_hot").alias("first_key"))
+    others = known.filter("_hot is null").drop("_hot").join(first.drop("_n"), "_digest")
+    return shared.union(others.select(*df.columns, "first_key"))
 
 
 def accepted_in_order(df: DataFrame, order: str, strong: Column, fingerprint: Column) -> DataFrame:

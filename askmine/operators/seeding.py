@@ -61,19 +61,22 @@ def place_votes(emails: DataFrame, review: DataFrame) -> DataFrame:
     """term, mentions, tagged: every appearance of the terms that the voter tagged, and those inside its spans."""
     spans = review.filter((F.col("entity_type") == "LOCATION") & (F.col("recognizer") == VOTER))
     listed = spans.select(normalized_term(F.col("text")).alias("term")).distinct().filter(is_place_term(F.col("term")))
-    terms = [r["term"] for r in listed.limit(20_001).toLocalIterator()]  # a word list, as the reviewers read it
-    if len(terms) > 20_000:
-        raise ValueError("more than 20,000 place terms: raise the voter's threshold")
-    pattern = "|".join(r"\s+".join(map(re.escape, term.split(" "))) for term in sorted(terms, key=lambda x: (-len(x), x)))
 
     @F.pandas_udf("array<struct<start:int,end:int,text:string>>")
-    def mentions(texts: pd.Series) -> pd.Series:
-        shape = re.compile(rf"(?<![\w@./])(?:{pattern})(?![\w@])", re.IGNORECASE)
-        return texts.map(lambda t: [{"start": m.start(), "end": m.end(), "text": m.group()} for m in shape.finditer(t or "")] if pattern else [])
-
-    fields = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in ("subject", "body")]))
-    found = emails.select(F.coalesce("id", F.lit("")).alias("email_id"), fields.alias("f")).select("email_id", "f.field", F.explode(mentions("f.value")).alias("m"))
-    found = found.select("email_id", "field", "m.*").withColumn("_row", F.monotonically_increasing_id())
+    def mentions(texts: pd.Series, terms: pd.Series) -> pd.Series:
+        def of(text: str, own: list[str]) -> list[dict]:
+            shape = "|".join(r"\s+".join(map(re.escape, term.split(" "))) for term in sorted(own, key=lambda x: (-len(x), x)))
+            return [{"start": m.start(), "end": m.end(), "text": m.group()} for m in re.finditer(rf"(?<![\w@./])(?:{shape})(?![\w@])", text, re.IGNORECASE)]
+
+        return pd.Series([of(t, list(own)) for t, own in zip(texts, terms)], dtype=object)
+
+    fields = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.coalesce(F.col(f), F.lit("")).alias("value")) for f in ("subject", "body")]))
+    texts = emails.select(F.coalesce("id", F.lit("")).alias("email_id"), fields.alias("f")).select("email_id", "f.field", "f.value")
+    # a text is searched for the terms only whose first word it has: an equi join finds them, however many terms there are
+    words = texts.select("email_id", "field", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("value"), F.lit("([a-z]+)"), 1))).alias("_w"))
+    maybe = words.join(listed.withColumn("_w", F.regexp_extract("term", "^[a-z]+", 0)), "_w").groupBy("email_id", "field").agg(F.collect_set("term").alias("_terms"))
+    found = texts.join(maybe, ["email_id", "field"]).select("email_id", "field", F.explode(mentions("value", "_terms")).alias("m"))
+    found = found.select("email_id", "field", "m.*")
     low = spans.select("email_id", "field", F.col("start").cast("int").alias("low"), F.col("end").cast("int").alias("high"))
     joined = found.join(low, ["email_id", "field"], "left")
     inside = F.max(F.coalesce((F.col("low") <= F.col("start")) & (F.col("end") <= F.col("high")), F.lit(False)).cast("int"))
@@ -85,6 +88,19 @@ def selected_places(votes: DataFrame, common: list[str]) -> DataFrame:
     return votes.filter((F.col("mentions") >= LEAST_MENTIONS) & (F.col("tagged") >= LEAST_SHARE * F.col("mentions")) & ~F.col("term").isin(*(common or [""])))
 
 
+def split_places(selected: DataFrame, english: DataFrame) -> DataFrame:
+    """section (places or capitalized), entry: a place of one word that is an everyday word too counts only with a capital."""
+    everyday = english.select(F.col("word").alias("term"), F.lit(True).alias("_known")).distinct()
+    known = selected.join(everyday, "term", "left").withColumn("_known", F.coalesce("_known", F.lit(False)) & ~F.col("term").contains(" "))
+    capital = F.concat(F.upper(F.substring("term", 1, 1)), F.substring("term", 2, 1 << 20))
+    return known.select(F.when(F.col("_known"), "capitalized").otherwise("places").alias("section"), F.when(F.col("_known"), capital).otherwise(F.col("term")).alias("entry"), "mentions", "tagged")
+
+
+def split_names(counted: DataFrame, english: DataFrame) -> DataFrame:
+    """section (names or ambiguous), entry, n, of name_harvest."""
+    return split_ambiguous(counted, "part", english).select(F.when(F.col("ambiguous"), "ambiguous").otherwise("names").alias("section"), F.col("part").alias("entry"), "n")
+
+
 def venue_harvest(values: DataFrame, value: str, listed: list[str]) -> DataFrame:
     """term, spelling (the most common one, the smaller of equals), n of label values that no list has."""
     parts = values.select(venue_part(F.col(value)).alias("spelling")).withColumn("term", normalized_term(F.col("spelling")))

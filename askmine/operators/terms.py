@@ -32,16 +32,19 @@ def top_terms(texts: DataFrame, group: str, text: str, n: int = 8) -> DataFrame:
     Equal scores (to nine decimals) are in alphabetical order.
     """
     counts = texts.select(group, F.explode(terms(F.col(text))).alias("term")).groupBy(group, "term").agg(F.count(F.lit(1)).alias("n_term"))
-    # a term has a row per group at most, so its window is no hot one; the groups' sizes need no second shuffle of terms
-    in_group = texts.groupBy(group).agg(F.sum(F.size(terms(F.col(text)))).alias("n_group")).filter("n_group > 0").withColumn("mean", F.avg("n_group").over(W.partitionBy(F.lit(0))))
+    # a term has a row per group at most, so its window is no hot one; groups are summed from their terms' counts, in the same exchange
+    in_group = counts.groupBy(group).agg(F.sum("n_term").alias("n_group")).withColumn("mean", F.avg("n_group").over(W.partitionBy(F.lit(0))))
     scored = counts.withColumn("n_corpus", F.sum("n_term").over(W.partitionBy("term"))).join(in_group, group)
     score = F.round(F.col("n_term") / F.col("n_group") * F.log1p(F.col("mean") / F.col("n_corpus")), 9)
     order = W.partitionBy(group).orderBy(score.desc(), "term")
     return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n).select(group, "rank", "term", "n_term")
 
 
-def lowercase_usage(messages: DataFrame, text: str, least: int = 10) -> DataFrame:
-    """word, n: words in lower case, counted once per message, of ``least`` messages or more; addresses are cut first."""
+def lowercase_usage(messages: DataFrame, text: str, least: int = 10, english: DataFrame | None = None) -> DataFrame:
+    """word, n: words in lower case, counted once per message, of ``least`` messages or more; addresses are cut first.
+
+    english: with it, only words of this table (column word) count.
+    """
     plain = F.regexp_replace(F.col(text), r"\S*@\S*|(?i)\bhttps?://\S+|\bwww\.\S+", " ")
     words = F.array_distinct(F.filter(F.regexp_extract_all(plain, F.lit(r"(\p{L}+)"), 1), lambda w: w == F.lower(w)))
-    return messages.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
+    return messages.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least).transform(lambda n: n if english is None else n.join(english.select("word").distinct(), "word", "left_semi"))

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import json
 import os
+import secrets
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from askmine.sources.files import write_lines
+
 SHARD_ROWS = 2000
 EMAIL = (
     "id string, thrid string, date string, direction string, labels array<string>, `from` string, sender string, is_automated boolean, `to` string, subject string, body string, "
@@ -44,16 +48,95 @@ def with_shard(rows: DataFrame, order: str, size: int = SHARD_ROWS) -> DataFrame
 
 
 def write_shards(rows: DataFrame, folder: str, order: str, size: int = SHARD_ROWS) -> None:
-    """One folder per shard; Spark's commit makes each whole or absent."""
-    with_shard(rows, order, size).repartition("shard").sortWithinPartitions("shard", order).write.mode("overwrite").partitionBy("shard").option("ignoreNullFields", "false").json(folder)
+    """Files emails-00000.jsonl and so on, which read_shards reads back; each is whole or absent."""
+    numbered = with_shard(rows, order, size)
+    line = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns]), {"ignoreNullFields": "false"})
+    write_lines(numbered.select(F.concat("shard", F.lit(".jsonl")).alias("file"), F.col(order).alias("place"), line.alias("line")), folder)
 
 
 def read_review(spark: SparkSession, path: str) -> DataFrame:
+    """Review rows with the shard that their file is of."""
     return spark.read.schema(REVIEW).options(**CSV).csv(path)
 
 
-def write_review(rows: DataFrame, path: str) -> None:
-    rows.select([F.col(c.split(" ")[0]) for c in REVIEW.split(", ")]).sort("email_id", "field", "start").coalesce(1).write.mode("overwrite").options(**CSV).csv(path)
+def review_of_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Review rows of a folder of emails-*.csv with their shard, as emails-00000."""
+    rows = read_review(spark, f"{folder}/emails-*.csv")
+    return rows.withColumn("shard", F.regexp_extract("_metadata.file_name", r"^(.*)\.csv$", 1))
+
+
+def write_review(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Review rows as CSV files in the order of their messages; every file begins with the header."""
+    columns = [F.col(c.split(" ")[0]) for c in REVIEW.split(", ")]
+    ordered = rows.select(columns).repartitionByRange("email_id", "field", "start").sortWithinPartitions("email_id", "field", "start")
+    ordered.write.mode(mode).options(**CSV).csv(path)
+
+
+def append_review(rows: DataFrame, path: str) -> None:
+    """More rows beside those of a review, whose files stay as their editors left them."""
+    write_review(rows, path, "append")
+
+
+def unedited(spark: SparkSession, review: str, original: str) -> bool:
+    """Whether a review still is what was written first: only then may it be written anew. No original, no leave."""
+    try:
+        a, b = read_review(spark, review), read_review(spark, original)
+    except AnalysisException:
+        return False
+    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def load_key(path: str) -> bytes:
+    """The key of the keyed hashes: 64 hex digits, made once and readable by the owner only. It is never shown."""
+    try:
+        with open(path, encoding="ascii") as f:
+            return f.read().strip().encode()
+    except FileNotFoundError:
+        os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
+        with os.fdopen(os.open(path, os.O_WRONLY | os.O_CREAT | os.O_EXCL, 0o600), "w", encoding="ascii") as f:
+            f.write(secrets.token_hex(32))
+        return load_key(path)
+
+
+class Position:
+    """How far a run has come: saved as JSON, cleared at its end; what can't be read means a new start."""
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def load(self) -> dict:
+        return read_manifest(self.path) or {}
+
+    def save(self, **where) -> None:
+        write_text(self.path, json.dumps(where))
+
+    def clear(self) -> None:
+        if os.path.exists(self.path):
+            os.remove(self.path)
+
+
+def english_words(spark: SparkSession, path: str) -> DataFrame:
+    """word: the entries of a dictionary that it writes in lower case."""
+    word = F.trim("value")
+    return spark.read.text(path).select(word.alias("word")).filter((F.col("word") != "") & (F.col("word") == F.lower("word"))).distinct()
+
+
+def remember_seen(rows: DataFrame, strong: Column, fingerprint: Column, folder: str) -> None:
+    """Add the ids and fingerprints of accepted rows to a log that later runs read."""
+    rows.select(strong.alias("id"), fingerprint.alias("fingerprint")).write.mode("append").parquet(folder)
+
+
+def unseen(rows: DataFrame, strong: Column, fingerprint: Column, folder: str) -> DataFrame:
+    """rows with drop_reason: dup_id or dup_body if an earlier run has accepted the id or the fingerprint, else null."""
+    spark = rows.sparkSession
+    try:
+        log = spark.read.schema("id string, fingerprint string").parquet(folder)
+    except AnalysisException:
+        return rows.withColumn("drop_reason", F.lit(None).cast("string"))
+    ids = log.select(F.col("id").alias("_id"), F.lit(True).alias("_old_id")).filter("_id <> ''").distinct()
+    prints = log.select(F.col("fingerprint").alias("_print"), F.lit(True).alias("_old_print")).distinct()
+    marked = rows.withColumns({"_id": strong, "_print": fingerprint}).join(ids, "_id", "left").join(prints, "_print", "left")
+    return marked.withColumn("drop_reason", F.when(F.col("_old_id"), "dup_id").when(F.col("_old_print"), "dup_body")).select(*rows.columns, "drop_reason")
 
 
 def write_text(path: str, text: str) -> None:
