@@ -44,12 +44,12 @@ TRAIN_ROWS, LANDMARKS, NEAR, ROUNDS, COST = 4000, 56, 32, 4, 2.0
 #: Kernel value above which a word is too close to a landmark to be another, smallest eigenvalue, and sentences that stand for a row.
 CLOSE, LEAST, STAND = 0.8, 0.05, 8
 #: Words whose kernel values a worker remembers; then it begins anew.
-CACHE = 100_000
+CACHE = 50_000
 #: Sentence scores from which a text's sentences add up.
 MARGINS = (-1.0, -0.5)
 #: Logarithm of the least ratio of frequencies of a landmark, its most letters, and how many of such words make their common beginning one.
 ODDS, LONGEST, STEM = 2.1, 32, 3
-SHARD_BYTES, TRAIN_BYTES, SAMPLE_BYTES, SEED = 2 << 20, 1 << 20, 24 << 20, 20240229
+SHARD_BYTES, TRAIN_BYTES, SAMPLE_BYTES, SEED = 1 << 20, 1 << 20, 24 << 20, 20240229
 #: Digits that stand for letters.
 DIGITS = dict(zip("013457", "oieast"))
 ENDS = np.isin(np.arange(256), list(b".!?"))
@@ -509,5 +509,6 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
                 yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns[: 1 + carry], scores], [*(f.name for f in fields), "score"])
             release()
         model.landmarks.forget()
+        release()
 
     return slim.mapInArrow(run, with_fields(fields, "score double")).withColumnRenamed("key", key)
