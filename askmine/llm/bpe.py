@@ -312,3 +312,24 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
         forget()
 
     return slim.mapInArrow(run, with_fields(slim.schema[:1], "ids binary, n_tokens bigint, decoded binary")).withColumnRenamed("key", key)
+
+
+def round_trip(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """What decode(encode(docs)) gives, with both in one Python worker: key, ids, n_tokens, decoded."""
+    shared = _shared(docs, path)
+    slim = docs.select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).cast("string").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = _vocabulary(shared)
+        for batch in batches:
+            _, offsets = text_buffer(batch.column(1))
+            for a, b in row_blocks(np.diff(offsets).tolist(), SCAN_CHARS):
+                ids = vocabulary.encode(texts_of(batch.column(1).slice(a, b - a)))
+                texts = [vocabulary.decode(x, np.cumsum(vocabulary.lengths[x])).tobytes() for x in ids]
+                columns = [pa.array([x.tobytes() for x in ids], pa.binary()), pa.array([len(x) for x in ids], pa.int64()), pa.array(texts, pa.binary())]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *columns], ["key", "ids", "n_tokens", "decoded"])
+            release()
+        del vocabulary
+        forget()
+
+    return slim.mapInArrow(run, with_fields(slim.schema[:1], "ids binary, n_tokens bigint, decoded binary")).withColumnRenamed("key", key)

@@ -27,7 +27,7 @@ def learn_toxicity():
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(RANK_FILE)
-    done = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    done = bpe.round_trip(table(spark, sf_dir, "documents"), path)
     return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
