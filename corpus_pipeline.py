@@ -64,7 +64,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts have no tokens. An empty table gives no rows.
     """
     path = public_tokenizers.path(RANK_FILE)
-    done = bpe.decode(bpe.encode(docs, path), path)
+    done = bpe.round_trip(docs, path)
     return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), "ids")
 
 
