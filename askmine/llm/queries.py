@@ -54,7 +54,7 @@ def op5_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = repetition.judge(repetition.measure(table(spark, sf_dir, "documents")))
-    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_covered", "longest")
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_covered")
 
 
 def op7_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,6 +92,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {
+    "op4_suffix_array": r"""
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS x, strlen(coalesce(text, '')) AS n FROM documents),
+w AS (SELECT doc_id, i, hash(x[i : i + 199]) AS h FROM (SELECT doc_id, x, unnest(range(1, n - 198)) AS i FROM d WHERE n >= 200)),
+r AS (SELECT doc_id, i FROM w WHERE h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)),
+o AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 200 THEN 0 ELSE 1 END AS new FROM r),
+s AS (SELECT doc_id, min(i) AS a, max(i) + 200 AS b FROM (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM o) GROUP BY doc_id, run),
+e AS (SELECT doc_id, a, b FROM s UNION ALL SELECT doc_id, n + 1, n + 1 FROM d),
+k AS (SELECT doc_id, a, b, lag(b, 1, 1) OVER (PARTITION BY doc_id ORDER BY a, b) AS f FROM e),
+g AS (SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*) - 1 AS n_spans, string_agg(CASE WHEN f < a THEN hex(x[f : a - 1]) ELSE '' END, '' ORDER BY a, b) AS kept FROM k JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, n::BIGINT AS n_bytes, n_removed, n_spans, sha256(unhex(kept)) AS kept_sha256 FROM g JOIN d USING (doc_id)""",
+    "op6_repetition": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS x, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, n, i, hash(array_to_string(w[i : i + n - 1], ' ')) AS s FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (VALUES (3), (8), (51)) v(n) WHERE len(w) >= n)),
+rep AS (SELECT doc_id, n, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, n, s) > 1),
+cov AS (SELECT doc_id, n, count(DISTINCT p) AS c FROM (SELECT doc_id, n, unnest(range(i, i + n)) AS p FROM rep WHERE n < 51) GROUP BY 1, 2),
+long AS (SELECT DISTINCT doc_id FROM rep WHERE n = 51),
+f AS (SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda t: length(t))), 0)::BIGINT AS word_chars, len(regexp_extract_all(x, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+ list_filter(string_split(x, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines FROM d),
+m AS (SELECT f.*, coalesce((SELECT c FROM cov WHERE cov.doc_id = f.doc_id AND n = 3), 0) AS n_repeat_words, coalesce((SELECT c FROM cov WHERE cov.doc_id = f.doc_id AND n = 8), 0) AS n_covered FROM f)
+SELECT doc_id, n_words, word_chars, n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+ NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_covered <= 0.4 * n_words AND doc_id NOT IN (SELECT doc_id FROM long) AS kept, n_covered FROM m""",
     "op8_substring": r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 win AS (SELECT doc_id, i, array_to_string(w[i : i + 12], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
