@@ -101,7 +101,7 @@ def venue_part(value: Column) -> Column:
 
 
 def is_place_term(term: Column) -> Column:
-    return term.rlike(r"^[A-Za-z][A-Za-z .'\-]{3,}$")
+    return term.rlike(r"^[A-Za-z][A-Za-z .'\-]{3,}\z")
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:

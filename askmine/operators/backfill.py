@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from askmine.functions import decisions
@@ -21,6 +21,13 @@ def covered(start: int, end: int, intervals: list[tuple[int, int]]) -> bool:
     return start >= end
 
 
+def is_covered(start: Column, end: Column, intervals: Column) -> Column:
+    """covered as a column: intervals is an array of structs (a, b); a fold over them in order, without Python."""
+    begin = (F.col(start) if isinstance(start, str) else start).cast("int")
+    reach = F.aggregate(F.array_sort(intervals), begin, lambda at, s: F.when((s["a"] <= at) & (at < s["b"]), s["b"]).otherwise(at))
+    return reach >= end
+
+
 def new_spans(emails: DataFrame, review: DataFrame, known: list[Recognizer], common: dict[str, list[str]] | None = None) -> DataFrame:
     """Review rows that the review lacks, with note backfill; each redaction accepted covers for those after it.
 

@@ -125,6 +125,12 @@ def stratified(rows: DataFrame, key: str, stratum: str, n: int, seed: int = 0) -
     return rows.withColumn("_draw", draw).withColumn("_rn", F.row_number().over(order)).filter(F.col("_rn") <= n).drop("_draw", "_rn")
 
 
+def top_person_terms(review: DataFrame, top: int = 20) -> DataFrame:
+    """term, n: the most frequent redacted names, equal ones in alphabetical order."""
+    people = review.filter((F.col("entity_type") == "PERSON") & (F.col("decision") == "redact")).select(normalized_term(F.col("text")).alias("term")).filter("term <> ''")
+    return people.groupBy("term").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "term").limit(top)
+
+
 def review_sample(emails: DataFrame, review: DataFrame, size: int, top: int = 20, seed: int = 0) -> DataFrame:
     """size messages with the reason of their choice: one for each of the most frequent redacted names, then at random.
 
@@ -132,7 +138,7 @@ def review_sample(emails: DataFrame, review: DataFrame, size: int, top: int = 20
     """
     people = review.filter((F.col("entity_type") == "PERSON") & (F.col("decision") == "redact")).select("email_id", normalized_term(F.col("text")).alias("term")).filter("term <> ''")
     known = people.join(emails.select(F.coalesce("id", F.lit("")).alias("email_id")).distinct(), "email_id", "left_semi")
-    names = [r["term"] for r in people.groupBy("term").count().orderBy(F.col("count").desc(), "term").limit(top).collect()]
+    names = [r["term"] for r in top_person_terms(review, top).collect()]
     draw = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("email_id")), 256)
     chosen: dict[str, str] = {}
     for rank, name in enumerate(names, 1):

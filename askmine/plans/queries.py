@@ -5,38 +5,17 @@ Each query reads whole tables. ORACLES has DuckDB SQL of the same rows where SQL
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from askmine.functions import decisions, hashes, tripwire
+from askmine.functions import hashes, tripwire
 from askmine.functions import text as t
-from askmine.functions.cleaning import html_to_text, strip_quoted, text_udf
+from askmine.functions.cleaning import html_to_text, text_udf
 from askmine.operators import chunking, clusters, dedupe, density, embedding, redaction, seeding, signatures, similar, spans, terms, threads
+from askmine.plans import base, more_queries
+from askmine.plans.base import HANDLE_SQL, RANK
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-HMAC_KEY = b"query key"
-
-
-def _query(oracle: str | None = None):
-    def keep(f):
-        QUERIES[f.__name__] = f
-        if oracle:
-            ORACLES[f.__name__] = oracle
-        return f
-
-    return keep
-
-
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-#: SQL of a thread's rank from its key.
-RANK = "CAST(('0x' || substr(sha256('42:' || CAST({k} AS VARCHAR)), 1, 16)) AS UBIGINT)::DOUBLE / 18446744073709551616.0"
-STOPS = ", ".join(f"'{w}'" for w in terms.STOP_WORDS)
+_query, _table = base.query, base.table
 RUNS = """
 words AS (SELECT doc_id, regexp_extract_all(lower(regexp_replace(text, '<[A-Z_]+>', ' ', 'g')), '\\p{L}+') AS w FROM documents),
 runs AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS run FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM words WHERE len(w) >= 5)),
@@ -62,32 +41,11 @@ def exact_text_dedupe(spark, sf_dir):
     return found.select("doc_id", "first_key", (F.col("doc_id") == F.col("first_key")).alias("is_first"))
 
 
-@_query()
-def greedy_dedupe(spark, sf_dir):
-    """Ids made to clash: one per source and 2,500 numbers, so that both keys decide."""
-    docs = _table(spark, sf_dir, "documents").withColumn("strong", F.concat_ws("-", "source", F.col("doc_id") % 2500))
-    found = dedupe.accepted_in_order(docs, "doc_id", F.col("strong"), hashes.body_fingerprint(F.lit(""), F.coalesce("text", F.lit(""))))
-    return found.select("doc_id", "drop_reason")
-
-
-_LADDER = r"""CASE WHEN {rank} < 0.1 THEN 'held_out'
- WHEN regexp_matches(text, '(^|[^0-9])(\+?1[\s.-]?)?\(?[0-9]{{3}}\)?[\s.-]?[0-9]{{3}}[\s.-][0-9]{{4}}([^0-9]|$)') OR regexp_matches(text, '[\p{{L}}\p{{N}}_.+-]+@[\p{{L}}\p{{N}}_-]+(\.[\p{{L}}\p{{N}}_-]+)+')
-   OR regexp_matches(text, '(?i)\bhttps?://\S|\bwww\.\S') OR regexp_matches(text, '(^|[^\p{{L}}\p{{N}}_@.<])@[A-Za-z][A-Za-z0-9_.]') THEN 'quarantined'
- WHEN len(regexp_extract_all(text, '\p{{L}}{{2,}}')) < 3 THEN 'no_content' ELSE 'kept' END"""
-
-
-@_query("SELECT source, " + _LADDER.format(rank=RANK.format(k="doc_id")) + " AS reason, count(*) AS n FROM documents GROUP BY ALL")
-def drop_reasons(spark, sf_dir):
-    c = F.col("text")
-    reason = F.when(hashes.is_held_out(F.col("doc_id")), "held_out").when(tripwire.fires_any(c), "quarantined").when(~t.has_content(c), "no_content").otherwise("kept")
-    return _table(spark, sf_dir, "documents").groupBy("source", reason.alias("reason")).agg(F.count(F.lit(1)).alias("n"))
-
-
 @_query(r"""SELECT doc_id, regexp_matches(text, '(^|[^0-9])(\+?1[\s.-]?)?\(?[0-9]{3}\)?[\s.-]?[0-9]{3}[\s.-][0-9]{4}([^0-9]|$)') AS phone,
- regexp_matches(text, '[\p{L}\p{N}_.+-]+@[\p{L}\p{N}_-]+(\.[\p{L}\p{N}_-]+)+') AS email, regexp_matches(text, '(?i)\bhttps?://\S|\bwww\.\S') AS url FROM documents""")
+ regexp_matches(text, '[\p{L}\p{N}_.+-]+@[\p{L}\p{N}_-]+(\.[\p{L}\p{N}_-]+)+') AS email, regexp_matches(text, '(?i)\bhttps?://\S|\bwww\.\S') AS url, """ + HANDLE_SQL.format(c="text") + " AS handle FROM documents")
 def tripwire_flags(spark, sf_dir):
     c = F.col("text")
-    return _table(spark, sf_dir, "documents").select("doc_id", tripwire.fires(c, "PHONE_NUMBER").alias("phone"), tripwire.fires(c, "EMAIL_ADDRESS").alias("email"), tripwire.fires(c, "URL").alias("url"))
+    return _table(spark, sf_dir, "documents").select("doc_id", tripwire.fires(c, "PHONE_NUMBER").alias("phone"), tripwire.fires(c, "EMAIL_ADDRESS").alias("email"), tripwire.fires(c, "URL").alias("url"), tripwire.fires(c, "SOCIAL_HANDLE").alias("handle"))
 
 
 @_query(r"SELECT doc_id, len(regexp_extract_all(regexp_replace(text, '<[A-Z_]+>', ' ', 'g'), '\p{L}{2,}')) >= 3 AS has_content FROM documents")
@@ -147,48 +105,13 @@ def first_reply(spark, sf_dir):
     return found.select("conv_id", "turn", F.col("reply.time").alias("reply_turn"))
 
 
-@_query("""WITH f AS (SELECT conv_id, min(turn) FILTER (role = 'user') AS first_turn, min(turn) FILTER (role = 'assistant') AS sent FROM conversations GROUP BY 1)
- SELECT conv_id, first_turn, CASE WHEN first_turn IS NULL THEN 'no_client_email' WHEN sent < first_turn THEN 'follow_up' ELSE 'opener' END AS kind FROM f""")
-def first_client_turn(spark, sf_dir):
-    turn = lambda role: F.min(F.when(F.col("role") == role, F.col("turn")))
-    first = _table(spark, sf_dir, "conversations").groupBy("conv_id").agg(turn("user").alias("first_turn"), turn("assistant").alias("sent"))
-    kind = F.when(F.col("first_turn").isNull(), "no_client_email").when(F.col("sent") < F.col("first_turn"), "follow_up").otherwise("opener")
-    return first.select("conv_id", "first_turn", kind.alias("kind"))
-
-
-def _emails(spark, sf_dir) -> DataFrame:
-    """Turns as messages: the user's are inbound, one per second of a day that the conversation names."""
-    turns = _table(spark, sf_dir, "conversations").filter("role in ('user', 'assistant')")
-    inbound = F.col("role") == "user"
-    return turns.select(
-        F.format_string("%08d-%06d", "conv_id", "turn").alias("id"), F.col("conv_id").cast("string").alias("thrid"), F.concat(F.lit("2027-01-01T00:00:"), F.lpad((F.col("turn") % 60).cast("string"), 2, "0"), F.lit("+00:00")).alias("date"),
-        F.when(inbound, "inbound").otherwise("outbound").alias("direction"), F.when(inbound, "client").otherwise("us").alias("sender"), F.lit("").alias("subject"), F.col("text").alias("body"),
-    )
-
-
-@_query()
-def holdout_queries(spark, sf_dir):
-    emails = _emails(spark, sf_dir)
-    own = emails.filter("direction = 'outbound'").select("sender")
-    picked = threads.first_client_message(emails, own).filter(hashes.is_held_out(F.col("thrid")))
-    return threads.with_near_duplicates_named(picked, emails).select("thrid", "reason", "id", "kind", "lang")
-
-
 @_query("SELECT conv_id, turn FROM conversations a WHERE role = 'user' AND NOT EXISTS (SELECT 1 FROM conversations b WHERE b.role = 'assistant' AND b.text = a.text)")
 def own_unsent(spark, sf_dir):
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", F.when(F.col("role") == "user", "inbound").when(F.col("role") == "assistant", "outbound").otherwise("other").alias("direction"), F.sha2("text", 256).alias("sender"))
     return threads.without_own_unsent(turns).filter("direction = 'inbound'").select("conv_id", "turn")
 
 
-_TERMS = f"""
-toks AS (SELECT doc_id, g, list_filter(regexp_extract_all(lower(regexp_replace(text, '<[A-Z_]+>', ' ', 'g')), '[\\p{{{{L}}}}\\p{{{{N}}}}_]+'), lambda x: regexp_full_match(x, '\\p{{{{L}}}}{{{{2,}}}}')) AS w FROM (SELECT doc_id, {{group}} AS g, text FROM documents)),
-clean AS (SELECT doc_id, g, list_filter(w, lambda x: x NOT IN ({STOPS})) AS w FROM toks),
-each AS (SELECT g, unnest(w) AS term FROM clean UNION ALL SELECT g, unnest([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) FROM clean),
-cnt AS (SELECT g, term, count(*) AS n_term FROM each GROUP BY 1, 2), grp AS (SELECT g, sum(n_term)::BIGINT AS n_group FROM cnt GROUP BY 1),
-corp AS (SELECT term, sum(n_term)::BIGINT AS n_corpus FROM cnt GROUP BY 1), m AS (SELECT avg(n_group) AS mean FROM grp),
-sc AS (SELECT g, term, n_term, round(n_term::DOUBLE / n_group * ln(1 + mean / n_corpus), 9) AS score FROM cnt JOIN grp USING (g) JOIN corp USING (term), m),
-top AS (SELECT g, row_number() OVER (PARTITION BY g ORDER BY score DESC, term)::INTEGER AS rank, term, n_term FROM sc QUALIFY rank <= 8)
-"""
+_TERMS = " " + base.TERMS_SQL.replace("{table}", "documents").replace("{key}", "doc_id") + " "
 
 
 @_query("WITH" + _TERMS.format(group="source") + "SELECT g AS source, rank, term, n_term FROM top")
@@ -239,31 +162,6 @@ def triage_decide(spark, sf_dir):
     return clusters.triaged(triage_signals(spark, sf_dir)).select("source", "decision", "reason")
 
 
-#: Spans to decide on: (entity, text, score, recognizer).
-SPANS = (
-    ("PERSON", "The", 0.2, "denylist_ambiguous"), ("PERSON", "An", 0.6, "denylist_ambiguous"), ("PERSON", "Kim", 0.85, "denylist_names"), ("URL", "www.example.com", 0.5, "loose_url"),
-    ("DATE_TIME", "2025", 0.6, "date"), ("DATE_TIME", "October 22", 0.6, "date"), ("DATE_TIME", "22nd of Oct.", 0.6, "date"), ("DATE_TIME", "10/22/2027", 0.6, "date"), ("DATE_TIME", "8.23.27", 0.6, "dotted_date"),
-    ("DATE_TIME", "10am", 0.6, "date"), ("DATE_TIME", "7:30", 0.6, "date"), ("DATE_TIME", "noon", 0.6, "date"), ("DATE_TIME", "15-20 mins", 0.6, "date"), ("DATE_TIME", "about an hour", 0.6, "date"),
-    ("DATE_TIME", "a couple of hours", 0.6, "date"), ("DATE_TIME", "October 22, 10am", 0.6, "date"), ("DATE_TIME", "next week", 0.6, "date"), ("DATE_TIME", "the 80th birthday", 0.6, "date"), ("DATE_TIME", "Morning!", 0.6, "date"),
-    ("LOCATION", "Irvine", 0.85, "ner"), ("LOCATION", "Orange County", 0.85, "ner"), ("PHONE_NUMBER", "714-555-0100", 0.4, "phone"),
-)
-COMMON = {"DATE_TIME": ["morning"], "LOCATION": ["orange county"]}
-_VALUES = ", ".join("(" + ", ".join([*(f"'{x}'" for x in (e, s)), str(n), f"'{r}'"]) + ")" for e, s, n, r in SPANS)
-_Q = lambda pattern: pattern.replace("'", "''")
-_RULE = f"""CASE WHEN entity = 'PERSON' AND recognizer = 'denylist_ambiguous' AND score < 0.6 THEN 'keep:ambiguous_word' WHEN entity = 'PERSON' THEN 'redact:person_always' WHEN entity = 'URL' THEN 'redact:url_always'
- WHEN (entity = 'DATE_TIME' AND term IN ('morning')) OR (entity = 'LOCATION' AND term IN ('orange county')) THEN 'keep:common_word'
- WHEN entity = 'DATE_TIME' AND regexp_matches(term, '{_Q(decisions.BARE_YEAR)}') THEN 'keep:bare_year' WHEN entity = 'DATE_TIME' AND regexp_matches(term, '(?i){_Q(decisions.CALENDAR)}') THEN 'redact:calendar_date'
- WHEN entity = 'DATE_TIME' AND regexp_matches(term, '(?i){_Q(decisions.CLOCK.format(end="(?:[^a-z]|$)"))}') THEN 'keep:clock_time' WHEN entity = 'DATE_TIME' AND regexp_matches(term, '(?i){_Q(decisions.DURATION)}') THEN 'keep:duration'
- WHEN entity = 'DATE_TIME' THEN 'redact:datetime_other' WHEN entity = 'LOCATION' THEN 'redact:location_always' ELSE 'redact:default' END"""
-
-
-@_query(f"""SELECT entity, span, {_RULE} AS decided FROM (SELECT *, lower(trim(regexp_replace(span, '\\s+', ' ', 'g'), ' .,;:!?()[]{{}}"*-–—')) AS term FROM (VALUES {_VALUES}) v(entity, span, score, recognizer))""")
-def span_decide(spark, sf_dir):
-    rows = spark.createDataFrame(list(SPANS), "entity string, span string, score double, recognizer string")
-    made = decisions.decide(F.col("entity"), F.col("span"), F.col("score"), F.col("recognizer"), COMMON)
-    return rows.select("entity", "span", F.concat_ws(":", made["decision"], made["rule"]).alias("decided"))
-
-
 @_query()
 def span_scan(spark, sf_dir):
     """All recognizers over every text, decided on, with the signature zones."""
@@ -283,18 +181,6 @@ def signature_zones(spark, sf_dir):
     return signatures.zones(docs, "text", spans.scanned(F.col("text"))).select("doc_id", "zone_start", "zone_end")
 
 
-@_query(r"""SELECT doc_id, CASE WHEN regexp_matches(text, '(?im)^.{0,80}\bAll rights reserved\b') THEN len(regexp_extract(text, '(?is)^(.*?)(?:(?:^|\n)[^\n]{0,80}\ball rights reserved\b)', 1))::INTEGER END AS cut FROM documents""")
-def footer_cut(spark, sf_dir):
-    line = r"(?imd)^.{0,80}\bAll rights reserved\b"
-    before = F.regexp_extract("text", r"(?isd)^(.*?)(?:(?:^|\n)[^\n]{0,80}\ball rights reserved\b)", 1)
-    return _table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("text").rlike(line), F.length(before)).alias("cut"))
-
-
-@_query()
-def quote_cut(spark, sf_dir):
-    return _table(spark, sf_dir, "documents").select("doc_id", F.sha2(text_udf(strip_quoted)("text"), 256).alias("body_sha256"))
-
-
 @_query()
 def html_text(spark, sf_dir):
     return _table(spark, sf_dir, "pages").select("page_id", F.sha2(text_udf(html_to_text)("html"), 256).alias("text_sha256"))
@@ -330,22 +216,6 @@ def hashes_of(spark, sf_dir):
     return _table(spark, sf_dir, "documents").select("doc_id", hashes.plain_hash(F.col("source")).alias("plain"), hashes.body_fingerprint(F.lit(""), F.col("text")).alias("fingerprint"))
 
 
-@_query()
-def keyed_hashes(spark, sf_dir):
-    return _table(spark, sf_dir, "documents").select("doc_id", hashes.keyed_hash(F.col("source"), HMAC_KEY).alias("keyed"))
-
-
-@_query("""WITH h AS (SELECT substr(sha256(CAST(doc_id AS VARCHAR)), 1, 16) AS id FROM documents WHERE """ + RANK.format(k="doc_id") + """ < 0.1),
- t AS (SELECT doc_id, unnest(regexp_extract_all('see ' || substr(sha256(CAST(doc_id % 500 AS VARCHAR)), 1, 16) || ' and ' || CAST(doc_id AS VARCHAR), '\\b[0-9a-f]{16,20}\\b')) AS token FROM documents)
- SELECT DISTINCT doc_id, token FROM t WHERE token IN (SELECT id FROM h)""")
-def leak_check(spark, sf_dir):
-    docs = _table(spark, sf_dir, "documents").select("doc_id")
-    short = lambda c: F.substring(F.sha2(c.cast("string"), 256), 1, 16)
-    held = docs.filter(hashes.is_held_out(F.col("doc_id"))).select(short(F.col("doc_id")).alias("id"))
-    texts = docs.withColumn("body", F.concat(F.lit("see "), short(F.col("doc_id") % 500), F.lit(" and "), F.col("doc_id").cast("string")))
-    return threads.leaks(texts, "body", held, "id").select("doc_id", "token")
-
-
 @_query("SELECT c_nationkey AS nation FROM customer EXCEPT ALL SELECT s_nationkey FROM supplier")
 def multiset_diff(spark, sf_dir):
     return dedupe.multiset_difference(_table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("nation")), _table(spark, sf_dir, "supplier").select("s_nationkey"))
@@ -369,3 +239,6 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col("text")
     docs = _table(spark, sf_dir, "documents").filter(~hashes.is_held_out(F.col("doc_id")) & ~tripwire.fires_any(c) & t.has_content(c))
     return terms.top_terms(docs.withColumn("topic", F.concat_ws("/", "source", "lang")), "topic", "text")
+
+
+QUERIES, ORACLES = base.QUERIES, base.ORACLES
