@@ -1,8 +1,10 @@
-"""Density clusters: projection, HDBSCAN on a bounded sample of points, and a label for every row.
+"""Density clusters: projection, HDBSCAN on distinct points, and a label for every row.
 
-The hierarchy needs all distances of its points, so it is fitted to FIT_ROWS points at most, chosen by a hash of the key
-(all of them where there are no more); every other row joins the cluster of its nearest fitted point by mutual
-reachability, or the noise. Labels are 0 for the largest cluster on; noise is -1.
+Equal points count once in the hierarchy, and as often as they occur in the sizes. The hierarchy needs all distances of its
+points, so it is fitted to FIT_ROWS of them at most, chosen by a hash of the point (all of them where there are no more), with
+the least size of a cluster taken down in the same share, to FEWEST at the lowest; every other row joins the cluster of its
+nearest fitted point by mutual reachability, or the noise. So a cluster with fewer than FEWEST / share distinct points may
+be lost above FIT_ROWS. Labels are 0 for the largest cluster on; noise is -1. Vectors must be of one width.
 """
 
 from __future__ import annotations
@@ -15,9 +17,14 @@ import pyarrow as pa
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from askmine.operators.dedupe import cut
+
 MIN_SIZE, MIN_SAMPLES, DIMENSIONS, FIT_ROWS, METHOD = 15, 5, 5, 20_000, "eom"
+#: The least size of a cluster among a sample's points.
+FEWEST = 5
 SWEEP = [(method, size, samples) for method in ("eom", "leaf") for size in (10, 15, 25, 40) for samples in (None, 5)]
 
 
@@ -25,7 +32,10 @@ def projected(vectors: DataFrame, key: str, vector: str, dimensions: int = DIMEN
     """key, point: unit vectors on their principal axes (as many as there are, at most)."""
     norm = F.sqrt(F.aggregate(F.transform(vector, lambda x: x.cast("double") * x), F.lit(0.0), lambda a, b: a + b))
     unit = vectors.select(key, F.transform(vector, lambda x: F.when(norm > 0, x.cast("double") / norm).otherwise(0.0)).alias("_u"), norm.alias("_n"))
-    width = unit.agg(F.min(F.size("_u"))).first()[0] or 0
+    least, width = unit.agg(F.min(F.size("_u")), F.max(F.size("_u"))).first()
+    if least != width:
+        raise ValueError(f"vectors of {least} to {width} numbers: they must be of one width")
+    width = width or 0
     if width <= dimensions:
         return unit.select(key, F.col("_u").alias("point"))
     rows = unit.select(key, array_to_vector("_u").alias("_v"))
@@ -33,6 +43,13 @@ def projected(vectors: DataFrame, key: str, vector: str, dimensions: int = DIMEN
     return model.transform(rows).select(key, vector_to_array("_p").alias("point"))
 
 
+def mapped(vectors: DataFrame, key: str, vector: str) -> DataFrame:
+    """key, x, y: a flat map of the vectors, on their two principal axes, within -1 to 1."""
+    flat = projected(vectors, key, vector, 2)
+    most = F.lit(flat.agg(F.max(F.greatest(F.abs(F.get("point", F.lit(0))), F.abs(F.get("point", F.lit(1)))))).first()[0] or 1.0)
+    return flat.select(key, (F.get("point", F.lit(0)) / most).alias("x"), (F.get("point", F.lit(1)) / most).alias("y"))
+
+
 def _core(points: np.ndarray, others: np.ndarray, k: int) -> np.ndarray:
     """Distance of each point to its k-th nearest of the others."""
     out = np.empty(len(points))
@@ -157,23 +174,26 @@ def hdbscan(points: np.ndarray, min_size: int = MIN_SIZE, min_samples: int | Non
 def clustered(vectors: DataFrame, key: str, vector: str, min_size: int = MIN_SIZE, min_samples: int | None = MIN_SAMPLES, method: str = METHOD, dimensions: int = DIMENSIONS, fit_rows: int = FIT_ROWS) -> DataFrame:
     """key, cluster, probability (three decimals) of every row."""
     points = projected(vectors, key, vector, dimensions)
-    n = points.count()
+    named = points.withColumn("name", F.xxhash64(F.transform("point", lambda x: F.round(x, 9) + 0.0)))
+    distinct = cut(named.groupBy("name").agg(F.first("point").alias("point"), F.count(F.lit(1)).alias("copies")))
+    n = distinct.count()
     share = min(1.0, fit_rows / max(1, n))
-    sample = points if share == 1.0 else points.filter(F.pmod(F.xxhash64(key), F.lit(1 << 20)) < F.lit(int(share * (1 << 20))))
-    fitted = sample.orderBy(key).toPandas()  # fit_rows points at most, about
+    sample = distinct if share == 1.0 else distinct.filter(F.pmod(F.xxhash64("name"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20))))
+    fitted = sample.orderBy("name").toPandas()  # fit_rows points at most, about
     base = np.array(fitted["point"].tolist(), float).reshape(len(fitted), -1)
-    labels, strength = hdbscan(base, min_size, min_samples, method)
-    core = _core(base, base, min_samples or min_size) if len(base) else np.zeros(0)
-    shared = points.sparkSession.sparkContext.broadcast((base, labels, strength, core, {k: i for i, k in enumerate(fitted[key].tolist())}))
-    k = min_samples or min_size
+    least = min_size if share == 1.0 else max(FEWEST, round(min_size * share))
+    labels, strength = hdbscan(base, least, min_samples, method)
+    k = min_samples or least
+    core = _core(base, base, k) if len(base) else np.zeros(0)
+    shared = points.sparkSession.sparkContext.broadcast((base, labels, strength, core, {x: i for i, x in enumerate(fitted["name"].tolist())}))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, labels, strength, core, place = shared.value
         for batch in batches:
-            keys = batch.column(0).to_pylist()
-            at = np.array([place.get(x, -1) for x in keys])
+            names = batch.column(0).to_pylist()
+            at = np.array([place.get(x, -1) for x in names])
             new = np.flatnonzero(at < 0)
-            label, p = np.where(at >= 0, labels[at], -1) if len(labels) else np.full(len(keys), -1), np.where(at >= 0, strength[at], 0.0) if len(labels) else np.zeros(len(keys))
+            label, p = np.where(at >= 0, labels[at], -1) if len(labels) else np.full(len(names), -1), np.where(at >= 0, strength[at], 0.0) if len(labels) else np.zeros(len(names))
             if len(new) and len(base):
                 own = np.array(batch.column(1).take(pa.array(new)).to_pylist(), float)
                 for a in range(0, len(new), 256):
@@ -182,10 +202,14 @@ def clustered(vectors: DataFrame, key: str, vector: str, min_size: int = MIN_SIZ
                     near = reach.argmin(1)
                     label[new[a : a + 256]] = labels[near]
                     p[new[a : a + 256]] = np.where(labels[near] >= 0, strength[near] * np.minimum(1, core[near] / np.maximum(reach.min(1), 1e-12)), 0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(label, pa.int32()), pa.array(np.round(p, 3))], ["key", "cluster", "probability"])
-
-    kind = dict(points.dtypes)[key]
-    return points.select(key, "point").mapInArrow(run, f"key {kind}, cluster int, probability double").withColumnRenamed("key", key)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(label, pa.int32()), pa.array(np.round(p, 3)), batch.column(2)], ["name", "raw", "probability", "copies"])
+
+    found = cut(distinct.select("name", "point", "copies").mapInArrow(run, "name bigint, raw int, probability double, copies bigint"))
+    sizes = found.filter("raw >= 0").groupBy("raw").agg(F.sum("copies").alias("n"))  # a row a cluster
+    rank = F.row_number().over(W.orderBy(F.col("n").desc(), "raw")) - 1
+    ranked = F.broadcast(sizes.select("raw", rank.alias("cluster")))
+    told = found.join(ranked, "raw", "left").select("name", F.coalesce("cluster", F.lit(-1)).alias("cluster"), "probability")
+    return named.select(key, "name").join(told, "name").select(key, "cluster", "probability")
 
 
 def sweep(points: np.ndarray, copies: np.ndarray) -> list[tuple]:

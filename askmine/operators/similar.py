@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from askmine.functions.text import shingles
+from askmine.operators.dedupe import cut
 
 #: Words of a run, messages above which a run is boilerplate, and the share that makes a near-duplicate.
 RUN_WORDS, BOILERPLATE, SHARE = 5, 20, 0.5
@@ -23,6 +24,7 @@ def near_duplicates(queries: DataFrame, messages: DataFrame, key: str, thread: s
     queries: rows of messages.
     """
     runs = messages.select(F.col(key).alias("k"), F.col(thread).alias("t"), F.explode(shingles(F.col(text))).alias("text_run")).withColumn("run", F.xxhash64("text_run", F.length("text_run"))).drop("text_run")
+    runs = cut(runs)  # made once: the frequencies and both sides of the join read numbers, and no text again
     rare = runs.join(runs.groupBy("run").count().filter(F.col("count").between(1, boilerplate)).select("run"), "run")
     asked = rare.join(queries.select(F.col(key).alias("k")).distinct(), "k", "left_semi")
     n_rare = asked.groupBy("k").agg(F.count(F.lit(1)).alias("n_rare"))

@@ -179,3 +179,24 @@ def test_units_and_long_words(spark):
     one, many = embedding.HashedTerms(16)(["a b b"]), embedding.HashedTerms(16)(["", "a b b", "c"])
     assert many[1] == one[0] and many[0] == [0.0] * 16
     assert backfill.covered(1, 5, [(0, 3), (3, 6)]) and not backfill.covered(1, 5, [(0, 3), (4, 6)])
+
+
+def test_density_of_copies_samples_and_widths(spark):
+    from askmine.operators import density
+
+    rng = np.random.default_rng(12)
+    centres = rng.normal(size=(8, 12)) * 3
+    points = np.vstack([c + 0.15 * rng.normal(size=(60 + 20 * i, 12)) for i, c in enumerate(centres)])
+    truth = np.repeat(np.arange(8), [60 + 20 * i for i in range(8)])
+    rows = [(i, p.tolist()) for i, p in enumerate(points)] + [(10_000 + j, points[0].tolist()) for j in range(400)]  # a third are copies of one
+    df = spark.createDataFrame(rows, "id long, v array<double>").repartition(3)
+    whole = {r["id"]: r["cluster"] for r in density.clustered(df, "id", "v").collect()}
+    assert len(whole) == len(rows) and len({whole[i] for i in range(len(points))} - {-1}) == 8
+    assert {whole[10_000 + j] for j in range(400)} == {whole[0]} and whole[0] == 0  # with its copies the largest
+    sampled = {r["id"]: r["cluster"] for r in density.clustered(df, "id", "v", fit_rows=350).collect()}
+    best = [np.unique([sampled[i] for i in np.flatnonzero(truth == c)], return_counts=True) for c in range(8)]
+    assert np.mean([n.max() / n.sum() for _, n in best]) > 0.95 and len({k[n.argmax()] for k, n in best}) == 8
+    flat = density.mapped(df, "id", "v").collect()
+    assert len(flat) == len(rows) and all(-1 <= r["x"] <= 1 and -1 <= r["y"] <= 1 for r in flat)
+    with pytest.raises(ValueError, match="one width"):
+        density.clustered(spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0])], "id long, v array<double>"), "id", "v")
