@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from askmine.functions import decisions, hashes
+from askmine.functions import decisions, hashes, recognizers
 from askmine.functions import text as t
-from askmine.functions.cleaning import strip_quoted, text_udf
-from askmine.operators import backfill, clusters, dedupe, describe, embedding, holdout, seeding, threads
+from askmine.functions.cleaning import html_to_text, strip_quoted, text_udf
+from askmine.operators import backfill, chunking, clusters, dedupe, describe, embedding, holdout, redaction, seeding, spans, threads
 from askmine.plans.base import FLAT_QUOTE_SQL, HMAC_KEY, RANK, TERMS_SQL, TRIPWIRE_SQL, query, quoted, table
 from askmine.sources import mbox, shards
 
@@ -338,3 +338,53 @@ def quote_cut(spark, sf_dir):
     """Texts with a quote, a signature, a footer or a forwarded message put under them."""
     under = F.get(F.array(*map(F.lit, ("\n\n\n\nBye  now\n> old\nOn Mon, Ann wrote:\n> x", "\n-- \nAnn", "\nTo unsubscribe, go", "\n---- Forwarded message ----\nx", ""))), (F.col("doc_id") % 5).cast("int"))
     return table(spark, sf_dir, "documents").select("doc_id", F.sha2(text_udf(strip_quoted)(F.concat("text", under)), 256).alias("body_sha256"))
+
+
+_BLOCKS = "p|div|br|tr|li|h[1-6]|table|blockquote|section|article|header|footer"
+
+
+@query(
+    f"""WITH a AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?is)<script\\b[^>]*>.*?</script\\s*>|<style\\b[^>]*>.*?</style\\s*>|<!--.*?-->', '', 'g'), '(?is)<head\\b[^>]*>.*?</head\\s*>|<![^>]*>', '', 'g') AS x FROM pages),
+ b AS (SELECT page_id, regexp_replace(regexp_replace(x, '(?i)</?(?:{_BLOCKS})(?:[\\s/][^>]*)?>', chr(10), 'g'), '(?i)</?[a-z][^>]*>', '', 'g') AS x FROM a)
+ SELECT page_id, sha256(replace(replace(replace(replace(replace(replace(x, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')) AS text_sha256 FROM b"""
+)
+def html_text(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", F.sha2(text_udf(html_to_text)("html"), 256).alias("text_sha256"))
+
+
+_MAIL = r"[\p{L}\p{N}_.+-]+@[\p{L}\p{N}_-]+(?:\.[\p{L}\p{N}_-]+)+"
+
+
+def _messages(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), F.lit("").alias("subject"), F.coalesce("text", F.lit("")).alias("body"))
+
+
+def _only(*names: str) -> list:
+    return [r for r in recognizers.recognizers() if r.name in names]
+
+
+@query(
+    f"""SELECT doc_id::VARCHAR AS id, len(regexp_extract_all(coalesce(text, ''), {quoted(_MAIL)}))::INTEGER AS n_redacted, sha256(regexp_replace(coalesce(text, ''), {quoted(_MAIL)}, '<EMAIL_ADDRESS>', 'g')) AS body_sha256 FROM documents"""
+)
+def redacted_addresses(spark, sf_dir):
+    """Found, decided on, joined with their messages, located and replaced."""
+    emails = _messages(spark, sf_dir)
+    done = redaction.redact(emails, spans.flagged(emails, _only("loose_email")))
+    return done.select("id", "n_redacted", F.sha2("body", 256).alias("body_sha256"))
+
+
+@query(
+    f"""SELECT * FROM (SELECT doc_id::VARCHAR AS email_id, 'loose_email' AS recognizer, unnest(regexp_extract_all(text, {quoted(_MAIL)})) AS text FROM documents
+ UNION ALL SELECT doc_id::VARCHAR, 'us_ein', unnest(regexp_extract_all(text, '\\b\\d{{2}}-\\d{{7}}\\b')) FROM documents)"""
+)
+def span_texts(spark, sf_dir):
+    return spans.flagged(_messages(spark, sf_dir), _only("loose_email", "us_ein")).select("email_id", "recognizer", "text")
+
+
+@query("SELECT doc_id, n_words FROM (SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '\\S+'))::INTEGER AS n_words FROM documents) WHERE n_words > 0")
+def embedded_words(spark, sf_dir):
+    """Chunks of every text have its words, none twice: what is chunked and numbered adds up to the text."""
+    docs = table(spark, sf_dir, "documents")
+    parts = chunking.chunked(docs, "text", keep_empty=True)
+    whole = parts.groupBy("doc_id").agg(F.sum("n_words").cast("int").alias("n_words"), F.count_distinct("chunk_index").alias("k"), F.max("n_chunks").alias("m"), F.max("chunk_index").alias("last"))
+    return whole.filter("k = m and last = m - 1").select("doc_id", "n_words")

@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 
 from askmine.functions import hashes, tripwire
 from askmine.functions import text as t
-from askmine.functions.cleaning import html_to_text, text_udf
-from askmine.operators import chunking, clusters, dedupe, density, embedding, redaction, seeding, signatures, similar, spans, terms, threads
+from askmine.operators import chunking, clusters, dedupe, density, embedding, redaction, seeding, similar, spans, terms, threads
 from askmine.plans import base, more_queries
 from askmine.plans.base import HANDLE_SQL, RANK
 
@@ -178,12 +177,7 @@ def redacted(spark, sf_dir):
 @_query()
 def signature_zones(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return signatures.zones(docs, "text", spans.scanned(F.col("text"))).select("doc_id", "zone_start", "zone_end")
-
-
-@_query()
-def html_text(spark, sf_dir):
-    return _table(spark, sf_dir, "pages").select("page_id", F.sha2(text_udf(html_to_text)("html"), 256).alias("text_sha256"))
+    return spans.zones(docs, "text", spans.scanned(F.col("text"))).select("doc_id", "zone_start", "zone_end")
 
 
 @_query(r"""SELECT word, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest(regexp_extract_all(regexp_replace(text, '\S*@\S*|(?i:\bhttps?://\S+|\bwww\.\S+)', ' ', 'g'), '\p{L}+')) AS word FROM documents) WHERE word = lower(word) GROUP BY word HAVING count(*) >= 10""")
