@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from askmine.functions.text import is_place_term, normalized_term, venue_part
+from askmine.operators.dedupe import contained
 
 #: The recognizer whose spans vote, least mentions, and least share of tagged ones.
 VOTER, LEAST_MENTIONS, LEAST_SHARE = "SpacyRecognizer", 2, 0.5
@@ -76,12 +77,12 @@ def place_votes(emails: DataFrame, review: DataFrame) -> DataFrame:
     words = texts.select("email_id", "field", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("value"), F.lit("([a-z]+)"), 1))).alias("_w"))
     maybe = words.join(listed.withColumn("_w", F.regexp_extract("term", "^[a-z]+", 0)), "_w").groupBy("email_id", "field").agg(F.collect_set("term").alias("_terms"))
     found = texts.join(maybe, ["email_id", "field"]).select("email_id", "field", F.explode(mentions("value", "_terms")).alias("m"))
-    found = found.select("email_id", "field", "m.*")
+    each = found.select("email_id", "field", "m.*").distinct()
     low = spans.select("email_id", "field", F.col("start").cast("int").alias("low"), F.col("end").cast("int").alias("high"))
-    joined = found.join(low, ["email_id", "field"], "left")
-    inside = F.max(F.coalesce((F.col("low") <= F.col("start")) & (F.col("end") <= F.col("high")), F.lit(False)).cast("int"))
-    each = joined.groupBy("email_id", "field", "start", "end", "text").agg(inside.alias("inside"))
-    return each.groupBy(normalized_term(F.col("text")).alias("term")).agg(F.count(F.lit(1)).alias("mentions"), F.sum("inside").alias("tagged"))
+    votes = each.groupBy(normalized_term(F.col("text")).alias("term")).agg(F.count(F.lit(1)).alias("mentions"))
+    inside = contained(each, low, ["email_id", "field"], "start", "end", "low", "high")
+    tagged = inside.groupBy(normalized_term(F.col("text")).alias("term")).agg(F.count(F.lit(1)).alias("tagged"))
+    return votes.join(tagged, "term", "left").fillna(0, ["tagged"])
 
 
 def selected_places(votes: DataFrame, common: list[str]) -> DataFrame:
