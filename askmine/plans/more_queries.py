@@ -104,7 +104,7 @@ def drop_reasons(spark, sf_dir):
         key.alias("id"), key.alias("thrid"), F.when(F.col("doc_id") % 97 == 0, "outbound").otherwise("inbound").alias("direction"), "source",
         F.concat("source", (F.col("doc_id") % 50).cast("string")).alias("sender"), F.lit("").alias("subject"), F.col("text").alias("body"),
     )
-    return embedding.with_skip_reason(emails).groupBy("source", F.coalesce("skip_reason", F.lit("kept")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+    return embedding.with_every_reason(emails).groupBy("source", F.coalesce("skip_reason", F.lit("kept")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
 
 
 _PAD = lambda by: "".join(f"\\x{(b ^ by):02X}" for b in HMAC_KEY.ljust(64, b"\0"))
