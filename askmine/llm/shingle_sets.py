@@ -5,9 +5,13 @@ can't tell that alone: at a similarity of 0.8 fingerprints differ in about 10 bi
 also share a cell if BAND_ROWS of their smallest hashes agree in one of BANDS bands; a pair at 0.8 shares none with
 probability (1 - 0.8^3)^32, about 1e-10, and a closer pair with less.
 
-Equal sets are one node. The first round takes a number of candidates linear in a cell's rows (each with the cell's first
-and with the one before it, by size); the second takes all pairs in a cell that the first round's links have not joined
-into one component. So a large group of near copies is not compared all with all, and no pair is left out.
+Equal sets are one node. Two rounds take a number of candidates linear in a cell's rows: each with the cell's first and with
+the one before it, by size; then each that these links leave outside the cell's largest component with that component's most
+linked row. The third looks at all pairs in a cell that no link has joined into one component yet, and takes those whose
+finer sketches (a byte of each of FINE smallest hashes) agree in LEAST_FINE places; a pair at 0.8 has fewer with a
+probability of 7e-12, and a pair far below 0.8, of which a large group of loose copies has very many, is spared the whole
+sets. Those sketches are compared within the cell's task, whose time still grows with the square of the rows that stay
+apart in one cell; what it gives out does not, but for pairs just below 0.8.
 
 Null, empty and blank texts have the empty set, and link. Fewer words than a shingle: the whole sequence is the one
 shingle. A row is known by its key and a hash of its text: rows that repeat a key with other texts count each by
@@ -34,9 +38,12 @@ WORDS_EACH, BANDS, BAND_ROWS = 5, 32, 3
 #: Similarity from which two sets are linked, as a fraction.
 SHARE = (4, 5)
 BLOCK_BYTES = 2 << 20
+#: Bytes of the finer sketch, and in how many of them a candidate pair agrees.
+FINE, LEAST_FINE = 512, 345
 #: Bits of the filter that spares rows a shuffle.
 FILTER_BITS = 1 << 24
 _LOWER = np.frombuffer(simhash.LOWER, np.uint8)
+_FINE_ODD = np.random.default_rng(20261126).integers(1 << 62, 1 << 63, FINE, np.uint64) | np.uint64(1)
 _ODD = np.random.default_rng(20240301).integers(1 << 62, 1 << 63, 2 * BANDS * BAND_ROWS + 64, np.uint64) | np.uint64(1)
 
 
@@ -194,20 +201,53 @@ def _linear(cells: np.ndarray, node: np.ndarray, n: np.ndarray) -> list[np.ndarr
     return _ordered(node[a[ok]], node[b[ok]])
 
 
-def _across(cells: np.ndarray, node: np.ndarray, n: np.ndarray, root: np.ndarray) -> list[np.ndarray]:
-    """Pairs in a cell between components: each row outside the cell's largest component with all other rows."""
+def _to_hubs(cells: np.ndarray, node: np.ndarray, n: np.ndarray, root: np.ndarray, degree: np.ndarray) -> list[np.ndarray]:
+    """Of each cell its largest component's most linked row, with all rows outside that component."""
     edge = _bounds(cells)
     found = [[np.zeros(0, np.int64)] * 2]
-    apart = np.maximum.reduceat(root, edge[:-1]) != np.minimum.reduceat(root, edge[:-1])
-    for i in np.flatnonzero(apart).tolist():
+    for i in range(len(edge) - 1):
+        own = slice(edge[i], edge[i + 1])
+        names, of, counts = np.unique(root[own], return_inverse=True, return_counts=True)
+        inside = of == counts.argmax()
+        hub = np.flatnonzero(inside)[degree[own][inside].argmax()]
+        others = np.flatnonzero(~inside & _close(n[own], n[own][hub]))
+        found.append(_ordered(node[own][others], np.full(len(others), node[own][hub])))
+    return [np.concatenate(x) for x in zip(*found)]
+
+
+def _fine_sketch(hashes: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    """Of each text FINE bytes, each a byte of another smallest hash, and 32 bits of each of its cells."""
+    some = np.flatnonzero(np.diff(ends) > 0)
+    out = np.zeros((len(ends) - 1, FINE), np.uint8)
+    for k in range(FINE):
+        out[some, k] = np.minimum.reduceat(_mixed(hashes ^ _FINE_ODD[k]), ends[:-1][some]).astype(np.uint8) if len(some) else 0
+    cells = _sketch(hashes, ends)[1].astype(np.uint32)
+    return [a.tobytes() + b.tobytes() for a, b in zip(out, cells)]
+
+
+def _across(cells: np.ndarray, node: np.ndarray, n: np.ndarray, root: np.ndarray, sketch: np.ndarray) -> list[np.ndarray]:
+    """Pairs in a cell between components, each row outside the cell's largest component with all other rows: those whose
+    sketches agree in LEAST_FINE bytes, each pair in the first cell that it shares."""
+    edge = _bounds(cells)
+    found = [[np.zeros(0, np.int64)] * 2]
+    for i in range(len(edge) - 1):
         own = slice(edge[i], edge[i + 1])
         nodes, sizes, roots = node[own], n[own], root[own]
-        names, of, counts = np.unique(roots, return_inverse=True, return_counts=True)
+        _, of, counts = np.unique(roots, return_inverse=True, return_counts=True)
         small = of != counts.argmax()
+        if not small.any():
+            continue
+        raw = np.frombuffer(b"".join(sketch[own]), np.uint8).reshape(len(nodes), -1)
+        fine, bands = raw[:, :FINE], np.ascontiguousarray(raw[:, FINE:]).view(np.uint32)
+        cell = np.int64(cells[edge[i]]).astype(np.uint64).astype(np.uint32)
         for j in np.flatnonzero(small).tolist():
             ok = (roots != roots[j]) & _close(sizes, sizes[j])
             ok[:j] &= ~small[:j]  # a pair of two such rows comes once
-            found.append(_ordered(nodes[ok], np.full(int(ok.sum()), nodes[j])))
+            at = np.flatnonzero(ok)
+            at = at[(fine[at] == fine[j]).sum(1) >= LEAST_FINE]
+            shared = bands[at] == bands[j]
+            at = at[bands[at, shared.argmax(1)] == cell] if len(at) else at
+            found.append(_ordered(nodes[at], np.full(len(at), nodes[j])))
     return [np.concatenate(x) for x in zip(*found)]
 
 
@@ -219,6 +259,18 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64), pa.int64())
 
 
+def _finely(sets: DataFrame, make: Callable) -> DataFrame:
+    """node, sketch of the sets (node, shingles)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in row_blocks((8 * np.diff(batch.column(1).offsets.to_numpy())).tolist(), BLOCK_BYTES):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *make(batch.column(1).slice(a, b - a)).values()], ["node", "sketch"])
+            release()
+
+    return sets.select("node", "shingles").mapInArrow(run, "node bigint, sketch binary")
+
+
 def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", words_each: int = WORDS_EACH) -> DataFrame:
     """Of each (key, text) that occurs: key, text_hash (XXH64 of the text), times (rows), component_id, first.
 
@@ -261,10 +313,26 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", words_
         both = pairs.join(sets.toDF("a", "s"), "a").join(sets.toDF("b", "t"), "b").withColumn("same", F.size(F.array_intersect("s", "t")))
         return both.filter(F.col("same") * SHARE[1] >= (F.size("s") + F.size("t") - F.col("same")) * SHARE[0]).select("a", "b")
 
+    def open_cells(links: DataFrame) -> DataFrame:
+        """The rows of cells in which the links so far leave several components, with their roots."""
+        rooted = shared.join(components(links).toDF("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        apart = rooted.groupBy("cell").agg((F.min("root") != F.max("root")).alias("apart")).filter("apart").select("cell")
+        return checkpointed(rooted.join(apart, "cell", "left_semi"))
+
+    def fine_of(column: pa.Array) -> dict[str, pa.Array]:
+        ends = column.offsets.to_numpy().astype(np.int64)
+        hashes = column.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+        return {"sketch": pa.array(_fine_sketch(hashes, ends - ends[0]), pa.binary())}
+
     links = checkpointed(verified(first))
-    rooted = shared.join(components(links).toDF("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    second = _by_cell(rooted, ["node", "n", "root"], _across, "a bigint, b bigint").distinct().join(first, ["a", "b"], "left_anti")
-    roots = checkpointed(components(links.union(verified(second))))
+    ends = links.select(F.col("a").alias("node")).union(links.select("b"))
+    linked = open_cells(links).join(ends.groupBy("node").agg(F.count(F.lit(1)).alias("degree")), "node", "left").fillna(0, ["degree"])
+    hubs = checkpointed(_by_cell(linked, ["node", "n", "root", "degree"], _to_hubs, "a bigint, b bigint").distinct().join(first, ["a", "b"], "left_anti"))
+    links = checkpointed(links.union(verified(hubs)))
+    left = open_cells(links)
+    fine = _finely(sets.join(left.select("node").distinct(), "node"), fine_of)
+    second = _by_cell(left.join(fine, "node"), ["node", "n", "root", "sketch"], _across, "a bigint, b bigint").join(first.union(hubs), ["a", "b"], "left_anti")
+    roots = checkpointed(components(links.union(verified(checkpointed(second)))))
     parted = rows.groupBy("key", "hash", "node").agg(F.count(F.lit(1)).alias("times"))
     least = parted.groupBy("node").agg(F.min(name).alias("least"), F.count(F.lit(1)).alias("n"))
     ids = least.join(roots, "node").groupBy("root").agg(F.min("least").alias("first"), F.count(F.lit(1)).alias("n"))
