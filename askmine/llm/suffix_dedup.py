@@ -36,7 +36,7 @@ GRAM_BASE = 0xA24BAED4963EE407
 #: Bytes hashed at a time, and the low bits of a packed hash that hold a place among them.
 STRIDE, PLACE_BITS = 1 << 18, 24
 #: Stretches of an anchor above which they are dealt anew, into how many ranges, and bytes sorted at a time.
-HOT_ANCHOR, HOT_RANGES, SORT_BYTES = 16_384, 8, 4 << 20
+HOT_ANCHOR, HOT_RANGES, SORT_BYTES = 16_384, 8, 2 << 20
 #: Bytes that multikey quicksort goes through before blind tries take over: a multiple of 8.
 SHALLOW = 48
 
@@ -318,7 +318,7 @@ def _sorted_rows(rows: pa.Table, length: int) -> pa.RecordBatch:
         of[order] = np.cumsum(new) - 1
         one = order[new]
         width = -(-length // 8) * 8
-        span = np.arange(width)
+        span = np.arange(width, dtype=np.int32)
         left = np.where(span < before[one, None], data[np.maximum(anchor[one, None] - 1 - span, 0)], 0).astype(np.uint8)
         right = np.where(span < after[one, None], data[np.minimum(anchor[one, None] + span, len(data) - 1)], 0).astype(np.uint8)
         found[at] = repeated_windows(left, right, before[one], after[one], length, x, y)[of[at]]
@@ -378,7 +378,7 @@ def _apply(length: int, fan_bits: int, whole_characters: bool):
             bits = np.zeros((len(s.gram), -(-reach // 8)), np.uint8)
             np.bitwise_or.at(bits, windows["at"].to_numpy(), np.frombuffer(b"".join(windows["windows"].to_pylist()), np.uint8).reshape(len(windows), -1))
             some = np.flatnonzero(~whole & bits.any(1)[s.of])
-            for at in np.array_split(some, len(some) // 50_000 + 1):
+            for at in np.array_split(some, len(some) // 4_000 + 1):
                 i, o = np.nonzero(np.unpackbits(bits[s.of[at]], axis=1, count=reach))
                 w = s.anchor[at[i]] - o
                 np.add.at(step, w, 1)
