@@ -3,8 +3,7 @@
 The kernel of two words counts their common subsequences of ORDER letters, each weighed by DECAY to the letters that it
 spans in both, and is normalised. Gaps cost little, so a word with inserted characters stays close to the word itself;
 characters other than letters drop out before ("i.d-i*o_t"), digits count as the letters that they stand for, and a run
-of three or more single letters counts as one word as well ("i d i o t"). Every letter of any script is itself; a mark
-before the first one counts as a letter too. A landmark's kernel is taken for words that have at least SHARE of its
+of three or more single letters counts as one word as well ("i d i o t"). Every letter of any script is itself. A landmark's kernel is taken for words that have at least SHARE of its
 distinct letters (an insertion or a gap takes none away) and at most twice its length; elsewhere it is 0, in training and
 scoring alike. A sentence has the largest kernel value of its words for each landmark, mapped by the landmarks' inverse
 root kernel matrix (Nystroem); the machine scores sentences. A text has four facts: its highest sentence's score, the
@@ -40,9 +39,9 @@ from askmine.llm.substring_dedup import IS_SPACE, word_bounds, word_hashes
 
 ORDER, DECAY, SHARE = 3, 0.6, 0.8
 #: Rows to learn from, landmarks of toxic words and of near other words, rounds of choosing sentences, and the machine's cost.
-TRAIN_ROWS, LANDMARKS, NEAR, ROUNDS, COST = 4000, 56, 32, 4, 2.0
+TRAIN_ROWS, LANDMARKS, NEAR, ROUNDS, COST = 4000, 48, 24, 4, 2.0
 #: Kernel value above which a word is too close to a landmark to be another, smallest eigenvalue, and sentences that stand for a row.
-CLOSE, LEAST, STAND = 0.8, 0.05, 8
+CLOSE, LEAST, STAND = 0.7, 0.05, 4
 #: Words whose kernel values a worker remembers; then it begins anew.
 CACHE = 50_000
 #: Sentence scores from which a text's sentences add up.
@@ -64,8 +63,6 @@ def _letter(place: int) -> int:
     return ord(char[0]) if char[0].isalpha() or unicodedata.category(char[0]) in ("Mc", "Mn") and ord(char[0]) >= 0x370 else 0
 
 
-#: Stands before a word's first letter, so that a common beginning counts for more than letters anywhere.
-MARK = 0x110000
 #: Codes of the characters below 0x10000; beyond, each is its own.
 LETTERS = np.array([_letter(x) if x < 0xD800 or x > 0xDFFF else 0 for x in range(1 << 16)], np.uint32)
 
@@ -137,25 +134,19 @@ class Words:
         return out
 
     def padded(self, at: np.ndarray, width: int) -> np.ndarray:
-        """MARK and the codes of some words, zeros after their ends."""
-        place = np.arange(-1, width)
-        index = np.clip(self.start[at, None] + place, 0, len(self.codes) - 1)
-        out = np.where(place < (self.end - self.start)[at, None], self.codes[index], np.uint32(0))
-        out[:, 0] = MARK
-        return out
+        """The codes of some words, zeros after their ends."""
+        place = np.arange(width)
+        index = np.minimum(self.start[at, None] + place, len(self.codes) - 1)
+        return np.where(place < (self.end - self.start)[at, None], self.codes[index], np.uint32(0))
 
 
 def encoded(word: str) -> np.ndarray:
     codes = letters(np.frombuffer(word.encode(), np.uint8))
-    return _marked(codes[codes > 0])
-
-
-def _marked(codes: np.ndarray) -> np.ndarray:
-    return np.concatenate([[MARK], codes]).astype(np.uint32)
+    return codes[codes > 0]
 
 
 def decoded(codes: np.ndarray) -> str:
-    return "".join(chr(96 + c) if c < 27 else chr(c) for c in codes.tolist() if 0 < c < MARK)
+    return "".join(chr(96 + c) if c < 27 else chr(c) for c in codes.tolist() if c)
 
 
 def subsequence_kernel(s: np.ndarray, t: np.ndarray) -> np.ndarray:
@@ -189,9 +180,9 @@ def _self_kernel(rows: np.ndarray) -> np.ndarray:
 class Landmarks:
     def __init__(self, words: list[np.ndarray]):
         self.words = words
-        self.masks = np.array([np.bitwise_or.reduce(bits(w[1:])) for w in words], np.uint64)
+        self.masks = np.array([np.bitwise_or.reduce(bits(w)) for w in words], np.uint64)
         self.need = np.ceil(SHARE * np.bitwise_count(self.masks)).astype(int)
-        self.sizes = np.array([len(w) - 1 for w in words])
+        self.sizes = np.array([len(w) for w in words])
         self.norms = np.array([_self_kernel(w[None])[0] for w in words])
         self.reach = 2 * self.sizes
         self.width = int(self.reach.max()) if words else 1
@@ -245,7 +236,7 @@ class Landmarks:
             for a in range(0, len(own), 2048):
                 part = own[a : a + 2048]
                 row = np.searchsorted(some, part)
-                value = subsequence_kernel(rows[row, : size[part[-1]] + 1], self.words[j][None])
+                value = subsequence_kernel(rows[row, : size[part[-1]]], self.words[j][None])
                 out[part, j] = value / np.sqrt(np.maximum(norms[row] * self.norms[j], 1e-30))
         return out
 
@@ -360,8 +351,8 @@ class Model:
 
 def _inserted(word: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     """The word with a letter inserted, or two if it is a longer one."""
-    n = 1 + (len(word) > 7)
-    return np.insert(word, np.sort(rng.integers(2, len(word), n)), rng.integers(1, 27, n))
+    n = 1 + (len(word) > 6)
+    return np.insert(word, np.sort(rng.integers(1, len(word), n)), rng.integers(1, 27, n))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> np.ndarray:
@@ -409,7 +400,7 @@ def _nearest(chosen: list[np.ndarray], texts: list[str], toxic: np.ndarray) -> l
             best[name] = max(v, best.get(name, 0.0))
     marks.forget()
     near = (x for x in best if best[x] <= CLOSE)  # the others are too close to be landmarks
-    return [_marked(np.frombuffer(x, np.uint32)) for x in sorted(near, key=lambda x: (-best[x], x))]
+    return [np.frombuffer(x, np.uint32) for x in sorted(near, key=lambda x: (-best[x], x))]
 
 
 def _tally(texts: list[str], toxic: np.ndarray, spans: Callable[[Words], tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -465,7 +456,7 @@ def _choose(texts: list[str], toxic: np.ndarray, n: int) -> list[np.ndarray]:
             value = found[int(word_hashes(w, np.array([0]), np.array([size]))[0])]
             if value > 0:
                 spelled[tuple(w.tolist())] = max(value, spelled.get(tuple(w.tolist()), value))
-    return _spread([_marked(np.array(w, np.uint32)) for w in sorted(spelled, key=lambda w: (-spelled[w], w))], n)
+    return _spread([np.array(w, np.uint32) for w in sorted(spelled, key=lambda w: (-spelled[w], w))], n)
 
 
 def fit(

@@ -74,8 +74,8 @@ def test_toxicity_query(spark, folder):
             code = tuple(toxicity.encoded(word).tolist())
             row = np.zeros(len(marks))
             for j, m in enumerate(marks):
-                shared = len(set(m[1:]) & set(code[1:])) / len(set(m[1:]))
-                if toxicity.ORDER <= len(code) - 1 <= 2 * (len(m) - 1) and shared >= toxicity.SHARE:
+                shared = len(set(m) & set(code)) / len(set(m))
+                if toxicity.ORDER <= len(code) <= 2 * len(m) and shared >= toxicity.SHARE:
                     row[j] = brute_kernel(code, m) / np.sqrt(brute_kernel(code, code) * brute_kernel(m, m))
             cache[word] = row
         return cache[word]
