@@ -36,7 +36,7 @@ GRAM_BASE = 0xA24BAED4963EE407
 #: Bytes hashed at a time, and the low bits of a packed hash that hold a place among them.
 STRIDE, PLACE_BITS = 1 << 18, 24
 #: Stretches of an anchor above which they are dealt anew, into how many ranges, and bytes sorted at a time.
-HOT_ANCHOR, HOT_RANGES, SORT_BYTES = 16_384, 8, 2 << 20
+HOT_ANCHOR, HOT_RANGES, SORT_BYTES = 4_096, 8, 2 << 20
 #: Bytes that multikey quicksort goes through before blind tries take over: a multiple of 8.
 SHALLOW = 48
 
