@@ -236,3 +236,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES, ORACLES = base.QUERIES, base.ORACLES
+holdout_queries = more_queries.holdout_queries
