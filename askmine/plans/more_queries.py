@@ -332,7 +332,7 @@ _CUT = lambda x, shape: f"regexp_replace({x}, {quoted('(?:' + shape + ')(?s:.*)'
 
 @query(
     f"""WITH c AS (SELECT doc_id, {_CUT(_CUT(_CUT("text || CASE doc_id % 5 WHEN 0 THEN E'\n\n\n\nBye  now\n> old\nOn Mon, Ann wrote:\n> x' WHEN 1 THEN E'\n-- \nAnn' WHEN 2 THEN E'\nTo unsubscribe, go' WHEN 3 THEN E'\n---- Forwarded message ----\nx' ELSE '' END", _QUOTES), _FOOTERS), _SIGNED)} AS x FROM documents)
- SELECT doc_id, sha256(trim(regexp_replace(array_to_string(list_transform(list_filter(string_split(x, chr(10)), lambda l: NOT regexp_matches(l, '^\s*>')), lambda l: regexp_replace(l, '[ \t]+', ' ', 'g')), chr(10)), E'\n{{3,}}', E'\n\n', 'g'), E' \t\r\n')) AS body_sha256 FROM c"""
+ SELECT doc_id, sha256(trim(regexp_replace(array_to_string(list_transform(list_filter(string_split(x, chr(10)), lambda l: NOT regexp_matches(l, '^\\s*>')), lambda l: regexp_replace(l, '[ \t]+', ' ', 'g')), chr(10)), E'\n{{3,}}', E'\n\n', 'g'), E' \t\r\n')) AS body_sha256 FROM c"""
 )
 def quote_cut(spark, sf_dir):
     """Texts with a quote, a signature, a footer or a forwarded message put under them."""
