@@ -9,9 +9,10 @@ Equal sets are one node. Two rounds take a number of candidates linear in a cell
 the one before it, by size; then each that these links leave outside the cell's largest component with that component's most
 linked row. The third looks at all pairs in a cell that no link has joined into one component yet, and takes those whose
 finer sketches (a byte of each of FINE smallest hashes) agree in LEAST_FINE places; a pair at 0.8 has fewer with a
-probability of 7e-12, and a pair far below 0.8, of which a large group of loose copies has very many, is spared the whole
-sets. Those sketches are compared within the cell's task, whose time still grows with the square of the rows that stay
-apart in one cell; what it gives out does not, but for pairs just below 0.8.
+probability of 7e-12. Of sets of up to WHOLE shingles the cell's task has 32 bits of each shingle too; they count no less
+than what two sets share, so a pair that falls short by them is no link. A pair below 0.8, of which a large group of loose
+copies has very many, is thus spared the join with the whole sets. The task's time still grows with the square of the rows
+that stay apart in one cell; what it gives out does not, but for links, and for pairs just below 0.8 of larger sets.
 
 Null, empty and blank texts have the empty set, and link. Fewer words than a shingle: the whole sequence is the one
 shingle. A row is known by its key and a hash of its text: rows that repeat a key with other texts count each by
@@ -40,6 +41,8 @@ SHARE = (4, 5)
 BLOCK_BYTES = 2 << 20
 #: Bytes of the finer sketch, and in how many of them a candidate pair agrees.
 FINE, LEAST_FINE = 512, 345
+#: Shingles up to which a sketch has 32 bits of each.
+WHOLE = 1024
 #: Bits of the filter that spares rows a shuffle.
 FILTER_BITS = 1 << 24
 _LOWER = np.frombuffer(simhash.LOWER, np.uint8)
@@ -216,18 +219,32 @@ def _to_hubs(cells: np.ndarray, node: np.ndarray, n: np.ndarray, root: np.ndarra
 
 
 def _fine_sketch(hashes: np.ndarray, ends: np.ndarray) -> list[bytes]:
-    """Of each text FINE bytes, each a byte of another smallest hash, and 32 bits of each of its cells."""
+    """Of each text FINE bytes, each a byte of another smallest hash, 32 bits of each of its cells, and of each shingle of up to WHOLE."""
     some = np.flatnonzero(np.diff(ends) > 0)
     out = np.zeros((len(ends) - 1, FINE), np.uint8)
     for k in range(FINE):
         out[some, k] = np.minimum.reduceat(_mixed(hashes ^ _FINE_ODD[k]), ends[:-1][some]).astype(np.uint8) if len(some) else 0
     cells = _sketch(hashes, ends)[1].astype(np.uint32)
-    return [a.tobytes() + b.tobytes() for a, b in zip(out, cells)]
+    own = hashes.astype(np.uint32)
+    return [a.tobytes() + b.tobytes() + (np.sort(own[i:j]).tobytes() if j - i <= WHOLE else b"") for a, b, i, j in zip(out, cells, ends[:-1], ends[1:])]
+
+
+def _may_link(n: np.ndarray, sketch: np.ndarray, j: int, at: np.ndarray) -> np.ndarray:
+    """Of the rows at those that may be similar enough to row j: all where a set is above WHOLE, else by 32 bits of each shingle."""
+    if n[j] > WHOLE or not len(at):
+        return at
+    shingles = lambda i: np.frombuffer(sketch[i], np.uint32, offset=FINE + 4 * BANDS)
+    own, others = shingles(j), [shingles(i) for i in at.tolist()]
+    flat = np.concatenate(others)
+    found = own[np.minimum(np.searchsorted(own, flat), len(own) - 1)] == flat
+    ends = np.cumsum([0, *map(len, others)])
+    same = np.diff(np.concatenate([[0], np.cumsum(found)])[ends])
+    return at[(n[at] > WHOLE) | (SHARE[1] * same >= SHARE[0] * (n[at] + n[j] - same))]
 
 
 def _across(cells: np.ndarray, node: np.ndarray, n: np.ndarray, root: np.ndarray, sketch: np.ndarray) -> list[np.ndarray]:
     """Pairs in a cell between components, each row outside the cell's largest component with all other rows: those whose
-    sketches agree in LEAST_FINE bytes, each pair in the first cell that it shares."""
+    sketches agree in LEAST_FINE bytes and whose shingles may suffice, each pair in the first cell that it shares."""
     edge = _bounds(cells)
     found = [[np.zeros(0, np.int64)] * 2]
     for i in range(len(edge) - 1):
@@ -237,7 +254,8 @@ def _across(cells: np.ndarray, node: np.ndarray, n: np.ndarray, root: np.ndarray
         small = of != counts.argmax()
         if not small.any():
             continue
-        raw = np.frombuffer(b"".join(sketch[own]), np.uint8).reshape(len(nodes), -1)
+        sketches = sketch[own]
+        raw = np.frombuffer(b"".join(x[: FINE + 4 * BANDS] for x in sketches), np.uint8).reshape(len(nodes), -1)
         fine, bands = raw[:, :FINE], np.ascontiguousarray(raw[:, FINE:]).view(np.uint32)
         cell = np.int64(cells[edge[i]]).astype(np.uint64).astype(np.uint32)
         for j in np.flatnonzero(small).tolist():
@@ -247,6 +265,7 @@ def _across(cells: np.ndarray, node: np.ndarray, n: np.ndarray, root: np.ndarray
             at = at[(fine[at] == fine[j]).sum(1) >= LEAST_FINE]
             shared = bands[at] == bands[j]
             at = at[bands[at, shared.argmax(1)] == cell] if len(at) else at
+            at = _may_link(sizes, sketches, j, at)
             found.append(_ordered(nodes[at], np.full(len(at), nodes[j])))
     return [np.concatenate(x) for x in zip(*found)]
 
