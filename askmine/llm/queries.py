@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from askmine.llm import bpe, decontaminate, hilbert, quality, repetition, simhash, substring_dedup, suffix_dedup, toxicity, warc
+from askmine.llm import bpe, collocations, decontaminate, exact_topk, fill_middle, hilbert, quality, repetition, simhash, substring_dedup, suffix_dedup, toxicity, warc
 from askmine.llm.base import table
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
@@ -78,6 +78,20 @@ def op10_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), ids.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.transform(table(spark, sf_dir, "documents"))
+    digest = lambda text: F.sha2(text.cast("binary"), 256)
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"), digest(fill_middle.restored()).alias("restored_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_warc": op2_warc,
@@ -89,6 +103,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring": op8_substring,
     "op9_fourier": op9_fourier,
     "op10_fm_index": op10_fm_index,
+    "op11_collocations": op11_collocations,
+    "op12_exact_topk": op12_exact_topk,
+    "op13_fill_middle": op13_fill_middle,
 }
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {
@@ -131,4 +148,32 @@ places AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest
 items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY 1)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op11_collocations": r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, m, array_to_string(w[i : i + m - 1], ' ') AS phrase FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM w, (VALUES (1), (2), (3)) v(m) WHERE len(w) >= m)),
+f AS (SELECT lang, m, phrase, count(*) AS f, string_split(phrase, ' ') AS ws FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY 1),
+c AS (SELECT lang, m, phrase, ws, f AS a, unnest(range(1, m)) AS k FROM f WHERE m > 1 AND f >= 10),
+s AS (SELECT c.*, x.f AS l, y.f AS r, (1000000::HUGEINT * a * a // (x.f::HUGEINT * y.f))::BIGINT AS score FROM c
+ JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[1 : k], ' ') JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[k + 1 : c.m], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+x AS (SELECT lang, unnest([array_to_string(ws[1 : 2], ' '), array_to_string(ws[2 : 3], ' ')]) AS phrase, f FROM f WHERE m = 3 AND f >= 10),
+kept AS (SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM x WHERE x.lang = b.lang AND x.phrase = b.phrase AND 100 * x.f >= 50 * b.a))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM kept JOIN n USING (lang)
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000""",
+    "op12_exact_topk": r"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e, row_number() OVER () AS r FROM embeddings
+ WHERE embedding IS NOT NULL AND NOT list_contains(list_transform(embedding, lambda x: x IS NULL OR NOT isfinite(x)), true)),
+s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score, row_number() OVER (PARTITION BY q.r ORDER BY list_inner_product(q.e, c.e) DESC, c.vec_id) AS rank
+ FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 20 = 0)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM s WHERE rank <= 20""",
+    "op13_fill_middle": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS x, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w, sha256('42:' || doc_id) AS s FROM documents),
+h AS (SELECT *, len(w) AS n, list_transform(range(0, 4), lambda i: ('0x' || s[8 * i + 1 : 8 * i + 8])::BIGINT) AS h FROM d),
+u AS (SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b FROM h),
+p AS (SELECT doc_id, x, n, coalesce(array_to_string(w[1 : a], ''), '') AS pre, coalesce(array_to_string(w[a + 1 : b], ''), '') AS mid, coalesce(array_to_string(w[b + 1 : n], ''), '') AS suf,
+ CASE WHEN x = '' OR contains(x, '<P>') OR contains(x, '<S>') OR contains(x, '<M>') OR h[3] % 100 >= 50 THEN 'plain' WHEN h[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+ sha256(CASE form WHEN 'plain' THEN x WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(x) AS restored_sha256 FROM p""",
 }
