@@ -1,16 +1,17 @@
 """Collocations: phrases whose words keep company more than their parts' counts foretell, by language.
 
-All n-grams of 1 to max_n words are exploded into rows and counted by hash aggregates per language; an n-gram of as many
-words as the text has lies at every word, so the empty phrase stands for the count of all words. Phrases are joined with
-the counts of their prefixes and suffixes, scored in decimals, and those that nearly always lie inside a phrase of one
+All n-grams of 1 to max_n words are exploded into rows and counted by hash aggregates per language. Those of one and two
+words are counted together: each place gives a row of two words (of one at a piece's end), and what these rows come to is
+exploded again into the phrase, its first word and the empty phrase, which so has the count of all words. Phrases are joined
+with the counts of their prefixes and suffixes, scored in decimals, and those that nearly always lie inside a phrase of one
 word more go. (A longer phrase that lies around a candidate holds one of one word more, which is at least as frequent.)
 
 From three words on, rows are dropped before the shuffle whose first or last n - 1 words can't be frequent enough: the
 frequent phrases of n - 1 words set bits in a table of BITS_ROWS x 64 bits, which goes to all tasks. A bit that another
 phrase has set lets a row through in vain; none is lost, so counts are exact whatever the table's fill.
 
-A null text has no words, a null language is ``und``. Texts and pieces of any length are taken whole, a piece in runs of
-RUN words. Repeated rows count each. Ties go by frequency, then by the phrase's bytes, so the order is total. An empty
+A null text has no words, a null language is ``und``. Texts and pieces of any length are taken whole, a long piece in runs
+of RUN words. Repeated rows count each. Ties go by frequency, then by the phrase's bytes, so the order is total. An empty
 table gives no rows. Only the two named columns are read, whatever others there are.
 """
 
@@ -26,44 +27,60 @@ from askmine.llm.base import checkpointed, joined_hot, quoted
 
 #: Rows of 64 bits that say which phrases may be frequent (16 MB at most).
 BITS_ROWS = 1 << 20
-#: Words of a piece that are exploded at a time; groups in which a language's phrases are ranked before they meet.
-RUN, SALTS = 1024, 64
+#: Bytes from which a piece is long, and words of it that are exploded at a time.
+LONG, RUN = 1 << 16, 1024
+#: Groups in which a language's phrases are ranked before they meet.
+SALTS = 64
 #: Arithmetic on counts: products of two have 38 digits at most.
 COUNT, WIDE = "decimal(19,0)", "decimal(38,0)"
 
 
-def word_runs(docs: DataFrame, max_n: int, lang: str = "lang", text: str = "text") -> DataFrame:
-    """lang, words, last: runs of words of the pieces of all texts; each but a piece's last holds max_n - 1 words of the next."""
+def pieces(docs: DataFrame, max_n: int, lang: str = "lang", text: str = "text") -> DataFrame:
+    """lang, words, own: the words of each piece, all of which start phrases (own is null), or of each run of a long piece.
+
+    In a run only ``own`` words start phrases; the max_n - 1 after them start those of the next run.
+    """
     lower = F.translate(F.coalesce(F.col(quoted(text)).cast("string"), F.lit("")), ascii_uppercase, ascii_lowercase)
-    named = docs.select(F.coalesce(F.col(quoted(lang)).cast("string"), F.lit("und")).alias("lang"), F.explode(F.split(lower, r"[.,;:!?\x0A-\x0D]")).alias("piece"))
-    words = named.select("lang", F.regexp_extract_all("piece", F.lit(r"[^\x20\x09]+"), F.lit(0)).alias("all")).filter(F.size("all") > 0)
-    cut = lambda at: F.struct(F.slice("all", at + 1, RUN + max_n - 1).alias("words"), (at + RUN >= F.size("all")).alias("last"))
-    return words.select("lang", F.explode(F.transform(F.sequence(F.lit(0), F.size("all") - 1, F.lit(RUN)), cut)).alias("run")).select("lang", "run.*")
+    words = lambda piece: F.regexp_extract_all(piece, F.lit(r"[^\x20\x09]+"), F.lit(0))
+    part = lambda piece, own: F.struct(piece.alias("piece"), own.cast("int").alias("own"))
+
+    def run(all_: Column, at: Column) -> Column:
+        own = F.when(at + RUN < F.size(all_), F.lit(RUN))
+        return part(F.concat_ws(" ", F.slice(all_, at + 1, RUN + max_n - 1)), own)
+
+    def runs(piece: Column) -> Column:
+        cut = lambda all_: F.transform(F.sequence(F.lit(0), F.greatest(F.size(all_) - 1, F.lit(0)), F.lit(RUN)), lambda at: run(all_, at))
+        return F.flatten(F.transform(F.array(words(piece)), cut))
+
+    cut = F.transform(F.split(lower, r"[.,;:!?\x0A-\x0D]"), lambda p: F.when(F.octet_length(p) < LONG, F.array(part(p, F.lit(None)))).otherwise(runs(p)))
+    named = docs.select(F.coalesce(F.col(quoted(lang)).cast("string"), F.lit("und")).alias("lang"), F.explode(F.flatten(cut)).alias("part"))
+    return named.select("lang", words(F.col("part.piece")).alias("words"), "part.own")
 
 
-def _own(max_n: int) -> Column:
-    """The words that start in a run: the others start in the next."""
-    return F.when(F.col("last"), F.size("words")).otherwise(F.least(F.size("words"), F.lit(RUN)))
+def exploded(cut: DataFrame, n: int) -> DataFrame:
+    """lang, phrase: a row per place that a phrase of n words starts at; for n = 2, also one per word that ends a piece."""
+    after = lambda i: [F.get("words", i + j) for j in range(1, n)]
 
+    def phrase(word: Column, i: Column) -> Column:
+        if n == 2:
+            return F.when(after(i)[0].isNull(), word).otherwise(F.concat(word, F.lit(" "), after(i)[0]))
+        return F.concat(word, *[x for other in after(i) for x in (F.lit(" "), other)])
 
-def _grams(n: int) -> Column:
-    """The phrases of n words that start in a run; the empty phrase for n = 0."""
-    if n == 0:
-        return F.array(F.lit(""))
-    starts = F.greatest(F.least(_own(n), F.size("words") - (n - 1)), F.lit(0))
-    after = lambda i: [x for j in range(1, n) for x in (F.lit(" "), F.get("words", i + j))]
-    return F.slice(F.transform("words", lambda word, i: F.concat(word, *after(i))) if n > 1 else F.col("words"), 1, starts)
+    made = F.transform("words", phrase)
+    rows = cut.select("lang", F.explode(F.when(F.col("own").isNull(), made).otherwise(F.slice(made, 1, F.col("own")))).alias("phrase"))
+    return rows.filter(F.col("phrase").isNotNull())
 
 
-def exploded(runs: DataFrame, least: int, most: int) -> DataFrame:
-    """lang, phrase, times: a row per phrase of least to most words and place; the empty phrase has one per run, with its words."""
-    grams = F.concat(*[_grams(n) for n in range(least, most + 1)])
-    rows = runs.select("lang", _own(most).cast("bigint").alias("n_own"), F.explode(grams).alias("phrase"))
-    return rows.select("lang", "phrase", F.when(F.col("phrase") == "", F.col("n_own")).otherwise(F.lit(1)).alias("times"))
+def _counted(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("lang", "phrase").agg(F.count(F.lit(1)).alias("f"))
 
 
-def _counted(rows: DataFrame, min_count: int) -> DataFrame:
-    return rows.groupBy("lang", "phrase").agg(F.sum("times").alias("f")).filter((F.col("f") >= min_count) | (F.col("phrase") == ""))
+def _with_first_words(pairs: DataFrame, min_count: int) -> DataFrame:
+    """The counts of pairs, of the words that start them, and of the empty phrase: of all words."""
+    as_row = lambda phrase: F.struct(phrase.alias("phrase"), F.col("f").alias("f"))
+    word, is_pair = F.substring_index("phrase", " ", 1), (F.col("f") >= min_count) & F.contains("phrase", F.lit(" "))
+    each = F.when(is_pair, F.array(as_row(F.lit("")), as_row(word), as_row(F.col("phrase")))).otherwise(F.array(as_row(F.lit("")), as_row(word)))
+    return pairs.select("lang", F.explode(each).alias("row")).select("lang", "row.*").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
 
 def _place(phrase: Column) -> tuple[Column, Column]:
@@ -93,18 +110,19 @@ def _rest(k: str) -> Column:
 
 
 def counts(docs: DataFrame, max_n: int = 3, min_count: int = 10, lang: str = "lang", text: str = "text") -> DataFrame:
-    """lang, phrase, f (its occurrences), n_words of all phrases of 1 to max_n words that occur min_count times or more.
+    """lang, phrase, f (its occurrences), n_words of all phrases of 1 to max_n words (2 at least) that occur min_count times or more.
 
     The empty phrase, of 0 words, has the count of all words of its language, however few.
     """
-    levels = [checkpointed(_counted(exploded(word_runs(docs, max_n, lang, text), 0, min(2, max_n)), min_count))]
+    is_frequent = (F.col("f") >= min_count) | (F.col("phrase") == "")
+    levels = [checkpointed(_with_first_words(_counted(exploded(pieces(docs, max_n, lang, text), 2)), min_count).filter(is_frequent))]
     sized = lambda rows: rows.withColumn("n_words", F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " "))))
     for n in range(3, max_n + 1):
         bits = _bits(sized(levels[-1]).filter(F.col("n_words") == n - 1))
-        rows = exploded(word_runs(docs, max_n, lang, text), n, n)
+        rows = exploded(pieces(docs, max_n, lang, text), n)
         for part in (_first(str(n - 1)), _rest("1")):
             rows = _may_be_frequent(rows, part, bits)
-        levels.append(checkpointed(_counted(rows, min_count)))
+        levels.append(checkpointed(_counted(rows).filter(is_frequent)))
     return sized(reduce(DataFrame.union, levels))
 
 

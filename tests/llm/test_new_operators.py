@@ -70,6 +70,13 @@ def test_scores_are_exact_beyond_64_bits(spark):
     assert collocations.scored(grams).first()["score"] == 10**6 * (big - 1) ** 2 // (big * (big + 7))
 
 
+def test_long_pieces_are_taken_in_runs(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "LONG", 20)
+    monkeypatch.setattr(collocations, "RUN", 4)
+    rows = [*prose(6), (7, " " * 40, "zz"), (8, "a b c d " * 30 + "e", "en")]
+    assert sorted(map(tuple, collocations.collocations(documents(spark, rows), max_n=4).collect())) == plain_collocations(rows, 4, 10, 50, 2000)
+
+
 def test_full_bits_lose_nothing(spark, monkeypatch):
     monkeypatch.setattr(collocations, "BITS_ROWS", 1)
     rows = prose(4)
