@@ -2,8 +2,8 @@
 
 All n-grams of 1 to max_n words are exploded into rows and counted by hash aggregates per language. Those of one and two
 words are counted together: each place gives a row of two words (of one at a piece's end), and what these rows come to is
-exploded again into the phrase, its first word and the empty phrase, which so has the count of all words. Phrases are joined
-with the counts of their prefixes and suffixes, scored in decimals, and those that nearly always lie inside a phrase of one
+exploded again into the phrase and its first word. Words that are too rare are counted as one, the empty phrase, so that the
+count of all words stays known. Phrases are joined with the counts of their prefixes and suffixes, scored in decimals, and those that nearly always lie inside a phrase of one
 word more go. (A longer phrase that lies around a candidate holds one of one word more, which is at least as frequent.)
 
 From three words on, rows are dropped before the shuffle whose first or last n - 1 words can't be frequent enough: the
@@ -58,17 +58,21 @@ def pieces(docs: DataFrame, max_n: int, lang: str = "lang", text: str = "text")
 
 
 def exploded(cut: DataFrame, n: int) -> DataFrame:
-    """lang, phrase: a row per place that a phrase of n words starts at; for n = 2, also one per word that ends a piece."""
-    after = lambda i: [F.get("words", i + j) for j in range(1, n)]
+    """lang, phrase: a row per place that a phrase of two words starts at, and one per word that ends a piece.
 
-    def phrase(word: Column, i: Column) -> Column:
+    For more words head, the phrase without its last word, and last.
+    """
+    after = lambda i, j: F.get("words", i + j)
+
+    def made(word: Column, i: Column) -> Column:
         if n == 2:
-            return F.when(after(i)[0].isNull(), word).otherwise(F.concat(word, F.lit(" "), after(i)[0]))
-        return F.concat(word, *[x for other in after(i) for x in (F.lit(" "), other)])
+            return F.when(after(i, 1).isNull(), word).otherwise(F.concat(word, F.lit(" "), after(i, 1)))
+        head = F.concat(word, *[x for j in range(1, n - 1) for x in (F.lit(" "), after(i, j))])
+        return F.struct(head.alias("head"), after(i, n - 1).alias("last"))
 
-    made = F.transform("words", phrase)
-    rows = cut.select("lang", F.explode(F.when(F.col("own").isNull(), made).otherwise(F.slice(made, 1, F.col("own")))).alias("phrase"))
-    return rows.filter(F.col("phrase").isNotNull())
+    all_ = F.transform("words", made)
+    rows = cut.select("lang", F.explode(F.when(F.col("own").isNull(), all_).otherwise(F.slice(all_, 1, F.col("own")))).alias("phrase"))
+    return rows if n == 2 else rows.select("lang", "phrase.*").filter(F.col("last").isNotNull())
 
 
 def _counted(rows: DataFrame) -> DataFrame:
@@ -76,11 +80,13 @@ def _counted(rows: DataFrame) -> DataFrame:
 
 
 def _with_first_words(pairs: DataFrame, min_count: int) -> DataFrame:
-    """The counts of pairs, of the words that start them, and of the empty phrase: of all words."""
+    """The counts of pairs, of the words that start them, and of all rare words together, as the empty phrase."""
     as_row = lambda phrase: F.struct(phrase.alias("phrase"), F.col("f").alias("f"))
     word, is_pair = F.substring_index("phrase", " ", 1), (F.col("f") >= min_count) & F.contains("phrase", F.lit(" "))
-    each = F.when(is_pair, F.array(as_row(F.lit("")), as_row(word), as_row(F.col("phrase")))).otherwise(F.array(as_row(F.lit("")), as_row(word)))
-    return pairs.select("lang", F.explode(each).alias("row")).select("lang", "row.*").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    each = F.when(is_pair, F.array(as_row(word), as_row(F.col("phrase")))).otherwise(F.array(as_row(word)))
+    summed = lambda rows: rows.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    counted = summed(pairs.select("lang", F.explode(each).alias("row")).select("lang", "row.*"))
+    return summed(counted.withColumn("phrase", F.when(F.col("f") >= min_count, F.col("phrase")).otherwise("")))
 
 
 def _place(phrase: Column) -> tuple[Column, Column]:
@@ -112,34 +118,30 @@ def _rest(k: str) -> Column:
 def counts(docs: DataFrame, max_n: int = 3, min_count: int = 10, lang: str = "lang", text: str = "text") -> DataFrame:
     """lang, phrase, f (its occurrences), n_words of all phrases of 1 to max_n words (2 at least) that occur min_count times or more.
 
-    The empty phrase, of 0 words, has the count of all words of its language, however few.
+    The empty phrase, of 0 words, has the count of all words of its language that are rarer.
     """
-    is_frequent = (F.col("f") >= min_count) | (F.col("phrase") == "")
-    levels = [checkpointed(_with_first_words(_counted(exploded(pieces(docs, max_n, lang, text), 2)), min_count).filter(is_frequent))]
+    levels = [checkpointed(_with_first_words(_counted(exploded(pieces(docs, max_n, lang, text), 2)), min_count))]
     sized = lambda rows: rows.withColumn("n_words", F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " "))))
     for n in range(3, max_n + 1):
         bits = _bits(sized(levels[-1]).filter(F.col("n_words") == n - 1))
-        rows = exploded(pieces(docs, max_n, lang, text), n)
-        for part in (_first(str(n - 1)), _rest("1")):
-            rows = _may_be_frequent(rows, part, bits)
-        levels.append(checkpointed(_counted(rows).filter(is_frequent)))
+        rows = _may_be_frequent(exploded(pieces(docs, max_n, lang, text), n), F.col("head"), bits)
+        whole = rows.select("lang", F.concat("head", F.lit(" "), "last").alias("phrase"))
+        levels.append(checkpointed(_counted(_may_be_frequent(whole, _rest("1"), bits)).filter(F.col("f") >= min_count)))
     return sized(reduce(DataFrame.union, levels))
 
 
-def _with_parts(cuts: DataFrame, grams: DataFrame, part: str, name: str, n_cuts: int) -> DataFrame:
-    """cuts with the count of one part; a word with which very many phrases begin or end is joined by broadcast."""
-    known = grams.select(F.struct("lang", "phrase").alias(part), F.col("f").alias(name))
-    times = cuts.groupBy(part).agg(F.count(F.lit(1)).alias("times"))
-    return joined_hot(cuts, times.join(known, part), part, n_cuts, "times")
-
-
 def scored(grams: DataFrame) -> DataFrame:
-    """lang, phrase, a, l, r, score of all phrases of two words or more: by the cut that scores lowest, then the first."""
+    """lang, phrase, a, l, r, score of all phrases of two words or more: by the cut that scores lowest, then the first.
+
+    The two parts of each cut are looked up in one join; a word with which very many phrases begin or end goes by broadcast.
+    """
     phrases = grams.filter("n_words > 1").select("lang", "phrase", F.col("f").alias("a"), F.explode(F.sequence(F.lit(1), F.col("n_words") - 1)).alias("k"))
-    cuts = phrases.select("*", F.struct("lang", _first("k").alias("phrase")).alias("left"), F.struct("lang", _rest("k").alias("phrase")).alias("right"))
-    n_cuts = cuts.count()
-    for part, name in (("left", "l"), ("right", "r")):
-        cuts = _with_parts(cuts, grams, part, name, n_cuts)
+    side = lambda is_left, part: F.struct(F.lit(is_left).alias("is_left"), F.struct("lang", part.alias("phrase")).alias("part"))
+    parts = checkpointed(phrases.select("*", F.explode(F.array(side(True, _first("k")), side(False, _rest("k")))).alias("side")).select("lang", "phrase", "a", "k", "side.*"))
+    known = grams.select(F.struct("lang", "phrase").alias("part"), "f")
+    times = parts.groupBy("part").agg(F.count(F.lit(1)).alias("times"))
+    found = joined_hot(parts, times.join(known, "part"), "part", parts.count(), "times")
+    cuts = found.groupBy("lang", "phrase", "k").agg(F.first("a").alias("a"), F.max(F.when(F.col("is_left"), F.col("f"))).alias("l"), F.max(F.when(~F.col("is_left"), F.col("f"))).alias("r"))
     cuts = cuts.withColumn("score", F.expr(f"cast(cast(1000000 as decimal(7,0)) * cast(a as {COUNT}) * cast(a as {COUNT}) as {WIDE}) div cast(cast(l as {COUNT}) * cast(r as {COUNT}) as {WIDE})"))
     best = cuts.groupBy("lang", "phrase").agg(F.min(F.struct("score", "k", "a", "l", "r")).alias("best"))
     return best.select("lang", "phrase", "best.a", "best.l", "best.r", "best.score")
@@ -160,5 +162,5 @@ def collocations(docs: DataFrame, max_n: int = 3, min_count: int = 10, drop_perc
     salted = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(SALTS))).orderBy(*order)
     some = maximal(scored(grams), grams, drop_percent).withColumn("rank", F.row_number().over(salted)).filter(F.col("rank") <= top)
     ranked = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= top)
-    words = grams.filter("n_words = 0").select("lang", F.col("f").alias("n"))
+    words = grams.filter("n_words < 2").groupBy("lang").agg(F.sum("f").alias("n"))
     return ranked.join(words, "lang").select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")
