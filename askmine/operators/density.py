@@ -1,30 +1,21 @@
-"""Density clusters: projection, HDBSCAN on distinct points, and a label for every row.
+"""Density clusters: projection, HDBSCAN on distinct points (see ``hierarchy``), and a label for every row.
 
-Equal points count once in the hierarchy, and as often as they occur in the sizes. The hierarchy needs all distances of its
-points, so it is fitted to FIT_ROWS of them at most, chosen by a hash of the point (all of them where there are no more), with
-the least size of a cluster taken down in the same share, to FEWEST at the lowest; every other row joins the cluster of its
-nearest fitted point by mutual reachability, or the noise. So a cluster with fewer than FEWEST / share distinct points may
-be lost above FIT_ROWS. Labels are 0 for the largest cluster on; noise is -1. Vectors must be of one width.
+Equal points count once in the hierarchy, and as often as they occur in the sizes. Labels are 0 for the largest cluster on;
+noise is -1. Vectors must be of one width.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from askmine.operators import hierarchy
 from askmine.operators.dedupe import cut
 
-MIN_SIZE, MIN_SAMPLES, DIMENSIONS, FIT_ROWS, METHOD = 15, 5, 5, 20_000, "eom"
-#: The least size of a cluster among a sample's points.
-FEWEST = 5
+MIN_SIZE, MIN_SAMPLES, DIMENSIONS, METHOD = 15, 5, 5, "eom"
 SWEEP = [(method, size, samples) for method in ("eom", "leaf") for size in (10, 15, 25, 40) for samples in (None, 5)]
 
 
@@ -50,173 +41,50 @@ def mapped(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     return flat.select(key, (F.get("point", F.lit(0)) / most).alias("x"), (F.get("point", F.lit(1)) / most).alias("y"))
 
 
-def _core(points: np.ndarray, others: np.ndarray, k: int) -> np.ndarray:
-    """Distance of each point to its k-th nearest of the others."""
-    out = np.empty(len(points))
-    for a in range(0, len(points), 512):
-        d = np.sqrt(np.maximum(0, ((points[a : a + 512, None, :] - others[None, :, :]) ** 2).sum(-1)))
-        out[a : a + 512] = np.partition(d, min(k, len(others)) - 1, axis=1)[:, min(k, len(others)) - 1]
-    return out
-
-
-def spanning_tree(points: np.ndarray, core: np.ndarray) -> list[tuple[float, int, int]]:
-    """Edges of a least spanning tree under mutual reachability, shortest first (Prim, memory in proportion to points)."""
-    n = len(points)
-    reach, parent, open_ = np.full(n, np.inf), np.zeros(n, int), np.ones(n, bool)
-    now, edges = 0, []
-    for _ in range(n - 1):
-        open_[now] = False
-        d = np.maximum(np.sqrt(((points - points[now]) ** 2).sum(1)), np.maximum(core, core[now]))
-        closer = open_ & (d < reach)
-        reach[closer], parent[closer] = d[closer], now
-        now = int(np.argmin(np.where(open_, reach, np.inf)))
-        edges.append((float(reach[now]), int(parent[now]), now))
-    return sorted(edges)
-
-
-def condensed(edges: list[tuple[float, int, int]], n: int, min_size: int) -> tuple[dict[int, list], dict[int, float]]:
-    """Children of each cluster, (child, lambda, size) with points below n, and the lambda at which each cluster is born."""
-    root_of, left, right, height, size = list(range(2 * n - 1)), {}, {}, {}, [1] * n + [0] * (n - 1)
-
-    def find(x: int) -> int:
-        while root_of[x] != x:
-            root_of[x] = root_of[root_of[x]]
-            x = root_of[x]
-        return x
-
-    for i, (d, a, b) in enumerate(edges):
-        node, x, y = n + i, find(a), find(b)
-        left[node], right[node], height[node] = x, y, d
-        size[node] = size[x] + size[y]
-        root_of[x] = root_of[y] = node
-
-    def leaves(node: int) -> Iterator[int]:
-        todo = [node]
-        while todo:
-            x = todo.pop()
-            if x < n:
-                yield x
-            else:
-                todo += [left[x], right[x]]
-
-    children: dict[int, list] = defaultdict(list)
-    born, following = {n: 0.0}, n + 1
-    todo = [(2 * n - 2, n)]
-    while todo:
-        node, cluster = todo.pop()
-        if node < n:
-            continue
-        lam = 1 / height[node] if height[node] > 0 else np.inf
-        parts = [left[node], right[node]]
-        large = [x for x in parts if size[x] >= min_size]
-        for x in parts:
-            if len(large) == 2:
-                born[following] = lam
-                children[cluster].append((following, lam, size[x]))
-                todo.append((x, following))
-                following += 1
-            elif x in large:
-                todo.append((x, cluster))
-            else:
-                children[cluster] += [(p, lam, 1) for p in leaves(x)]
-    return children, born
-
-
-def hdbscan(points: np.ndarray, min_size: int = MIN_SIZE, min_samples: int | None = MIN_SAMPLES, method: str = METHOD) -> tuple[np.ndarray, np.ndarray]:
-    """Label (-1 is noise) and membership of each point."""
-    n = len(points)
-    labels, strength = np.full(n, -1), np.zeros(n)
-    if n < max(2, min_size):
-        return labels, strength
-    core = _core(points, points, min_samples or min_size)
-    children, born = condensed(spanning_tree(points, core), n, min_size)
-    finite = max([lam for kids in children.values() for _, lam, _ in kids if np.isfinite(lam)], default=1.0)
-    cap = lambda lam: min(lam, finite)
-    stability = {c: sum((cap(lam) - cap(born[c])) * k for _, lam, k in children[c]) for c in born}
-    chosen: set[int] = set()
-    inner = {c: [x for x, _, _ in children[c] if x >= n] for c in born}
-    best: dict[int, float] = {}
-    for c in sorted(born, reverse=True):  # children have larger numbers
-        below = sum(best[x] for x in inner[c])
-        if c == n:
-            best[c] = below  # the root is no cluster
-        elif method == "leaf":
-            best[c] = stability[c]
-            if not inner[c]:
-                chosen.add(c)
-        elif stability[c] >= below or not inner[c]:
-            best[c] = stability[c]
-            todo = list(inner[c])
-            while todo:
-                x = todo.pop()
-                chosen.discard(x)
-                todo += inner[x]
-            chosen.add(c)
-        else:
-            best[c] = below
-    for number, c in enumerate(sorted(chosen)):
-        members: list[tuple[int, float]] = []
-        todo = [c]
-        while todo:
-            for x, lam, _ in children[todo.pop()]:
-                if x < n:
-                    members.append((x, cap(lam)))
-                else:
-                    todo.append(x)
-        most = max(lam for _, lam in members)
-        for x, lam in members:
-            labels[x], strength[x] = number, lam / most if most > 0 else 1.0
-    order = sorted(set(labels[labels >= 0].tolist()), key=lambda k: (-int((labels == k).sum()), k))
-    rank = {old: new for new, old in enumerate(order)}
-    return np.array([rank.get(int(x), -1) for x in labels]), strength
-
-
-def clustered(vectors: DataFrame, key: str, vector: str, min_size: int = MIN_SIZE, min_samples: int | None = MIN_SAMPLES, method: str = METHOD, dimensions: int = DIMENSIONS, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """key, cluster, probability (three decimals) of every row."""
+def _distinct(vectors: DataFrame, key: str, vector: str, dimensions: int) -> tuple[DataFrame, DataFrame, int, int]:
+    """(key, name of every row; id, point, copies of the distinct points; their number and width)."""
     points = projected(vectors, key, vector, dimensions)
     named = points.withColumn("name", F.xxhash64(F.transform("point", lambda x: F.round(x, 9) + 0.0)))
-    distinct = cut(named.groupBy("name").agg(F.first("point").alias("point"), F.count(F.lit(1)).alias("copies")))
-    n = distinct.count()
-    share = min(1.0, fit_rows / max(1, n))
-    sample = distinct if share == 1.0 else distinct.filter(F.pmod(F.xxhash64("name"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20))))
-    fitted = sample.orderBy("name").toPandas()  # fit_rows points at most, about
-    base = np.array(fitted["point"].tolist(), float).reshape(len(fitted), -1)
-    least = min_size if share == 1.0 else max(FEWEST, round(min_size * share))
-    labels, strength = hdbscan(base, least, min_samples, method)
-    k = min_samples or least
-    core = _core(base, base, k) if len(base) else np.zeros(0)
-    shared = points.sparkSession.sparkContext.broadcast((base, labels, strength, core, {x: i for i, x in enumerate(fitted["name"].tolist())}))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, labels, strength, core, place = shared.value
-        for batch in batches:
-            names = batch.column(0).to_pylist()
-            at = np.array([place.get(x, -1) for x in names])
-            new = np.flatnonzero(at < 0)
-            label, p = np.where(at >= 0, labels[at], -1) if len(labels) else np.full(len(names), -1), np.where(at >= 0, strength[at], 0.0) if len(labels) else np.zeros(len(names))
-            if len(new) and len(base):
-                own = np.array(batch.column(1).take(pa.array(new)).to_pylist(), float)
-                for a in range(0, len(new), 256):
-                    d = np.sqrt(((own[a : a + 256, None, :] - base[None]) ** 2).sum(-1))
-                    reach = np.maximum(np.maximum(d, core[None]), np.partition(d, min(k, len(base)) - 1, axis=1)[:, [min(k, len(base)) - 1]])
-                    near = reach.argmin(1)
-                    label[new[a : a + 256]] = labels[near]
-                    p[new[a : a + 256]] = np.where(labels[near] >= 0, strength[near] * np.minimum(1, core[near] / np.maximum(reach.min(1), 1e-12)), 0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(label, pa.int32()), pa.array(np.round(p, 3)), batch.column(2)], ["name", "raw", "probability", "copies"])
-
-    found = cut(distinct.select("name", "point", "copies").mapInArrow(run, "name bigint, raw int, probability double, copies bigint"))
-    sizes = found.filter("raw >= 0").groupBy("raw").agg(F.sum("copies").alias("n"))  # a row a cluster
+    distinct = cut(named.groupBy(F.col("name").alias("id")).agg(F.min("point").alias("point"), F.count(F.lit(1)).alias("copies")))
+    n, width = distinct.agg(F.count(F.lit(1)), F.max(F.size("point"))).first()
+    return named.select(key, "name"), distinct, n, width or 1
+
+
+def clustered(vectors: DataFrame, key: str, vector: str, min_size: int = MIN_SIZE, min_samples: int | None = MIN_SAMPLES, method: str = METHOD, dimensions: int = DIMENSIONS) -> DataFrame:
+    """key, cluster, probability (three decimals) of every row."""
+    named, distinct, n, width = _distinct(vectors, key, vector, dimensions)
+    k = max(1, min(min_samples or min_size, n))
+    cored = hierarchy.with_cores(hierarchy.packed_leaves(distinct, n, width), width, k)
+    found = cut(hierarchy.labelled(*hierarchy.merged(cut(hierarchy.edges(cored, width, k, k)), min_size), method))
+    sizes = found.filter("raw >= 0").join(distinct.select("id", "copies"), "id").groupBy("raw").agg(F.sum("copies").alias("n"))  # a row a cluster
     rank = F.row_number().over(W.orderBy(F.col("n").desc(), "raw")) - 1
     ranked = F.broadcast(sizes.select("raw", rank.alias("cluster")))
-    told = found.join(ranked, "raw", "left").select("name", F.coalesce("cluster", F.lit(-1)).alias("cluster"), "probability")
-    return named.select(key, "name").join(told, "name").select(key, "cluster", "probability")
-
-
-def sweep(points: np.ndarray, copies: np.ndarray) -> list[tuple]:
-    """(method, size, samples, clusters, noise %, largest %) of every setting on one projection; copies: rows per point."""
-    out = []
-    for method, size, samples in SWEEP:
-        labels = np.repeat(hdbscan(points, size, samples, method)[0], copies)
-        sizes = np.bincount(labels[labels >= 0]) if (labels >= 0).any() else np.zeros(1, int)
-        out.append((method, size, samples, int((sizes > 0).sum()), 100 * float((labels < 0).mean()), 100 * int(sizes.max()) / len(labels)))
-    return out
+    told = found.join(ranked, "raw", "left").select(F.col("id").alias("name"), "cluster", F.round("strength", 3).alias("probability"))
+    return named.join(told, "name", "left").select(key, F.coalesce("cluster", F.lit(-1)).alias("cluster"), F.coalesce("probability", F.lit(0.0)).alias("probability"))
+
+
+def sweep(vectors: DataFrame, key: str, vector: str, dimensions: int = DIMENSIONS, settings: list[tuple] = SWEEP) -> DataFrame:
+    """method, size, samples, clusters, noise (%), largest (%) of every setting on one projection; shares are of all rows.
+
+    Distances to nearest points are found once, edges once per number of samples, merges once per that and size.
+    """
+    _, distinct, n, width = _distinct(vectors, key, vector, dimensions)
+    within = lambda k: max(1, min(k, n))
+    most = within(max(samples or size for _, size, samples in settings))
+    cored = hierarchy.with_cores(hierarchy.packed_leaves(distinct, n, width), width, most)
+    copies, total = distinct.select("id", "copies"), distinct.agg(F.sum("copies")).first()[0] or 0
+    edges: dict[int, DataFrame] = {}
+    merged: dict[tuple[int, int], tuple[DataFrame, DataFrame]] = {}
+    rows = None
+    for method, size, samples in settings:
+        k = within(samples or size)
+        if k not in edges:
+            edges[k] = cut(hierarchy.edges(cored, width, most, k))
+        if (k, size) not in merged:
+            merged[k, size] = hierarchy.merged(edges[k], size)
+        sizes = hierarchy.labelled(*merged[k, size], method).filter("raw >= 0").join(copies, "id").groupBy("raw").agg(F.sum("copies").alias("n"))
+        share = lambda x: F.lit(100.0) * F.coalesce(x, F.lit(0)) / F.lit(max(1, total))
+        own = sizes.agg(F.count(F.lit(1)).cast("int").alias("clusters"), (F.lit(100.0) - share(F.sum("n"))).alias("noise"), share(F.max("n")).alias("largest"))
+        own = own.select(F.lit(method).alias("method"), F.lit(size).alias("size"), F.lit(samples).cast("int").alias("samples"), "*")
+        rows = own if rows is None else rows.unionByName(own)
+    return rows

@@ -141,6 +141,11 @@ def density_clusters(spark, sf_dir):
     return density.clustered(vectors, "vec_id", "embedding").select("vec_id", "cluster", "probability")
 
 
+@_query()
+def density_sweep(spark, sf_dir):
+    return density.sweep(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
 _MARKUP = ", ".join(f"'{w}'" for w in clusters.MARKUP_WORDS)
 _SIGNALS = f"""sig AS (SELECT source, count(*) AS n, count(*) FILTER (contains(text, '?')) AS n_question, count(*) FILTER (len(regexp_extract_all(text, '(?i)[{t.VIETNAMESE}]')) >= 5) AS n_vietnamese,
  count(*) FILTER (contains(text, 'Date/Time of Event') OR contains(text, 'Message (Please') OR contains(text, 'Day of Contact') OR contains(text, 'Total: $')) AS n_template,

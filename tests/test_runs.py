@@ -181,7 +181,7 @@ def test_units_and_long_words(spark):
     assert backfill.covered(1, 5, [(0, 3), (3, 6)]) and not backfill.covered(1, 5, [(0, 3), (4, 6)])
 
 
-def test_density_of_copies_samples_and_widths(spark):
+def test_density_of_copies_and_widths(spark):
     from askmine.operators import density
 
     rng = np.random.default_rng(12)
@@ -193,8 +193,7 @@ def test_density_of_copies_samples_and_widths(spark):
     whole = {r["id"]: r["cluster"] for r in density.clustered(df, "id", "v").collect()}
     assert len(whole) == len(rows) and len({whole[i] for i in range(len(points))} - {-1}) == 8
     assert {whole[10_000 + j] for j in range(400)} == {whole[0]} and whole[0] == 0  # with its copies the largest
-    sampled = {r["id"]: r["cluster"] for r in density.clustered(df, "id", "v", fit_rows=350).collect()}
-    best = [np.unique([sampled[i] for i in np.flatnonzero(truth == c)], return_counts=True) for c in range(8)]
+    best = [np.unique([whole[i] for i in np.flatnonzero(truth == c)], return_counts=True) for c in range(8)]
     assert np.mean([n.max() / n.sum() for _, n in best]) > 0.95 and len({k[n.argmax()] for k, n in best}) == 8
     flat = density.mapped(df, "id", "v").collect()
     assert len(flat) == len(rows) and all(-1 <= r["x"] <= 1 and -1 <= r["y"] <= 1 for r in flat)
