@@ -49,8 +49,12 @@ def accepted_in_order(df: DataFrame, order: str, strong: Column, fingerprint: Co
     Only an accepted row makes its id and fingerprint known, so that two dropDuplicates would differ. Rows whose id
     and fingerprint are unique are accepted without looking further. The others are decided in rounds: in each, a row
     that is the first undecided one of its id and of its fingerprint is accepted, which decides all rows that repeat
-    either; rounds are as many as the longest chain of rows that wait for each other.
+    either; rounds are as many as the longest chain of rows that wait for each other. Two rows at one place of the order
+    are an error.
     """
+    twice = df.groupBy(order).count().filter("count > 1").select(order).first()
+    if twice is not None:
+        raise ValueError(f"several rows at {twice[0]} of {order}: the order must tell them apart")
     rows = df.select("*", strong.alias("_id"), fingerprint.alias("_print"))
     keys = rows.select(F.col(order).alias("_at"), F.when(F.col("_id") != "", F.col("_id")).alias("_id"), "_print")
     by_id = keys.filter("_id is not null").groupBy("_id").count().filter("count > 1").select("_id")

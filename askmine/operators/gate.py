@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from askmine.operators import redaction
+from askmine.operators import redaction, reports
 from askmine.operators.dedupe import cut
 from askmine.sources import files, shards
 
 
 def analyzed(spark: SparkSession, folder: str) -> DataFrame:
-    """email_id: the messages that the views of a folder show (see reports.views)."""
-    rows = spark.read.text(folder).filter(F.col("value").startswith("=== "))
-    return rows.select(F.substring("value", 5, 1 << 30).alias("email_id")).distinct()
+    """email_id: the messages that the views of a folder show, by the files that name them (see reports.views); none without such files."""
+    try:
+        rows = spark.read.schema("email_id string").json(f"{folder}/{reports.ANALYZED}-*.jsonl")
+    except AnalysisException:
+        rows = spark.createDataFrame([], "email_id string")
+    return rows.distinct()
 
 
 def judged(emails: DataFrame, review: DataFrame, original: DataFrame, seen: DataFrame) -> DataFrame:

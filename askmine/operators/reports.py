@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from askmine.functions.text import trimmed
 
 
+#: How the files begin that name the analyzed messages of a shard.
+ANALYZED = "analyzed"
+
+
 def lines(rows: DataFrame, file: Column, order: list[Column], *parts: Column) -> DataFrame:
     """file, place, line: for each row its parts, which are lines or arrays of lines; a null part gives none."""
     as_array = [p if isinstance(p, Column) and p_is_array else F.array(p) for p, p_is_array in map(_kind, parts)]
@@ -80,14 +84,18 @@ def read_by_hand(chunks: DataFrame, replies: DataFrame, file: str = "read_by_han
 def views(emails: DataFrame, review: DataFrame) -> DataFrame:
     """For each shard all its messages with their redactions in brackets; a signature is one bracket that hides what it holds.
 
-    emails: id, subject, body, shard. A file's "=== " lines say which messages were analyzed (see gate.analyzed).
+    emails: id, subject, body, shard. Which messages were analyzed is said in files of their own, ANALYZED-<shard>.jsonl (see
+    gate.analyzed): a message may say anything, also what looks like the head of another.
     """
     spans = review.filter("decision = 'redact'").groupBy("email_id").agg(
         *[F.collect_list(F.when(F.col("field") == f, F.struct("start", "end", "entity_type"))).alias(f"_{f}") for f in ("subject", "body")]
     )
-    rows = emails.withColumn("_id", F.coalesce("id", F.lit(""))).join(spans, F.col("_id") == F.col("email_id"), "left")
+    named = emails.withColumn("_id", F.coalesce("id", F.lit("")))
+    rows = named.join(spans, F.col("_id") == F.col("email_id"), "left")
     shown = {f: bracketed(F.coalesce(F.col(f), F.lit("")), F.col(f"_{f}")) for f in ("subject", "body")}
-    return lines(rows, F.concat("shard", F.lit(".txt")), [F.col("_id")], F.concat(F.lit("=== "), F.col("_id")), F.concat(F.lit("subject: "), shown["subject"]), shown["body"], F.lit(""))
+    texts = lines(rows, F.concat("shard", F.lit(".txt")), [F.col("_id")], F.concat(F.lit("=== "), F.col("_id")), F.concat(F.lit("subject: "), shown["subject"]), shown["body"], F.lit(""))
+    ids = lines(named, F.concat(F.lit(f"{ANALYZED}-"), "shard", F.lit(".jsonl")), [F.col("_id")], F.to_json(F.struct(F.col("_id").alias("email_id"))))
+    return texts.unionByName(ids)
 
 
 def bracketed(text: Column, spans: Column) -> Column:
