@@ -7,7 +7,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
-from itertools import product
 
 WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 
@@ -41,25 +40,28 @@ class Phrases:
         return bool(words)
 
 
-def _forms(pronouns: str, endings: str) -> list[str]:
-    return [p + e for p in pronouns.split() for e in ("", *endings.split())]
-
-
-#: Who speaks or is spoken to, in English and Vietnamese, and words of thanks and hope.
+#: Who speaks or is spoken to, words of thanks and hope, and who speaks or is spoken to in Vietnamese.
 VOICE = Phrases(
     [
-        *_forms("i", "'m 've 'll 'd"), *_forms("we you", "'re 've 'll 'd"), *"he she they me us him her them my our your his their mine ours yours hers theirs".split(),
-        *"sorry thank thanks hope appreciate".split(), "looking forward", *"tôi toi mình chúng bạn anh chị chi em con cháu ông bà cô chú quý".split(),
+        "i", "i'm", "i've", "i'll", "i'd", "me", "my", "mine", "we", "we're", "we've", "we'll", "we'd", "us", "our", "ours",
+        "you", "you're", "you've", "you'll", "you'd", "your", "yours", "he", "she", "they", "him", "her", "his", "hers", "them", "their", "theirs",
+        "sorry", "thank", "thanks", "thank you", "hope", "appreciate", "looking forward",
+        "tôi", "toi", "chúng", "mình", "bạn", "anh", "chị", "chi", "em", "con", "cháu", "ông", "bà", "cô", "chú", "quý",
     ]
 )
 #: Phrases that close a message.
 SIGN_OFF = Phrases(
     [
-        *"best regards kindly warmly warmest sincerely respectfully cheers thanks ty thx gratefully love xoxo xo blessings".split(),
-        "best regards", "best wishes", "all the best", "kind regards", "kindest regards", "warm regards", "warmest regards", "warm wishes", "sincerely yours", "respectfully yours",
-        "thanks again", "thanks so much", "thank you", "thank you again", "thank you so much", "thank you very much", "thank you kindly", "many thanks",
-        "with love", "with gratitude", "take care", "talk soon", "many blessings", "bless", "god bless", "many bless", "god blessings",
-        *(f"have a {how} {what}" for how, what in product("great good nice wonderful blessed".split(), "day weekend evening night one".split())),
+        "best", "best regards", "best wishes", "all the best", "kind regards", "kindest regards", "kindly", "warm regards", "warmest regards",
+        "warm wishes", "warmly", "warmest", "regards", "sincerely", "sincerely yours", "respectfully", "respectfully yours", "cheers",
+        "thanks", "thanks so much", "thanks again", "thank you", "thank you so much", "thank you again", "thank you very much", "thank you kindly", "many thanks",
+        "ty", "thx", "with gratitude", "with love", "gratefully", "love", "take care", "talk soon", "xoxo", "xo",
+        "have a great day", "have a great weekend", "have a great evening", "have a great night", "have a great one",
+        "have a good day", "have a good weekend", "have a good evening", "have a good night", "have a good one",
+        "have a nice day", "have a nice weekend", "have a nice evening", "have a nice night", "have a nice one",
+        "have a wonderful day", "have a wonderful weekend", "have a wonderful evening", "have a wonderful night", "have a wonderful one",
+        "have a blessed day", "have a blessed weekend", "have a blessed evening", "have a blessed night", "have a blessed one",
+        "bless", "blessings", "god bless", "god blessings", "many bless", "many blessings",
     ]
 )
 #: Greetings, and the days' parts that one may wish.
