@@ -110,6 +110,21 @@ def merged_intervals(df: DataFrame, by: list[str], start: str, end: str) -> Data
 
 
 def contained(points: DataFrame, intervals: DataFrame, by: list[str], start: str, end: str, low: str, high: str) -> DataFrame:
-    """points whose [start, end) lies inside an interval [low, high) of the same group."""
-    inner = points.alias("p").join(intervals.alias("i"), [F.col(f"p.{c}") == F.col(f"i.{c}") for c in by] + [F.col(f"i.{low}") <= F.col(f"p.{start}"), F.col(f"p.{end}") <= F.col(f"i.{high}")], "left_semi")
-    return inner
+    """points whose [start, end) lies inside an interval [low, high) of the same group.
+
+    Both are dealt to ranges of one timeline by group and place. A point lies inside one of the intervals that begin before
+    it if the farthest of their ends reaches its own: a running maximum within the range, and the maximum of the group's
+    earlier ranges. So the work is linear, and a group that holds most rows is spread over many tasks. A null group, place
+    or end matches nothing.
+    """
+    group = [f"_by{i}" for i in range(len(by))]
+    named = [F.col(c).alias(g) for c, g in zip(by, group)]
+    begins = intervals.select(*named, F.col(low).alias("_at"), F.lit(0).alias("_is_point"), F.col(high).alias("_reach"))
+    asked = points.select(*named, F.col(start).alias("_at"), F.lit(1).alias("_is_point"), F.struct(*[F.col(f"`{c}`") for c in points.columns]).alias("_point"), F.col(end).alias("_end"))
+    known = begins.unionByName(asked, allowMissingColumns=True).dropna(subset=[*group, "_at"])
+    timeline = cut(known.repartitionByRange(*group, "_at", "_is_point").withColumn("_range", F.spark_partition_id()))
+    ranges = timeline.groupBy("_range", *group).agg(F.max("_reach").alias("_most"))
+    before = F.max("_most").over(W.partitionBy(*group).orderBy("_range").rowsBetween(W.unboundedPreceding, -1))
+    running = F.max("_reach").over(W.partitionBy("_range", *group).orderBy("_at", "_is_point").rowsBetween(W.unboundedPreceding, W.currentRow))
+    seen = timeline.withColumn("_running", running).filter("_is_point = 1").join(ranges.withColumn("_before", before).drop("_most"), ["_range", *group])
+    return seen.filter(F.greatest("_running", "_before") >= F.col("_end")).select("_point.*")
