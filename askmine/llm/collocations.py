@@ -36,43 +36,34 @@ COUNT, WIDE = "decimal(19,0)", "decimal(38,0)"
 
 
 def pieces(docs: DataFrame, max_n: int, lang: str = "lang", text: str = "text") -> DataFrame:
-    """lang, words, own: the words of each piece, all of which start phrases (own is null), or of each run of a long piece.
+    """lang, piece, own: the pieces, with one space between words, and the runs of long ones.
 
-    In a run only ``own`` words start phrases; the max_n - 1 after them start those of the next run.
+    All words of a piece start phrases (own is null). In a run only ``own`` words do; the max_n - 1 after them start those of
+    the next run.
     """
-    lower = F.translate(F.coalesce(F.col(quoted(text)).cast("string"), F.lit("")), ascii_uppercase, ascii_lowercase)
-    words = lambda piece: F.regexp_extract_all(piece, F.lit(r"[^\x20\x09]+"), F.lit(0))
+    lower = F.translate(F.coalesce(F.col(quoted(text)).cast("string"), F.lit("")), ascii_uppercase + "\t", ascii_lowercase + " ")
+    single = F.when(F.contains(lower, F.lit("  ")), F.regexp_replace(lower, " {2,}", " ")).otherwise(lower)
     part = lambda piece, own: F.struct(piece.alias("piece"), own.cast("int").alias("own"))
 
-    def run(all_: Column, at: Column) -> Column:
-        own = F.when(at + RUN < F.size(all_), F.lit(RUN))
-        return part(F.concat_ws(" ", F.slice(all_, at + 1, RUN + max_n - 1)), own)
+    def run(words: Column, at: Column) -> Column:
+        return part(F.concat_ws(" ", F.slice(words, at + 1, RUN + max_n - 1)), F.when(at + RUN < F.size(words), F.lit(RUN)))
 
     def runs(piece: Column) -> Column:
-        cut = lambda all_: F.transform(F.sequence(F.lit(0), F.greatest(F.size(all_) - 1, F.lit(0)), F.lit(RUN)), lambda at: run(all_, at))
-        return F.flatten(F.transform(F.array(words(piece)), cut))
+        cut = lambda words: F.transform(F.sequence(F.lit(0), F.size(words) - 1, F.lit(RUN)), lambda at: run(words, at))
+        return F.flatten(F.transform(F.array(F.split(F.trim(piece), " ")), cut))
 
-    cut = F.transform(F.split(lower, r"[.,;:!?\x0A-\x0D]"), lambda p: F.when(F.octet_length(p) < LONG, F.array(part(p, F.lit(None)))).otherwise(runs(p)))
-    named = docs.select(F.coalesce(F.col(quoted(lang)).cast("string"), F.lit("und")).alias("lang"), F.explode(F.flatten(cut)).alias("part"))
-    return named.select("lang", words(F.col("part.piece")).alias("words"), "part.own")
+    cut = F.transform(F.split(single, r"[.,;:!?\x0A-\x0D]"), lambda p: F.when(F.octet_length(p) < LONG, F.array(part(p, F.lit(None)))).otherwise(runs(p)))
+    return docs.select(F.coalesce(F.col(quoted(lang)).cast("string"), F.lit("und")).alias("lang"), F.explode(F.flatten(cut)).alias("part")).select("lang", "part.*")
 
 
 def exploded(cut: DataFrame, n: int) -> DataFrame:
-    """lang, phrase: a row per place that a phrase of two words starts at, and one per word that ends a piece.
+    """lang, phrase: a row per place that a phrase of n words starts at; for n = 2, also one per word that ends a piece.
 
-    For more words head, the phrase without its last word, and last.
+    One expression finds them all: it looks ahead over n words, and goes on by one.
     """
-    after = lambda i, j: F.get("words", i + j)
-
-    def made(word: Column, i: Column) -> Column:
-        if n == 2:
-            return F.when(after(i, 1).isNull(), word).otherwise(F.concat(word, F.lit(" "), after(i, 1)))
-        head = F.concat(word, *[x for j in range(1, n - 1) for x in (F.lit(" "), after(i, j))])
-        return F.struct(head.alias("head"), after(i, n - 1).alias("last"))
-
-    all_ = F.transform("words", made)
-    rows = cut.select("lang", F.explode(F.when(F.col("own").isNull(), all_).otherwise(F.slice(all_, 1, F.col("own")))).alias("phrase"))
-    return rows if n == 2 else rows.select("lang", "phrase.*").filter(F.col("last").isNotNull())
+    ahead = "[^ ]++(?: [^ ]++)?+" if n == 2 else " ".join(["[^ ]++"] * n)
+    all_ = F.regexp_extract_all("piece", F.lit(f"(?=({ahead}))[^ ]++"), F.lit(1))
+    return cut.select("lang", F.explode(F.when(F.col("own").isNull(), all_).otherwise(F.slice(all_, 1, F.col("own")))).alias("phrase"))
 
 
 def _counted(rows: DataFrame) -> DataFrame:
@@ -124,9 +115,10 @@ def counts(docs: DataFrame, max_n: int = 3, min_count: int = 10, lang: str = "la
     sized = lambda rows: rows.withColumn("n_words", F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " "))))
     for n in range(3, max_n + 1):
         bits = _bits(sized(levels[-1]).filter(F.col("n_words") == n - 1))
-        rows = _may_be_frequent(exploded(pieces(docs, max_n, lang, text), n), F.col("head"), bits)
-        whole = rows.select("lang", F.concat("head", F.lit(" "), "last").alias("phrase"))
-        levels.append(checkpointed(_counted(_may_be_frequent(whole, _rest("1"), bits)).filter(F.col("f") >= min_count)))
+        rows = exploded(pieces(docs, max_n, lang, text), n)
+        for part in (_first(str(n - 1)), _rest("1")):
+            rows = _may_be_frequent(rows, part, bits)
+        levels.append(checkpointed(_counted(rows).filter(F.col("f") >= min_count)))
     return sized(reduce(DataFrame.union, levels))
 
 
