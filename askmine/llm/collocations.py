@@ -42,7 +42,7 @@ def pieces(docs: DataFrame, max_n: int, lang: str = "lang", text: str = "text")
     the next run.
     """
     lower = F.translate(F.coalesce(F.col(quoted(text)).cast("string"), F.lit("")), ascii_uppercase + "\t", ascii_lowercase + " ")
-    single = F.when(F.contains(lower, F.lit("  ")), F.regexp_replace(lower, " {2,}", " ")).otherwise(lower)
+    single = F.when(F.contains("lower", F.lit("  ")), F.regexp_replace("lower", " {2,}", " ")).otherwise(F.col("lower"))
     part = lambda piece, own: F.struct(piece.alias("piece"), own.cast("int").alias("own"))
 
     def run(words: Column, at: Column) -> Column:
@@ -53,7 +53,8 @@ def pieces(docs: DataFrame, max_n: int, lang: str = "lang", text: str = "text")
         return F.flatten(F.transform(F.array(F.split(F.trim(piece), " ")), cut))
 
     cut = F.transform(F.split(single, r"[.,;:!?\x0A-\x0D]"), lambda p: F.when(F.octet_length(p) < LONG, F.array(part(p, F.lit(None)))).otherwise(runs(p)))
-    return docs.select(F.coalesce(F.col(quoted(lang)).cast("string"), F.lit("und")).alias("lang"), F.explode(F.flatten(cut)).alias("part")).select("lang", "part.*")
+    named = docs.select(F.coalesce(F.col(quoted(lang)).cast("string"), F.lit("und")).alias("lang"), lower.alias("lower"))
+    return named.select("lang", F.explode(F.flatten(cut)).alias("part")).select("lang", "part.*")
 
 
 def exploded(cut: DataFrame, n: int) -> DataFrame:
@@ -103,6 +104,8 @@ def _first(k: str) -> Column:
 
 
 def _rest(k: str) -> Column:
+    if k == "1":
+        return F.expr("substring(phrase, instr(phrase, ' ') + 1)")
     return F.expr(f"substring(phrase, length(substring_index(phrase, ' ', {k})) + 2)")
 
 
