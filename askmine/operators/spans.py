@@ -24,13 +24,13 @@ def context_of(text: str, start: int, end: int) -> str:
     return " ".join(f"{text[max(0, start - AROUND) : start]}[[{text[start:end]}]]{text[end : end + AROUND]}".split())
 
 
-def scanner(known: list[Recognizer] | None = None, allowed: frozenset[str] = frozenset(), reader: Callable | None = None) -> Callable[[Column], Column]:
-    """An Arrow UDF of a text to its spans."""
+def scanner(known: list[Recognizer] | None = None, allowed: frozenset[str] = frozenset(), reader: Callable | None = None, parser: Callable | None = None) -> Callable[[Column], Column]:
+    """An Arrow UDF of a text to its spans. reader: names and places of a text; parser: its tokens, which score ambiguous words (see recognizers.scan)."""
     own = recognizers() if known is None else known
 
     @F.pandas_udf(FOUND)
     def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: [{"start": a, "end": b, "entity_type": e, "score": s, "recognizer": r, "text": t[a:b], "context": context_of(t, a, b)} for a, b, e, s, r in scan(t or "", own, allowed, reader)])
+        return texts.map(lambda t: [{"start": a, "end": b, "entity_type": e, "score": s, "recognizer": r, "text": t[a:b], "context": context_of(t, a, b)} for a, b, e, s, r in scan(t or "", own, allowed, reader, parser)])
 
     return run
 
@@ -45,12 +45,12 @@ def zone_of(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"start": pd.array([z and z[0] for z in zones], "Int32"), "end": pd.array([z and z[1] for z in zones], "Int32")})
 
 
-def flagged(emails: DataFrame, known: list[Recognizer] | None = None, common: dict[str, list[str]] | None = None, allowed: frozenset[str] = frozenset(), reader: Callable | None = None) -> DataFrame:
+def flagged(emails: DataFrame, known: list[Recognizer] | None = None, common: dict[str, list[str]] | None = None, allowed: frozenset[str] = frozenset(), reader: Callable | None = None, parser: Callable | None = None) -> DataFrame:
     """A review row per span of subject and body, and one per signature.
 
     The texts are scanned once; decisions are CASE expressions inside the arrays, so that nothing is shuffled.
     """
-    find = scanner(known, allowed, reader)
+    find = scanner(known, allowed, reader, parser)
     decide = lambda s: decisions.decide(s["entity_type"], s["text"], s["score"], s["recognizer"], common)
     rows = emails
     fields = [f for f in ("subject", "body") if f in emails.columns]

@@ -296,12 +296,14 @@ def interval_cover(spark, sf_dir):
     return orders.select("o_orderkey", backfill.is_covered("s", F.col("s") + 15, F.coalesce("inside", F.array().cast("array<struct<a:int,b:int>>"))).alias("covered"))
 
 
-@query("SELECT vec_id, len(embedding)::INTEGER AS width, abs(sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x))) - 1) < 1e9 AND list_sum(list_transform(embedding, lambda x: x::DOUBLE * x)) > 0 AS is_unit FROM embeddings")
+@query("""WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings), u AS (SELECT vec_id, v, list_transform(v, lambda x: x / sqrt(list_inner_product(v, v))) AS u FROM v)
+ SELECT vec_id, len(u)::INTEGER AS width, abs(sqrt(list_inner_product(u, u)) - 1) < 1e-4 AS is_unit, round(list_inner_product(u, v) / sqrt(list_inner_product(v, v)), 3) AS cosine, round(list_max(u), 3) AS most FROM u""")
 def unit_vectors(spark, sf_dir):
-    """Vectors of any length come out with length one."""
+    """Vectors of any length come out with length one, in their own direction."""
     scaled = table(spark, sf_dir, "embeddings").withColumn("u", embedding.unit(F.transform("embedding", lambda x: (x * (F.col("vec_id") + 1)).cast("float"))))
-    norm = F.sqrt(F.aggregate("u", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
-    return scaled.select("vec_id", F.size("u").alias("width"), (F.abs(norm - 1) < 1e-4).alias("is_unit"))
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda s, x: s + x)
+    norm = lambda a: F.sqrt(dot(a, a))
+    return scaled.select("vec_id", F.size("u").alias("width"), (F.abs(norm("u") - 1) < 1e-4).alias("is_unit"), F.round(dot("u", "embedding") / norm("embedding"), 3).alias("cosine"), F.round(F.array_max("u").cast("double"), 3).alias("most"))
 
 
 @query(

@@ -32,19 +32,20 @@ def read_shards(spark: SparkSession, folder: str, schema: str = EMAIL, skip: lis
     return rows.filter(~F.col("shard").isin(*skip)) if skip else rows
 
 
-def with_shard(rows: DataFrame, order: str, size: int = SHARD_ROWS) -> DataFrame:
+def with_shard(rows: DataFrame, order: str, size: int = SHARD_ROWS, range_rows: int = 100_000) -> DataFrame:
     """rows with shard, numbered in the order of ``order``.
 
-    Rows are counted in ranges of the order first, so that only their counts, and no rows, pass one task.
+    Rows are counted in ranges of the order first, of about range_rows by a sample of it, so that only the ranges' counts pass
+    one task, however the order's values lie.
     """
-    low, high, n = rows.agg(F.min(order), F.max(order), F.count(F.lit(1))).first()
-    n_ranges = max(1, (n or 0) // 100_000)
-    width = max(1, ((high or 0) - (low or 0)) // n_ranges + 1)
-    ranged = rows.withColumn("_range", F.floor((F.col(order) - F.lit(low or 0)) / width).cast("int"))
+    from askmine.operators.dedupe import cut
+
+    n_ranges = max(1, rows.count() // range_rows)
+    ranged = rows.withColumn("_range", F.lit(0)) if n_ranges == 1 else cut(rows.repartitionByRange(n_ranges, order).withColumn("_range", F.spark_partition_id()))
     counts = ranged.groupBy("_range").count()
     before = counts.withColumn("_before", F.coalesce(F.sum("count").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("count")
     number = F.col("_before") + F.row_number().over(W.partitionBy("_range").orderBy(order)) - 1
-    return ranged.join(before, "_range").withColumn("shard", F.format_string("emails-%05d", F.floor(number / size).cast("int"))).drop("_range", "_before")
+    return ranged.join(F.broadcast(before), "_range").withColumn("shard", F.format_string("emails-%05d", F.floor(number / size).cast("int"))).drop("_range", "_before")
 
 
 def write_shards(rows: DataFrame, folder: str, order: str, size: int = SHARD_ROWS) -> None:
@@ -172,7 +173,11 @@ def one_kind(chunks: DataFrame, task: str = "clustering") -> str:
 
 
 def refuse_stale(assignments: DataFrame, chunks: DataFrame, key: str = "chunk_id") -> None:
-    """Both must name the same chunks."""
+    """Both must name the same chunks, and the same models where both have them."""
     a, b = assignments.select(key), chunks.select(key)
     if not a.exceptAll(b).isEmpty() or not b.exceptAll(a).isEmpty():
         raise ValueError("the assignments are of other chunks: cluster again")
+    if "model" in assignments.columns and "model" in chunks.columns:
+        own, other = (sorted(str(r["model"]) for r in df.select("model").distinct().limit(10).collect()) for df in (assignments, chunks))
+        if own != other:
+            raise ValueError(f"the assignments are of {own}, the chunks of {other}: cluster again")
