@@ -21,15 +21,15 @@ def analyzed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def judged(emails: DataFrame, review: DataFrame, original: DataFrame, seen: DataFrame) -> DataFrame:
-    """problem, email_id, shard of every check that fails, span texts that are nowhere among them.
+    """problem, email_id, shard (and line, of a review that has it) of every check that fails, span texts that are nowhere among them.
 
     emails, review and original have a shard; a review's row must be of a message of its own shard.
     """
     of = emails.select(F.coalesce("id", F.lit("")).alias("email_id"), "shard").distinct()
     found = redaction.problems(emails, review, original, seen).join(of.unionByName(review.select("email_id", "shard")).distinct(), "email_id", "left")
     lost = redaction.redact(emails, review).filter("n_lost > 0").select(F.lit("text_not_found").alias("problem"), F.coalesce("id", F.lit("")).alias("email_id"), "shard")
-    apart = review.join(of.withColumnRenamed("shard", "_own"), "email_id").filter("shard <> _own").select(F.lit("other_shard").alias("problem"), "email_id", "shard")
-    return found.unionByName(lost).unionByName(apart)
+    apart = review.join(of.withColumnRenamed("shard", "_own"), "email_id").filter("shard <> _own").select(F.lit("other_shard").alias("problem"), "email_id", "shard", *(["line"] if "line" in review.columns else []))
+    return found.unionByName(lost, allowMissingColumns=True).unionByName(apart, allowMissingColumns=True)
 
 
 def passed(emails: DataFrame, review: DataFrame, original: DataFrame, seen: DataFrame, key: bytes | None = None) -> tuple[DataFrame, DataFrame]:
@@ -37,12 +37,12 @@ def passed(emails: DataFrame, review: DataFrame, original: DataFrame, seen: Data
     reviewed = emails.join(review.select("shard").distinct(), "shard", "left_semi").select(*emails.columns)
     wrong = cut(judged(reviewed, review, original, seen).distinct())
     clean = reviewed.join(wrong.select("shard").distinct(), "shard", "left_anti").select(*emails.columns)
-    return redaction.redact(clean, review.drop("shard"), key), wrong
+    return redaction.redact(clean, review.drop("shard", "line"), key), wrong
 
 
 def run(spark: SparkSession, emails: str, reviews: str, originals: str, views: str, out: str, key_file: str) -> DataFrame:
     """Redact all reviewed shards of a folder that pass into another folder; the problems of the others."""
-    kept, wrong = passed(shards.read_shards(spark, emails), shards.review_of_shards(spark, reviews), shards.review_of_shards(spark, originals), analyzed(spark, views), shards.load_key(key_file))
+    kept, wrong = passed(shards.read_shards(spark, emails), shards.review_with_lines(spark, reviews), shards.review_of_shards(spark, originals), analyzed(spark, views), shards.load_key(key_file))
     line = F.to_json(F.struct(*[F.col(f"`{c}`") for c in kept.columns if c not in ("shard", "n_lost")]), {"ignoreNullFields": "false"})
     files.write_lines(kept.select(F.concat("shard", F.lit(".jsonl")).alias("file"), F.col("offset").alias("place"), line.alias("line")), out)
     return wrong

@@ -95,8 +95,13 @@ def redact(emails: DataFrame, review: DataFrame, key: bytes | None = None) -> Da
 
 
 def problems(emails: DataFrame, review: DataFrame, original: DataFrame, analyzed: DataFrame) -> DataFrame:
-    """problem, email_id: unknown decisions, deleted rows (as a multiset), spans of unknown or unanalyzed messages."""
-    named = lambda df, problem, c: df.select(F.lit(problem).alias("problem"), F.col(c).alias("email_id"))
+    """problem, email_id (and line, of a review that has it): unknown decisions, deleted rows (as a multiset), spans of unknown or unanalyzed messages."""
+    lines = "line" in review.columns
+
+    def named(df: DataFrame, problem: str, c: str) -> DataFrame:
+        line = [(F.col("line") if "line" in df.columns else F.lit(None)).cast("bigint").alias("line")] if lines else []
+        return df.select(F.lit(problem).alias("problem"), F.col(c).alias("email_id"), *line)
+
     ids = emails.select(F.coalesce("id", F.lit("")).alias("email_id")).distinct()
     place = ["email_id", "field", "start", "end"]
     undecided = review.filter(~F.coalesce(F.lower(F.trim("decision")), F.lit("")).isin("redact", "keep"))

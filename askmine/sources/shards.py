@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from askmine.sources import quoted
 from askmine.sources.files import write_lines
 
 SHARD_ROWS = 2000
@@ -66,6 +67,12 @@ def review_of_shards(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumn("shard", F.regexp_extract("_metadata.file_name", r"^(.*)\.csv$", 1))
 
 
+def review_with_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with the line of its file that each row starts on, which says an editor where to look."""
+    rows = quoted.with_header(quoted.read(spark, folder), REVIEW)
+    return rows.withColumn("shard", F.regexp_extract("file", r"(emails-[^/]*)\.csv$", 1)).filter("shard <> ''").drop("file")
+
+
 def write_review(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Review rows as CSV files in the order of their messages; every file begins with the header."""
     columns = [F.col(c.split(" ")[0]) for c in REVIEW.split(", ")]
