@@ -1,110 +1,63 @@
-"""Words by which the lines of a message are told apart, and tests of a line's words against them.
+"""Words by which the lines of a message are told apart, and the patterns that look for them in a line's words.
 
-A line is judged by its words in lower case; phrases are runs of words, kept as tuples in sets by their length.
+A line's words are in lower case, each with a space on both sides; phrases are whole runs of words.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable
 
-WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
+#: A word of a line.
+WORD = r"\p{L}+(?:['’]\p{L}+)*"
 
 
-def words_of(line: str) -> list[str]:
-    return [w.lower().replace("’", "'") for w in WORD.findall(line)]
-
-
-class Phrases:
-    """A set of phrases that can be looked for in a list of words."""
-
-    def __init__(self, phrases: Iterable[str]):
-        self.known = {tuple(words_of(p)) for p in phrases}
-        self.sizes = sorted({len(p) for p in self.known}, reverse=True)
-
-    def at(self, words: list[str], place: int) -> int:
-        """Words of the longest phrase that starts at a place; 0 if none does."""
-        return next((n for n in self.sizes if tuple(words[place : place + n]) in self.known), 0)
-
-    def within(self, words: list[str]) -> bool:
-        return any(self.at(words, i) for i in range(len(words)))
-
-    def fill(self, words: list[str], joiner: str) -> bool:
-        """Whether the words are nothing but phrases, with the joiner between some of them."""
-        place = 0
-        while place < len(words):
-            step = self.at(words, place) or (words[place] == joiner and 0 < place < len(words) - 1)
-            if not step:
-                return False
-            place += step
-        return bool(words)
+def either(phrases: Iterable[str]) -> str:
+    return "(?:" + "|".join(phrases) + ")"
 
 
 #: Who speaks or is spoken to, words of thanks and hope, and who speaks or is spoken to in Vietnamese.
-VOICE = Phrases(
-    [
-        "i", "i'm", "i've", "i'll", "i'd", "me", "my", "mine", "we", "we're", "we've", "we'll", "we'd", "us", "our", "ours",
-        "you", "you're", "you've", "you'll", "you'd", "your", "yours", "he", "she", "they", "him", "her", "his", "hers", "them", "their", "theirs",
-        "sorry", "thank", "thanks", "thank you", "hope", "appreciate", "looking forward",
-        "tôi", "toi", "chúng", "mình", "bạn", "anh", "chị", "chi", "em", "con", "cháu", "ông", "bà", "cô", "chú", "quý",
-    ]
+VOICE = (
+    "i", "i'm", "i've", "i'll", "i'd", "me", "my", "mine", "we", "we're", "we've", "we'll", "we'd", "us", "our", "ours",
+    "you", "you're", "you've", "you'll", "you'd", "your", "yours", "he", "she", "they", "him", "her", "his", "hers", "them", "their", "theirs",
+    "sorry", "thank", "thanks", "thank you", "hope", "appreciate", "looking forward",
+    "tôi", "toi", "chúng", "mình", "bạn", "anh", "chị", "chi", "em", "con", "cháu", "ông", "bà", "cô", "chú", "quý",
 )
 #: Phrases that close a message.
-SIGN_OFF = Phrases(
-    [
-        "best", "best regards", "best wishes", "all the best", "kind regards", "kindest regards", "kindly", "warm regards", "warmest regards",
-        "warm wishes", "warmly", "warmest", "regards", "sincerely", "sincerely yours", "respectfully", "respectfully yours", "cheers",
-        "thanks", "thanks so much", "thanks again", "thank you", "thank you so much", "thank you again", "thank you very much", "thank you kindly", "many thanks",
-        "ty", "thx", "with gratitude", "with love", "gratefully", "love", "take care", "talk soon", "xoxo", "xo",
-        "have a great day", "have a great weekend", "have a great evening", "have a great night", "have a great one",
-        "have a good day", "have a good weekend", "have a good evening", "have a good night", "have a good one",
-        "have a nice day", "have a nice weekend", "have a nice evening", "have a nice night", "have a nice one",
-        "have a wonderful day", "have a wonderful weekend", "have a wonderful evening", "have a wonderful night", "have a wonderful one",
-        "have a blessed day", "have a blessed weekend", "have a blessed evening", "have a blessed night", "have a blessed one",
-        "bless", "blessings", "god bless", "god blessings", "many bless", "many blessings",
-    ]
+SIGN_OFF = (
+    "best", "best regards", "best wishes", "all the best", "kind regards", "kindest regards", "kindly", "warm regards", "warmest regards",
+    "warm wishes", "warmly", "warmest", "regards", "sincerely", "sincerely yours", "respectfully", "respectfully yours", "cheers",
+    "thanks", "thanks so much", "thanks again", "thank you", "thank you so much", "thank you again", "thank you very much", "thank you kindly", "many thanks",
+    "ty", "thx", "with gratitude", "with love", "gratefully", "love", "take care", "talk soon", "xoxo", "xo",
+    "have a great day", "have a great weekend", "have a great evening", "have a great night", "have a great one",
+    "have a good day", "have a good weekend", "have a good evening", "have a good night", "have a good one",
+    "have a nice day", "have a nice weekend", "have a nice evening", "have a nice night", "have a nice one",
+    "have a wonderful day", "have a wonderful weekend", "have a wonderful evening", "have a wonderful night", "have a wonderful one",
+    "have a blessed day", "have a blessed weekend", "have a blessed evening", "have a blessed night", "have a blessed one",
+    "bless", "blessings", "god bless", "god blessings", "many bless", "many blessings",
 )
 #: Greetings, and the days' parts that one may wish.
-GREETING = Phrases(["hi", "hello", "hey", "dear", "greetings", "good morning", "good afternoon", "good evening"])
+GREETING = ("hi", "hello", "hey", "dear", "greetings", "good morning", "good afternoon", "good evening")
 #: What a call to action asks for.
-CALL = Phrases([*"follow like visit find check add".split(), "connect with"])
+CALL = ("follow", "like", "visit", "find", "check", "add", "connect with")
 #: Postscripts, as their letters are written.
-POSTSCRIPT = Phrases(["p s", "ps", "p p s", "pps", "pp s"])
+POSTSCRIPT = ("p s", "ps", "p p s", "pps", "pp s")
 #: Parts of legal notices.
 NOTICES = (
     "confidential", "sole use of", "intended for", "intended only for", "intended recipient", "protect your privacy", "clicking the link does not work", "unsubscribe",
 )
 #: Fields of an event's form, what may follow two of them, and most words before one. Labels of contacts are none.
-FIELDS = frozenset("date time location venue event performance guest guests budget insurance coordinator notes message total lion lions".split())
-AFTER_FIELD = {"insurance": Phrases(["required", "needed"]), "coordinator": Phrases(["name", "contact number"])}
+FIELDS = (
+    "date", "time", "location", "venue", "event", "performance", "guest", "guests", "budget", "insurance", "coordinator", "notes", "message", "total", "lion", "lions",
+)
+AFTER_FIELD = ("insurance required", "insurance needed", "coordinator name", "coordinator contact number")
 LEAD_WORDS = 5
 
-
-def is_call(line: str) -> bool:
-    """An invitation to do something with "us" or "our" soon after."""
-    words = words_of(line)
-    verb = CALL.at(words, place := int(words[:1] == ["please"]))
-    rest = line.lower().partition(words[place + verb - 1])[2][:30] if verb else ""
-    return any(w in ("us", "our") for w in words_of(rest))
-
-
-def is_notice(line: str) -> bool:
-    low = line.lower()
-    return any(n in low for n in NOTICES)
-
-
-def is_field(line: str) -> bool:
-    """A label of the event's form: some words, a field's name with what specifies it, and a colon."""
-    head, colon, _ = line.partition(":")
-    if not colon:
-        return False
-    words = words_of(re.sub(r"\([^)]*\)", " ", head))
-    for i, w in enumerate(words[: LEAD_WORDS + 1]):
-        if w in FIELDS:
-            rest = words[i + 1 :]
-            rest = rest[AFTER_FIELD[w].at(rest, 0) :] if w in AFTER_FIELD else rest
-            if rest[:1] == ["of"]:
-                rest = rest[2 + (rest[1:2] in (["the"], ["your"], ["our"])) :]
-            if not rest:
-                return True
-    return False
+#: The patterns, over a line's words.
+SPEAKS = f" {either(VOICE)} "
+CLOSES = f"^ {either(SIGN_OFF)} (?:(?:and )?{either(SIGN_OFF)} )*$"
+GREETS = f"^ {either(GREETING)} "
+ADDS = f"^ {either(POSTSCRIPT)} "
+LABELS = rf"^ (?:\S+ ){{0,{LEAD_WORDS}}}{either((*AFTER_FIELD, *FIELDS))} (?:of (?:(?:the|your|our) )?(?:\S+ )?)?$"
+#: Over a line in lower case: a call to action, which asks for something with "us" or "our" soon after.
+CALLS = rf"^\P{{L}}*(?:please\P{{L}}+)?{either(c.replace(' ', '[^a-z]+') for c in CALL)}(?!\p{{L}}).{{0,27}}?(?<!\p{{L}})(?:us|our)(?!\p{{L}})"
+NOTIFIES = either(NOTICES)

@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 
 from askmine.functions import decisions
 from askmine.functions.recognizers import Recognizer, recognizers, scan
-from askmine.functions.signature import signature_zone
 from askmine.functions.text import without_invisible
+from askmine.operators.zones import with_zone
 
 ZONE = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
 FOUND = T.ArrayType(T.StructType([*ZONE.fields, T.StructField("entity_type", T.StringType()), T.StructField("score", T.DoubleType()), *(T.StructField(c, T.StringType()) for c in ("recognizer", "text", "context"))]))
@@ -39,16 +39,10 @@ def scanned(text: Column) -> Column:
     return scanner()(text)
 
 
-@F.pandas_udf(ZONE)
-def zone_of(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
-    zones = [signature_zone(t or "", [(s["start"], s["end"], s["entity_type"]) for s in own]) for t, own in zip(texts, spans)]
-    return pd.DataFrame({"start": pd.array([z and z[0] for z in zones], "Int32"), "end": pd.array([z and z[1] for z in zones], "Int32")})
-
-
 def flagged(emails: DataFrame, known: list[Recognizer] | None = None, common: dict[str, list[str]] | None = None, allowed: frozenset[str] = frozenset(), reader: Callable | None = None, parser: Callable | None = None) -> DataFrame:
     """A review row per span of subject and body, and one per signature.
 
-    The texts are scanned once; decisions are CASE expressions inside the arrays, so that nothing is shuffled.
+    The texts are scanned once; decisions are CASE expressions inside the arrays. Lines and spans are shuffled once, for the zones.
     """
     find = scanner(known, allowed, reader, parser)
     decide = lambda s: decisions.decide(s["entity_type"], s["text"], s["score"], s["recognizer"], common)
@@ -58,7 +52,7 @@ def flagged(emails: DataFrame, known: list[Recognizer] | None = None, common: di
         rows = rows.withColumn(f, without_invisible(F.coalesce(F.col(f), F.lit("")))).withColumn(f"_{f}", find(F.col(f)))
     for f in fields:
         rows = rows.withColumn(f"_{f}", F.transform(f"_{f}", lambda s: F.struct(*[s[c].alias(c) for c in ("start", "end", "entity_type", "text", "context", "score", "recognizer")], decide(s)["decision"].alias("decision"), decide(s)["rule"].alias("rule"))))
-    rows = rows.withColumn("_zone", zone_of("body", F.filter("_body", lambda s: s["decision"] == "redact")))
+    rows = with_zone(rows, "body", F.filter("_body", lambda s: s["decision"] == "redact"), "_zone")
     z = F.col("_zone")
     signature = F.when(z["start"].isNotNull(), F.array(F.struct(z["start"].alias("start"), z["end"].alias("end"), F.lit("SIGNATURE").alias("entity_type"), F.expr("substring(body, _zone.start + 1, _zone.end - _zone.start)").alias("text"), F.lit("").alias("context"), F.lit(1.0).alias("score"), F.lit("signature").alias("recognizer"), F.lit("redact").alias("decision"), F.lit("signature_block").alias("rule"))))
     named = lambda f: lambda s: F.struct(F.lit(f).alias("field"), s.alias("s"))
@@ -71,5 +65,5 @@ def flagged(emails: DataFrame, known: list[Recognizer] | None = None, common: di
 
 def zones(messages: DataFrame, text: str, spans: Column) -> DataFrame:
     """messages with zone_start and zone_end, null where there is no signature; spans: the redactions of the text."""
-    found = messages.withColumn("_zone", zone_of(F.coalesce(F.col(text), F.lit("")), spans))
+    found = with_zone(messages, text, spans, "_zone")
     return found.select(*messages.columns, F.col("_zone.start").alias("zone_start"), F.col("_zone.end").alias("zone_end"))

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from askmine.functions import cleaning, decisions, hashes, recognizers, tripwire
 from askmine.functions import text as t
-from askmine.functions.signature import signature_zone
 from askmine.operators.chunking import chunks
 
 
@@ -157,31 +156,6 @@ def test_lists_and_context():
     assert recognizers.ambiguous_score([(0, 2, "DET", "")], 0) == 0.2
 
 
-def spans(text, *marked):
-    return [(text.index(x), text.index(x) + len(x), entity) for x, entity in marked]
-
-
-def test_signature_of_contacts():
-    text = "Do you have lions for Saturday?\n\nBest,\nKelly Tran\nDirector\n714-555-0100\nkelly@example.com"
-    zone = signature_zone(text, spans(text, ("Kelly Tran", "PERSON"), ("714-555-0100", "PHONE_NUMBER"), ("kelly@example.com", "EMAIL_ADDRESS")))
-    assert text[zone[0] : zone[1]].startswith("Best,") and zone[1] == len(text)
-
-
-def test_signature_keeps_what_is_said():
-    text = "My name is Kelly Tran, call me at 714-555-0100.\nCan you come?"
-    assert signature_zone(text, spans(text, ("Kelly Tran", "PERSON"), ("714-555-0100", "PHONE_NUMBER"))) is None
-    form = "Day of Contact: Kelly Tran 714-555-0100"
-    assert signature_zone(form, spans(form, ("Kelly Tran", "PERSON"), ("714-555-0100", "PHONE_NUMBER"))) is None
-
-
-def test_signature_without_contacts():
-    text = "Can we book two lions?\n\nThank you,\nKelly Tran\nEvent Director\nP.S. we have drums too"
-    zone = signature_zone(text, spans(text, ("Kelly Tran", "PERSON")))
-    assert text[zone[0] : zone[1]] == "Thank you,\nKelly Tran\nEvent Director\n"
-    assert signature_zone("Kelly Tran", [(0, 10, "PERSON")]) is None
-    assert signature_zone("", []) is None
-
-
 @pytest.mark.parametrize(("words", "sizes"), [(0, []), (300, [300]), (310, [155, 155]), (650, [217, 217, 216])])
 def test_chunks_are_even(words, sizes):
     body = " ".join(f"w{i}" for i in range(words))
