@@ -221,7 +221,7 @@ def with_zone(messages: DataFrame, text: str, spans: Column, name: str = "zone")
 
     spans: array of (start, end, entity_type) in characters. A null text is empty; null spans are none. A message's lines and
     spans are sorted within one task; choosing takes time by its lines times its blocks. Blanks for spans take time by the text
-    times its spans. Columns keep their names, whatever they are.
+    times its spans. Columns of messages may have the names that are used here.
     """
     rows = marked(placed(timeline(messages, text, spans)))
     one = lambda c, which: F.first(F.when(F.col("event") == which, F.col(c)), ignorenulls=True)
