@@ -1,9 +1,10 @@
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from askmine.functions import cleaning
+from askmine.functions import arrow, cleaning
 from askmine.functions import text as t
-from askmine.operators import dedupe
+from askmine.operators import chunking, dedupe
 
 
 def test_a_row_that_repeats_an_id_of_a_later_round(spark):
@@ -28,3 +29,16 @@ def test_flat_quotes_begin_at_ascii_words(spark):
     texts = ["own. Onè day. On Monday at 07:23, Ann wrote: x", "own. Only at 07:23, Ann wrote: x"]
     df = spark.createDataFrame([(x,) for x in texts], "x string").select(t.without_flat_quote(F.col("x")).alias("y"))
     assert [r["y"] for r in df.collect()] == ["own.", texts[1]]
+
+
+def test_texts_are_read_in_slices():
+    assert list(arrow.slices(np.array([3, 3, 9, 1, 1]), 6, 2)) == [(0, 2), (2, 3), (3, 5)]
+    assert list(arrow.slices(np.array([], int))) == []
+    assert list(arrow.slices(np.zeros(2500, int))) == [(0, 1024), (1024, 2048), (2048, 2500)]
+
+
+def test_a_filter_on_chunks_cuts_no_text_twice(spark):
+    docs = spark.createDataFrame([(1, "one two"), (2, None), (3, "w " * 301)], "k long, text string")
+    few = chunking.chunked(docs, "text", keep_empty=True).filter("n_chunks = 1")
+    assert few._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    assert [tuple(r) for r in few.select("k", "n_words", "text").collect()] == [(1, 2, "one two")]
