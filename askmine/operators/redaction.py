@@ -10,10 +10,12 @@ import re
 from email.utils import getaddresses
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from askmine.functions.arrow import release, slices, text_sizes
 from askmine.functions.hashes import keyed_hash, plain_hash
 from askmine.functions.text import n_words, without_invisible
 
@@ -61,10 +63,18 @@ def redact_text(text: str, spans: list[dict]) -> tuple[str, int, int, int]:
     return (re.sub(r"\n{3,}", "\n\n", out).strip() if gone else out), len(final), lost, gone
 
 
-@F.pandas_udf(T.StructType([T.StructField("text", T.StringType()), *(T.StructField(c, T.IntegerType()) for c in ("n", "lost", "gone"))]))
-def redacted_text(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
-    done = [redact_text(t or "", list(own) if own is not None else []) for t, own in zip(texts, spans)]
-    return pd.DataFrame(done, columns=["text", "n", "lost", "gone"])
+_DONE = ("text", "n", "lost", "gone")
+
+
+@F.arrow_udf(T.StructType([T.StructField("text", T.StringType()), *(T.StructField(c, T.IntegerType()) for c in _DONE[1:])]))
+def redacted_text(texts: pa.Array, spans: pa.Array) -> pa.Array:
+    kind, out = pa.struct([("text", pa.string()), *((c, pa.int32()) for c in _DONE[1:])]), []
+    for a, b in slices(text_sizes(texts)):
+        pairs = zip(texts.slice(a, b - a).to_pylist(), spans.slice(a, b - a).to_pylist())
+        out.append(pa.array([dict(zip(_DONE, redact_text(t or "", own or []))) for t, own in pairs], kind))
+    done = pa.concat_arrays(out) if out else pa.array([], kind)
+    release()
+    return done
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))

@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from askmine.functions import decisions
+from askmine.functions.arrow import by_slices
 from askmine.functions.recognizers import Recognizer, recognizers, scan
 from askmine.functions.text import without_invisible
 from askmine.operators.zones import with_zone
 
 ZONE = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
 FOUND = T.ArrayType(T.StructType([*ZONE.fields, T.StructField("entity_type", T.StringType()), T.StructField("score", T.DoubleType()), *(T.StructField(c, T.StringType()) for c in ("recognizer", "text", "context"))]))
+ARROW_FOUND = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("entity_type", pa.string()), ("score", pa.float64()), *((c, pa.string()) for c in ("recognizer", "text", "context"))]))
 #: Characters of context on each side of a span.
 AROUND = 40
 
@@ -28,11 +30,10 @@ def scanner(known: list[Recognizer] | None = None, allowed: frozenset[str] = fro
     """An Arrow UDF of a text to its spans. reader: names and places of a text; parser: its tokens, which score ambiguous words (see recognizers.scan)."""
     own = recognizers() if known is None else known
 
-    @F.pandas_udf(FOUND)
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: [{"start": a, "end": b, "entity_type": e, "score": s, "recognizer": r, "text": t[a:b], "context": context_of(t, a, b)} for a, b, e, s, r in scan(t or "", own, allowed, reader, parser)])
+    def found(t: str | None) -> list[dict]:
+        return [{"start": a, "end": b, "entity_type": e, "score": s, "recognizer": r, "text": t[a:b], "context": context_of(t, a, b)} for a, b, e, s, r in scan(t or "", own, allowed, reader, parser)]
 
-    return run
+    return by_slices(found, FOUND, ARROW_FOUND)
 
 
 def scanned(text: Column) -> Column:
