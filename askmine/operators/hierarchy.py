@@ -4,7 +4,8 @@
 2. Core distances. A leaf's own points bound the distance to the k-th nearest; only points whose bound reaches into the box
    of another leaf visit it. So the distances are exact.
 3. Edges. A least spanning tree's edge between two leaves lies in the least spanning tree of those two alone, so each pair of
-   leaves is one row of work and gives the edges between them; a leaf paired with itself gives those within.
+   leaves gives the edges between them; a leaf paired with itself gives those within. Pairs go by tiles, whose edges are cut
+   to forests before they are kept.
 4. Merges. The edges are dealt to levels by weight, of LEVEL edges at most, about. A level is one task that joins components
    as Kruskal's algorithm does; between levels points learn their component by joins. A component of fewer than the least
    size carries its points, and hands them out when it falls to a larger one or becomes a cluster; so the result is two
@@ -31,6 +32,8 @@ from askmine.operators.dedupe import cut
 #: Points of a leaf of few and of many points, leaves and points of the sample at most; edges of a level.
 LEAF, LARGE_LEAF, MOST_LEAVES, SAMPLE, LEVEL = 1024, 4096, 4096, 1 << 18, 1 << 18
 MOST_TASKS = 4096
+#: Leaves, then tiles, of a side of a tile; and tiles of a side from which forests are joined no further.
+TILE, MOST_SIDE = 4, 4
 PACKED = "leaf int, ids binary, xs binary"
 EDGE = "w double, a bigint, b bigint"
 
@@ -176,29 +179,78 @@ def spanning_tree(x: np.ndarray, core: np.ndarray, ids: np.ndarray) -> tuple[np.
     return out_w, out_a, out_b
 
 
+def forest(w: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Places of the edges of the least spanning forest, in order of weight; ties by a, then by b. Equal edges count once."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    order = np.lexsort((b, a, w))
+    root = list(range(len(nodes)))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    kept = []
+    for i, x, y in zip(order.tolist(), at[: len(a)][order].tolist(), at[len(a) :][order].tolist()):
+        x, y = find(x), find(y)
+        if x != y:
+            root[x] = y
+            kept.append(i)
+    return np.array(kept, int)
+
+
+def _in_forests(table: pa.Table) -> pa.Table:
+    """A group's edges that are in its forest."""
+    table = table.select(["w", "a", "b", "p", "q"])
+    return table.take(pa.array(forest(*(table.column(c).to_numpy() for c in ("w", "a", "b")))))
+
+
 def edges(cored: DataFrame, width: int, k: int, of: int) -> DataFrame:
-    """w, a, b (a < b): edges that hold a least spanning tree; the core distance is that to the of-th of the k nearest."""
+    """w, a, b (a < b): edges that hold a least spanning tree; the core distance is that to the of-th of the k nearest.
+
+    Pairs of leaves go by tiles of TILE x TILE leaves, so that a leaf is sent to each tile once, with one core distance a
+    point. An edge that closes a cycle among the lesser ones of its tile is in no spanning tree, so a tile gives its forest;
+    the forests of TILE x TILE tiles are joined to theirs, and so on to MOST_SIDE tiles a side.
+    """
     names = sorted(r["leaf"] for r in cored.select("leaf").collect())  # MOST_LEAVES at most
-    n, spark = len(names), cored.sparkSession
-    places = spark.createDataFrame(list(enumerate(names)), "place int, leaf int")
-    pairs = spark.range(n * n).select(F.expr(f"cast(id div {max(1, n)} as int)").alias("p"), F.expr(f"cast(id % {max(1, n)} as int)").alias("q")).filter("p <= q")
-    pairs = pairs.join(F.broadcast(places.toDF("p", "first")), "p").join(F.broadcast(places.toDF("q", "second")), "q").select("first", "second")
-    side = lambda name: cored.select(F.col("leaf").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("ids", "xs", "near")])
-    blocks = pairs.join(side("first"), "first").join(side("second"), "second").repartition(max(1, min(n * (n + 1) // 2, MOST_TASKS)), "first", "second")
+    side, spark = -(-len(names) // TILE), cored.sparkSession
+    places = spark.createDataFrame([(name, i, i // TILE) for i, name in enumerate(names)], "leaf int, place int, own int")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, second, *packed in zip(*(c.to_pylist() for c in batch.columns)):
-                parts = [packed[:3], packed[3:]][: 1 if first == second else 2]
-                ids, x, core = (np.concatenate(c) for c in zip(*((_ids(i), _floats(x, width), _floats(d, k)[:, of - 1]) for i, x, d in parts)))
+            core = pa.array([np.ascontiguousarray(_floats(d, k)[:, of - 1]).tobytes() for d in batch.column(3).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], core], ["leaf", "ids", "xs", "core"])
+
+    slim = cored.select("leaf", "ids", "xs", "near").mapInArrow(cores, PACKED + ", core binary").join(F.broadcast(places), "leaf")
+    tiles = slim.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(max(0, side - 1)))))
+    tiles = tiles.select("place", "ids", "xs", "core", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"))
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = sorted(zip(*(table.column(c).to_pylist() for c in ("place", "ids", "xs", "core"))), key=lambda r: r[0])
+        leaves = [(place, _ids(ids), _floats(xs, width), np.frombuffer(core, "<f8")) for place, ids, xs, core in rows]
+        p, q = table.column("p")[0].as_py(), table.column("q")[0].as_py()
+        out = [(np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for first in (r for r in leaves if r[0] // TILE == p):
+            for second in (r for r in leaves if r[0] // TILE == q and r[0] >= first[0]):
+                parts = [first, second][: 1 if first[0] == second[0] else 2]
+                ids, x, core = (np.concatenate(c) for c in zip(*(r[1:] for r in parts)))
                 w, a, b = spanning_tree(x, core, ids)
-                if first != second:
-                    n_first = len(packed[0]) // 8
-                    between = (a < n_first) != (b < n_first)
+                if len(parts) == 2:
+                    between = (a < len(first[1])) != (b < len(first[1]))
                     w, a, b = w[between], a[between], b[between]
-                yield pa.RecordBatch.from_arrays([pa.array(w), pa.array(np.minimum(ids[a], ids[b])), pa.array(np.maximum(ids[a], ids[b]))], ["w", "a", "b"])
-
-    return blocks.select("first", "second", *[f"{s}_{c}" for s in ("first", "second") for c in ("ids", "xs", "near")]).mapInArrow(run, EDGE)
+                out.append((w, np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])))
+        w, a, b = (np.concatenate(c) for c in zip(*out))
+        at = forest(w, a, b)
+        return pa.table([pa.array(w[at]), pa.array(a[at]), pa.array(b[at]), pa.array(np.full(len(at), p), pa.int32()), pa.array(np.full(len(at), q), pa.int32())], ["w", "a", "b", "p", "q"])
+
+    tiled = EDGE + ", p int, q int"
+    dealt = tiles.repartition(max(1, min(side * (side + 1) // 2, MOST_TASKS)), "p", "q")
+    found = dealt.groupBy("p", "q").applyInArrow(run, tiled)
+    while side > MOST_SIDE:
+        side = -(-side // TILE)
+        found = found.withColumns({c: (F.col(c) / TILE).cast("int") for c in "pq"}).groupBy("p", "q").applyInArrow(_in_forests, tiled)
+    return found.select("w", "a", "b")
 
 
 class Merging:

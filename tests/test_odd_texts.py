@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from askmine.functions import arrow, cleaning
 from askmine.functions import text as t
-from askmine.operators import chunking, dedupe
+from askmine.operators import chunking, dedupe, hierarchy
 
 
 def test_a_row_that_repeats_an_id_of_a_later_round(spark):
@@ -42,3 +42,17 @@ def test_a_filter_on_chunks_cuts_no_text_twice(spark):
     few = chunking.chunked(docs, "text", keep_empty=True).filter("n_chunks = 1")
     assert few._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
     assert [tuple(r) for r in few.select("k", "n_words", "text").collect()] == [(1, 2, "one two")]
+
+
+def test_edges_of_many_leaves_are_cut_to_forests(spark):
+    rng = np.random.default_rng(5)
+    points = rng.normal(size=(500, 2))
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(points)], "id long, point array<double>")
+    cored = hierarchy.with_cores(hierarchy.packed_leaves(df, 500, 2, leaf=16), 2, 5)
+    rows = hierarchy.edges(cored, 2, 5, 5).collect()
+    d = hierarchy.distances(points, points)
+    core = np.sort(d, axis=1)[:, 4]
+    w, a, b = hierarchy.spanning_tree(points, core, np.arange(500))
+    found = {(r["w"], r["a"], r["b"]) for r in rows}
+    assert {(x, min(y, z), max(y, z)) for x, y, z in zip(w.tolist(), a.tolist(), b.tolist())} <= found
+    assert len(rows) <= hierarchy.MOST_SIDE * 500  # 8 x 8 tiles joined to 2 x 2; every pair of leaves gave its own before
