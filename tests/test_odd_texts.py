@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from askmine.functions import arrow, cleaning
 from askmine.functions import text as t
-from askmine.operators import chunking, dedupe, hierarchy
+from askmine.operators import chunking, dedupe, hierarchy, similar
 
 
 def test_a_row_that_repeats_an_id_of_a_later_round(spark):
@@ -56,3 +56,10 @@ def test_edges_of_many_leaves_are_cut_to_forests(spark):
     found = {(r["w"], r["a"], r["b"]) for r in rows}
     assert {(x, min(y, z), max(y, z)) for x, y, z in zip(w.tolist(), a.tolist(), b.tolist())} <= found
     assert len(rows) <= hierarchy.MOST_SIDE * 500  # 8 x 8 tiles joined to 2 x 2; every pair of leaves gave its own before
+
+
+def test_runs_are_counted_by_hashes(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "A b, c d e"), (3, "a b"), (4, None)], "k long, text string")
+    got = similar.run_counts(docs, "text")
+    assert dict(got.dtypes) == {"first": "bigint", "second": "int", "n": "bigint"}  # no text is shuffled
+    assert sorted(r["n"] for r in got.collect()) == [1, 2] == sorted(r["n"] for r in similar.run_frequencies(docs, "k", "text").collect())
