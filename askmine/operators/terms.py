@@ -7,6 +7,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from askmine.functions.text import TAG, let
+from askmine.operators.dedupe import cut
+
+#: Words at most by which pairs are chosen, and what rounding may add to a score.
+MOST_WORDS, SLACK = 4096, 1e-8
 
 #: Common English words that are no terms; a list of our own, as the usual ones differ between libraries.
 STOP_WORDS = (
@@ -19,25 +23,56 @@ STOP_WORDS = (
 ).split()
 
 
+def words(text: Column) -> Column:
+    """The words of two letters or more that are no stop words."""
+    return F.filter(F.regexp_extract_all(F.lower(F.regexp_replace(text, TAG, " ")), F.lit(r"(?U)\b(\p{L}{2,})\b"), 1), lambda w: ~w.isin(*STOP_WORDS))
+
+
+def pairs(w: Column) -> Column:
+    """The pairs of words that stand together; a null word is in none."""
+    both = F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), lambda a, b: F.when(a.isNotNull() & b.isNotNull(), F.concat_ws(" ", a, b)))
+    return F.when(F.size(w) > 1, F.filter(both, lambda x: x.isNotNull())).otherwise(F.array().cast("array<string>"))
+
+
 def terms(text: Column) -> Column:
-    """The words of two letters or more that are no stop words, and the pairs of those that then stand together."""
-    tokens = F.filter(F.regexp_extract_all(F.lower(F.regexp_replace(text, TAG, " ")), F.lit(r"(?U)\b(\p{L}{2,})\b"), 1), lambda w: ~w.isin(*STOP_WORDS))
-    pairs = lambda w: F.when(F.size(w) > 1, F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), lambda a, b: F.concat_ws(" ", a, b))).otherwise(F.array().cast("array<string>"))
-    return let(tokens, lambda w: F.concat(w, pairs(w)))
+    """The words of a text, and the pairs of those that then stand together."""
+    return let(words(text), lambda w: F.concat(w, pairs(w)))
+
+
+def _counts(texts: DataFrame, group: str, found: Column) -> DataFrame:
+    return texts.select(group, F.explode(found).alias("term")).groupBy(group, "term").agg(F.count(F.lit(1)).alias("n_term"))
 
 
 def top_terms(texts: DataFrame, group: str, text: str, n: int = 8) -> DataFrame:
     """group, rank (from 1), term, n_term: the n terms with the highest share in the group times corpus rarity.
 
-    Equal scores (to nine decimals) are in alphabetical order.
+    Equal scores (to nine decimals) are in alphabetical order. Words are counted first. A pair is no more frequent than either
+    of its words, and a score has a bound that grows with the term's count, so pairs of a word whose bound lies below the n-th
+    score of each group's words are not counted; where more than MOST_WORDS words are left, all pairs are.
     """
-    counts = texts.select(group, F.explode(terms(F.col(text))).alias("term")).groupBy(group, "term").agg(F.count(F.lit(1)).alias("n_term"))
-    # a term has a row per group at most, so its window is no hot one; groups are summed from their terms' counts, in the same exchange
-    in_group = counts.groupBy(group).agg(F.sum("n_term").alias("n_group")).withColumn("mean", F.avg("n_group").over(W.partitionBy(F.lit(0))))
-    scored = counts.withColumn("n_corpus", F.sum("n_term").over(W.partitionBy("term"))).join(in_group, group)
-    score = F.round(F.col("n_term") / F.col("n_group") * F.log1p(F.col("mean") / F.col("n_corpus")), 9)
-    order = W.partitionBy(group).orderBy(score.desc(), "term")
-    return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n).select(group, "rank", "term", "n_term")
+    own = F.col(text)
+    # the empty word stands for a text with words, which has a pair less than words
+    single = cut(_counts(texts, group, let(words(own), lambda w: F.when(F.size(w) > 0, F.concat(w, F.array(F.lit("")))))))
+    in_group = single.groupBy(group).agg(F.sum(F.when(F.col("term") == "", -F.col("n_term")).otherwise(2 * F.col("n_term"))).alias("n_group"))
+    known = cut(in_group.crossJoin(F.broadcast(in_group.agg(F.avg("n_group").alias("mean")))))  # a row a group
+    share = F.col("n_term") / F.col("n_group")
+
+    def scored(counts: DataFrame) -> DataFrame:
+        # a term has a row per group at most, so its window is no hot one
+        corpus = counts.withColumn("n_corpus", F.sum("n_term").over(W.partitionBy("term"))).join(F.broadcast(known), group)
+        return corpus.select(group, "term", "n_term", F.round(share * F.log1p(F.col("mean") / F.col("n_corpus")), 9).alias("score"))
+
+    def ranked(scores: DataFrame) -> DataFrame:
+        """Of a group, n rows a task go to the one that ranks it."""
+        return scores.withColumn("rank", F.row_number().over(W.partitionBy(group).orderBy(F.col("score").desc(), "term"))).filter(F.col("rank") <= n)
+
+    best = cut(ranked(scored(single.filter("term <> ''"))).drop("rank"))
+    least = best.groupBy(group).agg(F.when(F.count(F.lit(1)) == n, F.min("score")).alias("least"))
+    bound = share * F.log1p(F.col("mean") / F.col("n_term"))
+    may = single.filter("term <> ''").join(F.broadcast(known.join(F.broadcast(least), group)), group).filter(F.col("least").isNull() | (bound >= F.col("least") - SLACK))
+    kept = [r["term"] for r in may.select("term").distinct().limit(MOST_WORDS + 1).collect()]
+    left = words(own) if len(kept) > MOST_WORDS else F.transform(words(own), lambda w: F.when(w.isin(*kept), w))
+    return ranked(best.unionByName(scored(_counts(texts, group, let(left, pairs))))).select(group, "rank", "term", "n_term")
 
 
 def lowercase_usage(messages: DataFrame, text: str, least: int = 10, english: DataFrame | None = None) -> DataFrame:

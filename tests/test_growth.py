@@ -1,6 +1,13 @@
 """What large tables cost: rows that go through shuffles, and what one task gets of them."""
 
-from askmine.operators import similar
+import math
+from collections import Counter
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from askmine.functions import text
+from askmine.operators import similar, terms
 
 
 def shuffled_records(spark, run) -> int:
@@ -26,3 +33,38 @@ def test_runs_are_shuffled_once_and_copies_are_not_paired_run_by_run(spark):
     records = shuffled_records(spark, lambda: got.update({r["k"]: (r["twin"], r["n_shared"], r["n_rare"]) for r in similar.near_duplicates(docs, docs, "k", "k", "text").collect()}))
     assert got == {i: (0 if i else 1, 396, 397) for i in range(12)}
     assert records < 2 * 12 * 397
+
+
+def test_terms_are_those_of_a_plain_count_and_rare_pairs_are_not_counted(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    vocabulary = [f"{a}{b}{c}" for a in "bcdfg" for b in "aeiou" for c in "klmnp"]
+    texts = [(g, " ".join(rng.choice(vocabulary[25 * g : 25 * g + 100], 400, p=(w := 1 / np.arange(1, 101)) / w.sum()))) for g in (0, 1) for _ in range(15)]
+    rows = [*texts, (0, "lion dance " * 300), (2, "one word. lion"), (2, None), (3, ""), (None, "bak lion dance bak")]
+    docs = spark.createDataFrame(rows, "g int, text string").repartition(4)
+    counts = Counter((r["g"], r["term"]) for r in docs.select("g", F.explode(terms.terms(F.col("text"))).alias("term")).collect())
+    in_group, corpus = Counter(), Counter()
+    for (g, term), k in counts.items():
+        in_group[g] += k
+        corpus[term] += k
+    mean = sum(in_group.values()) / len(in_group)
+    want = {}
+    for g in (0, 1, 2):
+        scores = sorted((-round(k / in_group[g] * math.log1p(mean / corpus[t]), 9), t, k) for (h, t), k in counts.items() if h == g)
+        want |= {(g, i + 1): (t, k) for i, (_, t, k) in enumerate(scores[:8])}
+    assert "lion dance" in {t for t, _ in want.values()}
+
+    def found():
+        return {(r["g"], r["rank"]): (r["term"], r["n_term"]) for r in terms.top_terms(docs, "g", "text").collect()}
+
+    got: dict = {}
+    records = shuffled_records(spark, lambda: got.update(found()))
+    assert got == want and records < len(counts)
+    monkeypatch.setattr(terms, "MOST_WORDS", 0)  # as where too many words are left
+    assert found() == want
+
+
+def test_vietnamese_letters_in_both_cases(spark):
+    letters = spark.range(1, 0x11000).filter("id < 55296 or id > 57343").select("id", F.expr("decode(unhex(lpad(hex(id), 8, '0')), 'UTF-32')").alias("c"))
+    one = F.repeat("c", F.lit(text.VIETNAMESE_LETTERS))
+    assert letters.filter(text.is_vietnamese(one) != one.rlike(f"(?iu)[{text.VIETNAMESE}]")).count() == 0
+    assert letters.filter(text.is_vietnamese(one)).count() == 104
