@@ -1,8 +1,8 @@
 """Where a message's signature lies, told from its lines and spans as rows.
 
-A message becomes rows of one timeline: itself, its lines, and its spans. Marks of a line are columns over what its spans
+A message with spans becomes rows of one timeline: its lines and its spans. Marks of a line are columns over what its spans
 leave visible; what depends on other lines or spans (places, runs of lines, spans that lie together) comes from windows by
-message, all on one shuffle; an aggregate gathers the marks, by which the zone is chosen. Nothing runs in Python.
+message, all on one shuffle; an aggregate gathers the marks, by which the zone is chosen beside the text. Nothing runs in Python.
 
 Two readings are tried. A run of spans of several kinds, a contact among them, makes all from its first line to the text's
 end a signature, but for lines that are the message's own. Without one, a name line or a closing with a name near the end does.
@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from askmine.functions import vocabulary as v
+from askmine.operators.dedupe import cut
 
 #: Reach of a run of spans in characters, kinds of spans that make one, and those of which one must be there.
 REACH, KINDS_NEEDED = 200, 2
@@ -25,7 +26,7 @@ FORM = ("Date/Time of Event", "Message (Please", "Day of Contact", "Total: $")
 #: Lines among which a name may open a signature, and words of a name line, a short line, a voice and a sentence.
 TAIL, NAME, SHORT, SPOKEN, SENTENCE = 4, 6, 4, 4, 10
 
-MESSAGE, LINE, SPAN = 0, 1, 2
+LINE, SPAN = 1, 2
 ZONE = "struct<start:int,end:int>"
 
 
@@ -71,27 +72,20 @@ def _speech(said: Column, words: Column) -> dict[str, Column]:
     return {"closes": closes, "greets": spaced.rlike(v.GREETS), "prose": prose & ~low.rlike(v.NOTIFIES), "says": says}
 
 
-def timeline(messages: DataFrame, text: str, spans: Column) -> DataFrame:
-    """A row for each message, line and span: key, event, no, shown, said, at, till, kind, row. Messages without spans have no lines."""
+def timeline(rows: DataFrame) -> DataFrame:
+    """A row for each line and span of (key, text, spans): key, event, no, shown, said, at, till, kind."""
     blank = lambda t, s: F.regexp_replace(F.substring(t, s["start"] + 1, s["end"] - s["start"]), r"[^\n]", " ")
-    rows = messages.select(
-        F.monotonically_increasing_id().alias("key"), F.struct(*[F.col(f"`{c}`") for c in messages.columns]).alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text"),
-        F.coalesce(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["entity_type"].alias("kind"))), F.array().cast("array<struct<start:int,end:int,kind:string>>")).alias("spans"),
-    )
     said = F.aggregate("spans", F.col("text"), lambda t, s: F.overlay(t, blank(t, s), s["start"] + 1, s["end"] - s["start"]))
-    rows = rows.withColumn("said", F.when(F.size("spans") > 0, said))
     # zipped by split, as blanks stand for all but line ends
-    lines = F.when(F.col("said").isNotNull(), F.arrays_zip(F.split("text", "\n").alias("shown"), F.split("said", "\n").alias("said"))).otherwise(F.array())
-    rows = rows.withColumn("lines", lines)
-    none = {"no": "int", "shown": "string", "said": "string", "at": "int", "till": "int", "kind": "string", "row": rows.schema["row"].dataType}
+    rows = rows.withColumn("said", said).withColumn("lines", F.arrays_zip(F.split("text", "\n").alias("shown"), F.split("said", "\n").alias("said")))
+    none = {"no": "int", "shown": "string", "said": "string", "at": "int", "till": "int", "kind": "string"}
 
     def event(which: int, **known: Column) -> Column:
         return F.struct(F.lit(which).alias("event"), *[known.get(c, F.lit(None)).cast(t).alias(c) for c, t in none.items()])
 
-    message = F.array(event(MESSAGE, row=F.col("row"), shown=F.col("text")))
     of_lines = F.transform("lines", lambda x, i: event(LINE, no=i, shown=x["shown"], said=x["said"]))
     of_spans = F.transform("spans", lambda s: event(SPAN, at=s["start"], till=s["end"], kind=s["kind"]))
-    return rows.select("key", F.explode(F.concat(message, of_lines, of_spans)).alias("x")).select("key", "x.*")
+    return rows.select("key", F.explode(F.concat(of_lines, of_spans)).alias("x")).select("key", "x.*")
 
 
 def placed(events: DataFrame) -> DataFrame:
@@ -223,10 +217,16 @@ def with_zone(messages: DataFrame, text: str, spans: Column, name: str = "zone")
     spans are sorted within one task; choosing takes time by its lines times its blocks. Blanks for spans take time by the text
     times its spans. Columns of messages may have the names that are used here.
     """
-    rows = marked(placed(timeline(messages, text, spans)))
-    one = lambda c, which: F.first(F.when(F.col("event") == which, F.col(c)), ignorenulls=True)
-    gathered = rows.groupBy("key").agg(
-        one("row", MESSAGE).alias("row"), one("shown", MESSAGE).alias("text"), F.sort_array(F.collect_list("marks")).alias("lines"), F.collect_set("block").alias("blocks"),
-        F.collect_list(F.when(F.col("event") == SPAN, F.struct("at", "till"))).alias("spans"),
+    kinds = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["entity_type"].alias("kind")))
+    row = F.struct(*[F.col(f"`{c}`") for c in messages.columns])
+    # kept once, so that spans are found once; messages without any have no zone, and the others' texts stay out of the windows
+    rows = cut(messages.select(F.monotonically_increasing_id().alias("key"), row.alias("row"), F.coalesce(kinds, F.array().cast("array<struct<start:int,end:int,kind:string>>")).alias("spans")))
+    body = F.coalesce(F.col("row")[text], F.lit(""))
+    held = rows.filter(F.size("spans") > 0)
+    events = marked(placed(timeline(held.select("key", body.alias("text"), "spans"))))
+    gathered = events.groupBy("key").agg(
+        F.sort_array(F.collect_list("marks")).alias("lines"), F.collect_set("block").alias("blocks"), F.collect_list(F.when(F.col("event") == SPAN, F.struct("at", "till"))).alias("spans"),
     )
-    return chosen(gathered).select(*[F.col("row")[c].alias(c) for c in messages.columns], F.col("zone").alias(name))
+    found = chosen(gathered.join(held.select("key", "row", body.alias("text")), "key")).select("row", "zone")
+    found = found.unionByName(rows.filter(F.size("spans") == 0).select("row", F.lit(None).cast(ZONE).alias("zone")))
+    return found.select(*[F.col("row")[c].alias(c) for c in messages.columns], F.col("zone").alias(name))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from askmine.functions import text
 from askmine.operators import similar, terms
+from askmine.operators.zones import with_zone
 
 
 def shuffled_records(spark, run) -> int:
@@ -68,3 +69,13 @@ def test_vietnamese_letters_in_both_cases(spark):
     one = F.repeat("c", F.lit(text.VIETNAMESE_LETTERS))
     assert letters.filter(text.is_vietnamese(one) != one.rlike(f"(?iu)[{text.VIETNAMESE}]")).count() == 0
     assert letters.filter(text.is_vietnamese(one)).count() == 104
+
+
+def test_texts_stay_out_of_the_zones_windows(spark):
+    signed = "Can you come on Sunday?\nBest,\nAnn Lee\nann@example.org 555-010-0199"
+    rows = [(i, "A long text. " * 2000, []) for i in range(20)] + [(20, signed, [(signed.index("ann@"), signed.index(" 555"), "EMAIL_ADDRESS"), (signed.index("555"), len(signed), "PHONE_NUMBER")]), (21, None, None)]
+    df = spark.createDataFrame(rows, "n int, text string, marked array<struct<start:int,end:int,entity_type:string>>").repartition(4)
+    got: dict = {}
+    records = shuffled_records(spark, lambda: got.update({r["n"]: (r["text"], r["zone"]) for r in with_zone(df, "text", F.col("marked")).collect()}))
+    assert {n: (t, z and tuple(z)) for n, (t, z) in got.items()} == {n: (t, (signed.index("Best"), len(signed)) if n == 20 else None) for n, t, _ in rows}
+    assert records <= 22 + 4 + 2 + 1  # all rows dealt to four, then the lines, spans and row of the one with spans
