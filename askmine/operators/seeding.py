@@ -111,11 +111,15 @@ def venue_harvest(values: DataFrame, value: str, listed: list[str]) -> DataFrame
 
 
 def leaking(terms: DataFrame, term: str, texts: DataFrame, key: str, text: str) -> DataFrame:
-    """term, n: texts that hold it outside tags, whole. An equi join on the term's first word comes before the pattern."""
+    """term, n: texts that hold it outside tags, whole, by letters, digits and underscores.
+
+    An equi join on the term's first word and a plain search come before the pattern, which is then tried on few texts.
+    """
     clean = texts.select(F.col(key).alias("_k"), F.lower(F.regexp_replace(text, r"<[A-Z_]+>", " ")).alias("_t"))
-    words = clean.select("_k", "_t", F.explode(F.array_distinct(F.regexp_extract_all("_t", F.lit(r"(?U)(\w+)"), 1))).alias("_w"))
-    first = terms.select(F.col(term).alias("term")).withColumn("_w", F.regexp_extract("term", r"(?U)\w+", 0))
-    held = words.join(first, "_w").filter(F.expr(r"_t rlike concat('(?U)(?<!\\w)\\Q', term, '\\E(?!\\w)')"))
+    words = clean.select("_k", "_t", F.explode(F.array_distinct(F.regexp_extract_all("_t", F.lit(r"[\p{L}\p{N}_]+"), 0))).alias("_w"))
+    first = terms.select(F.col(term).alias("term")).withColumn("_w", F.regexp_extract("term", r"[\p{L}\p{N}_]+", 0))
+    whole = F.expr(r"_t rlike concat('(?<![\\p{L}\\p{N}_])\\Q', term, '\\E(?![\\p{L}\\p{N}_])')")
+    held = words.join(first, "_w").filter(F.when(F.contains("_t", "term"), whole).otherwise(F.lit(False)))
     return held.groupBy("term").agg(F.count_distinct("_k").alias("n"))
 
 

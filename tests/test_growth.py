@@ -7,7 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from askmine.functions import text
-from askmine.operators import similar, terms
+from askmine.operators import seeding, similar, terms
 from askmine.operators.zones import with_zone
 
 
@@ -79,3 +79,12 @@ def test_texts_stay_out_of_the_zones_windows(spark):
     records = shuffled_records(spark, lambda: got.update({r["n"]: (r["text"], r["zone"]) for r in with_zone(df, "text", F.col("marked")).collect()}))
     assert {n: (t, z and tuple(z)) for n, (t, z) in got.items()} == {n: (t, (signed.index("Best"), len(signed)) if n == 20 else None) for n, t, _ in rows}
     assert records <= 22 + 4 + 2 + 1  # all rows dealt to four, then the lines, spans and row of the one with spans
+
+
+def test_leaking_terms_are_looked_for_plainly_before_their_pattern(spark):
+    texts = ["at Sunny Acres, today", "sunny acreś", "sunný sunny acres", "sunny acres2", "_sunny acres", "sunny  acres", "<SUNNY> acres", "sunny (acres) sunny a.cres", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    leaks = seeding.leaking(spark.createDataFrame([("sunny acres",), ("a.cres",), ("none here",)], "term string"), "term", docs, "k", "text")
+    assert sorted(map(tuple, leaks.collect())) == [("a.cres", 1), ("sunny acres", 3)]
+    plan = leaks._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Contains(") < plan.index("RLIKE")
