@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 
+from askmine.operators import embedding
 from askmine.plans import queries
 
 
@@ -72,3 +73,18 @@ def test_chunks_of_all_documents_are_counted(spark, tmp_path):
     want = Counter((len((x or "").split()), _n_chunks(x or "")) for x in texts)
     got = {(r["n_words"], r["n_chunks"]): r["n_docs"] for r in queries.QUERIES["all_chunk_counts"](spark, str(tmp_path)).collect()}
     assert got == want and max(n for _, n in want) > 4
+
+
+def test_chunk_vectors_tell_the_vectors(spark, tmp_path):
+    texts = ["three lions came to the hall", "to the hall came lions three", "three drums came to the hall", " ".join(f"word{i}" for i in range(650))]
+    keys = [i for i in range(100) if not _held_out(i)][: len(texts)]
+    spark.createDataFrame(list(zip(keys, texts, ["src"] * 4)), "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {(int(r["id"]), r["chunk_index"]): r for r in queries.QUERIES["chunk_vectors"](spark, str(tmp_path)).collect()}
+    assert sorted(got) == [(k, 0) for k in keys] + [(keys[3], 1), (keys[3], 2)]
+    parts = {(k, 0): x for k, x in zip(keys, texts[:3])} | {(keys[3], i): " ".join(x) for i, x in enumerate(np.array_split(texts[3].split(), [217, 434]))}
+    for at, text in parts.items():
+        (vector,) = embedding.HashedTerms()([text])
+        unit = (np.array(vector) / np.linalg.norm(vector)).astype(np.float32).astype(float)
+        assert got[at]["vector_sha256"] == hashlib.sha256(",".join(str(int(x)) for x in np.rint(unit * 2**30)).encode()).hexdigest()
+    digests = [got[k, 0]["vector_sha256"] for k in keys]
+    assert digests[0] == digests[1] and len(set(digests)) == 3
