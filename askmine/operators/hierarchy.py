@@ -4,8 +4,8 @@
 2. Core distances. A leaf's own points bound the distance to the k-th nearest; only points whose bound reaches into the box
    of another leaf visit it. So the distances are exact.
 3. Edges. A least spanning tree's edge between two leaves lies in the least spanning tree of those two alone, so each pair of
-   leaves gives the edges between them; a leaf paired with itself gives those within. Pairs go by tiles, whose edges are cut
-   to forests before they are kept.
+   leaves gives the edges between them; a leaf's own tree gives those within. Bounds from these trees and from passages between
+   near leaves leave out most pairs of points, exactly. Pairs go by tiles, whose edges are cut to forests before they are kept.
 4. Merges. The edges are dealt to levels by weight, of LEVEL edges at most, about. A level is one task that joins components
    as Kruskal's algorithm does; between levels points learn their component by joins. A component of fewer than the least
    size carries its points, and hands them out when it falls to a larger one or becomes a cluster; so the result is two
@@ -32,8 +32,14 @@ from askmine.operators.dedupe import cut
 #: Points of a leaf of few and of many points, leaves and points of the sample at most; edges of a level.
 LEAF, LARGE_LEAF, MOST_LEAVES, SAMPLE, LEVEL = 1024, 4096, 4096, 1 << 18, 1 << 18
 MOST_TASKS = 4096
+#: Edges of the last forests that one task joins once more, at most; with more they stay as they are.
+JOINED = 1 << 21
 #: Leaves, then tiles, of a side of a tile; and tiles of a side from which forests are joined no further.
 TILE, MOST_SIDE = 4, 4
+#: Parts to which a part's passages are known and points of a side of one; pairs of points weighed at once; what rounding may do.
+NEIGHBOURS, PASSAGE, BLOCK, SLACK = 12, 512, 1 << 20, 1e-9
+#: Parts of a leaf at most, points of a part at least.
+PARTS, PART = 8, 16
 PACKED = "leaf int, ids binary, xs binary"
 EDGE = "w double, a bigint, b bigint"
 
@@ -206,43 +212,202 @@ def _in_forests(table: pa.Table) -> pa.Table:
     return table.take(pa.array(forest(*(table.column(c).to_numpy() for c in ("w", "a", "b")))))
 
 
+def heights(x: np.ndarray, core: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Each point's height: the greatest weight on its way to the first point in a least spanning tree; and the tree."""
+    w, a, b = spanning_tree(x, core, ids)
+    out = np.zeros(len(x))
+    for weight, up, down in zip(w.tolist(), a.tolist(), b.tolist()):  # from the first point on
+        out[down] = max(out[up], weight)
+    return np.maximum(out, core), w, a, b
+
+
+def parted(n: int, w: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The part of each point: a tree from its first point on is cut at the heaviest edges that leave PART points on both sides."""
+    size = [1] * n
+    for up, down in zip(reversed(a.tolist()), reversed(b.tolist())):
+        size[up] += size[down]
+    below = np.array(size)[b]
+    fit = np.flatnonzero((below >= PART) & (n - below >= PART))
+    cuts = set(fit[np.argsort(-w[fit], kind="stable")][: PARTS - 1].tolist())
+    part, new = [0] * n, 0
+    for i, (up, down) in enumerate(zip(a.tolist(), b.tolist())):
+        if i in cuts:
+            new += 1
+        part[down] = new if i in cuts else part[up]
+    return np.array(part, int)
+
+
+def grown(x: np.ndarray, core: np.ndarray, ids: np.ndarray) -> tuple[list[tuple[np.ndarray, np.ndarray]], tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(places, heights) of a leaf's parts, each from its densest point on, the first of the places; and the leaf's own edges."""
+    _, w, a, b = heights(x, core, ids)
+    part = parted(len(x), w, a, b)
+    out = []
+    for i in range(part.max() + 1):
+        own = np.flatnonzero(part == i)
+        own = own[np.lexsort((ids[own], core[own]))]
+        out.append((own, heights(x[own], core[own], ids[own])[0]))
+    return out, (w, np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b]))
+
+
+def _outside(x: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The distance of each x to a box."""
+    return np.sqrt((np.maximum(0, np.maximum(low - x, x - high)) ** 2).sum(1))
+
+
+def passage(x: np.ndarray, height: np.ndarray, y: np.ndarray, other: np.ndarray) -> float:
+    """A weight that suffices to come from one part's root to the other's: by one edge between the PASSAGE points that are best placed."""
+    some = np.argsort(np.maximum(height, _outside(x, y.min(0), y.max(0))), kind="stable")[:PASSAGE]
+    more = np.argsort(np.maximum(other, _outside(y, x.min(0), x.max(0))), kind="stable")[:PASSAGE]
+    return float(np.maximum(np.maximum(height[some][:, None], other[more]), distances(x[some], y[more])).min())
+
+
+def linked(points: np.ndarray, cores: np.ndarray, known: dict[tuple[int, int], float]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(up, weight, turn) of each part in a least spanning tree of the roots: by their own edges, or by a known passage that is less."""
+    n = len(points)
+    lower: dict[int, list] = defaultdict(list)
+    for (i, j), w in known.items():
+        lower[i].append((j, w))
+        lower[j].append((i, w))
+    up, weight, turn, open_ = np.zeros(n, int), np.full(n, np.inf), np.zeros(n, int), np.ones(n, bool)
+    now = 0
+    for i in range(n):
+        turn[now], open_[now] = i, False
+        d = np.maximum(np.maximum(distances(points[now : now + 1], points)[0], cores), cores[now])
+        for j, w in lower[now]:
+            d[j] = min(d[j], w)
+        less = open_ & (d < weight)
+        weight[less], up[less] = d[less], now
+        now = int(np.argmin(np.where(open_, weight, np.inf)))
+    return up, weight, turn
+
+
+def way(i: int, j: int, up: np.ndarray, weight: np.ndarray, turn: np.ndarray) -> float:
+    """The greatest weight on the way between two parts' roots."""
+    most = 0.0
+    while i != j:
+        if turn[i] < turn[j]:
+            i, j = j, i
+        most, i = max(most, weight[i]), up[i]
+    return float(most)
+
+
+def between(x: np.ndarray, core: np.ndarray, height: np.ndarray, y: np.ndarray, other_core: np.ndarray, other: np.ndarray, most: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(weights, places in x, places in y) of the edges between parts of two leaves that may be in a least spanning tree, by blocks.
+
+    Two points are joined by way of the roots at the greatest of their heights and ``most``; an edge above that closes a cycle
+    of lesser ones. Points whose own bound doesn't reach the other's box meet only those whose bound reaches theirs.
+    """
+    a, b = np.maximum(height, most), np.maximum(other, most)
+    inside = _outside(x, y.min(0), y.max(0)) <= a * (1 + SLACK)
+    others = np.flatnonzero(_outside(y, x.min(0), x.max(0)) <= b * (1 + SLACK))
+    middle = (x.min(0) + x.max(0)) / 2
+    p, q = x - middle, y - middle
+    pp, qq = (p**2).sum(1), (q**2).sum(1)
+    error = 1e-3 * SLACK * (pp.max() + qq.max())
+    for rows, columns in ((np.flatnonzero(inside), np.arange(len(y))), (np.flatnonzero(~inside), others)):
+        if not len(rows) or not len(columns):
+            continue
+        step = max(1, BLOCK // len(columns))
+        for own in (rows[i : i + step] for i in range(0, len(rows), step)):
+            bound = np.maximum(a[own][:, None], b[columns])
+            i, j = np.nonzero(pp[own][:, None] + qq[columns] - 2 * (p[own] @ q[columns].T) <= bound**2 * (1 + SLACK) + error)
+            within, i, j = bound[i, j], own[i], columns[j]
+            d = np.zeros(len(i))
+            for c in range(x.shape[1]):
+                d += (x[i, c] - y[j, c]) ** 2
+            w = np.maximum(np.maximum(np.sqrt(d), core[i]), other_core[j])
+            few = w <= within
+            yield w[few], i[few], j[few]
+
+
+def _lightest(parts: list[tuple]) -> list[tuple]:
+    """The least spanning forest of edges in parts, as one part."""
+    w, a, b = (np.concatenate(c) for c in zip(*parts))
+    at = forest(w, a, b)
+    return [(w[at], a[at], b[at])]
+
+
 def edges(cored: DataFrame, width: int, k: int, of: int) -> DataFrame:
     """w, a, b (a < b): edges that hold a least spanning tree; the core distance is that to the of-th of the k nearest.
 
-    Pairs of leaves go by tiles of TILE x TILE leaves, so that a leaf is sent to each tile once, with one core distance a
-    point. An edge that closes a cycle among the lesser ones of its tile is in no spanning tree, so a tile gives its forest;
-    the forests of TILE x TILE tiles are joined to theirs, and so on to MOST_SIDE tiles a side.
+    Each leaf has its own least spanning tree, cut into parts, and passages to the NEIGHBOURS nearest parts bound how two roots
+    are joined; so most edges between leaves are known to close a cycle before they are weighed (see ``between``). Pairs of
+    leaves go by tiles of TILE x TILE leaves, so that a leaf is sent to each tile once, with one core distance a point. An edge
+    that closes a cycle among the lesser ones of its tile is in no spanning tree, so a tile gives its forest; the forests of
+    TILE x TILE tiles are joined to theirs, and so on to MOST_SIDE tiles a side, and once more where JOINED edges are left at most.
     """
-    names = sorted(r["leaf"] for r in cored.select("leaf").collect())  # MOST_LEAVES at most
-    side, spark = -(-len(names) // TILE), cored.sparkSession
-    places = spark.createDataFrame([(name, i, i // TILE) for i, name in enumerate(names)], "leaf int, place int, own int")
+    spark = cored.sparkSession
+    columns = ["leaf", "part", "ids", "xs", "core", "height", "tw", "ta", "tb"]
+    types = [pa.int32(), pa.int32(), *[pa.binary()] * 7, pa.list_(pa.float64()), pa.float64(), *[pa.list_(pa.float64())] * 2, pa.float64()]
 
-    def cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            core = pa.array([np.ascontiguousarray(_floats(d, k)[:, of - 1]).tobytes() for d in batch.column(3).to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], core], ["leaf", "ids", "xs", "core"])
+            for leaf, ids, xs, near in zip(*(c.to_pylist() for c in batch.columns)):
+                x, core, ids = _floats(xs, width), np.ascontiguousarray(_floats(near, k)[:, of - 1]), _ids(ids)
+                found, tree = grown(x, core, ids)
+                rows = []
+                for part, (at, height) in enumerate(found):
+                    own = [] if part else tree
+                    y = x[at]
+                    rows.append([leaf, part, *(c.tobytes() for c in (ids[at], y, core[at], height)), *([c.tobytes() for c in own] or [None] * 3), y[0].tolist(), float(core[at[0]]), y.min(0).tolist(), y.max(0).tolist(), float(height.max())])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], [*columns, "root", "least", "low", "high", "top"])
+
+    parted_leaves = cut(cored.select("leaf", "ids", "xs", "near").mapInArrow(parts, "leaf int, part int, ids binary, xs binary, core binary, height binary, tw binary, ta binary, tb binary, root array<double>, least double, low array<double>, high array<double>, top double"))
+    boxes = sorted(parted_leaves.select("leaf", "part", "root", "least", "low", "high", "top").collect(), key=lambda r: (r["leaf"], r["part"]))  # PARTS x MOST_LEAVES at most
+    of_leaf = {name: i for i, name in enumerate(sorted({r["leaf"] for r in boxes}))}
+    side = -(-len(of_leaf) // TILE)
+    roots, low, high = (np.array([r[c] for r in boxes], float).reshape(-1, width) for c in ("root", "low", "high"))
+    top = np.array([r["top"] for r in boxes], float)
+    places = spark.createDataFrame([(r["leaf"], r["part"], i, of_leaf[r["leaf"]], of_leaf[r["leaf"]] // TILE) for i, r in enumerate(boxes)], "leaf int, part int, place int, at int, own int")
+    slim = parted_leaves.select(*columns).join(F.broadcast(places), ["leaf", "part"])
+
+    pairs = set()
+    for i in range(len(boxes)):
+        gap = (np.maximum(0, np.maximum(low[i] - high, low - high[i])) ** 2).sum(1)
+        close = np.lexsort((((roots - roots[i]) ** 2).sum(1), gap))
+        pairs |= {(min(i, j), max(i, j)) for j in close[: NEIGHBOURS + 1].tolist() if i != j}
+    known: dict[tuple[int, int], float] = {}
+    if pairs:
+        wanted = spark.createDataFrame(sorted(pairs | {(i, i) for i, _ in pairs}), "home int, place int")
+
+        def passages(table: pa.Table) -> pa.Table:
+            home = table.column("home")[0].as_py()
+            met = {place: (_floats(xs, width), np.frombuffer(height, "<f8")) for place, xs, height in zip(*(table.column(c).to_pylist() for c in ("place", "xs", "height")))}
+            rows = [(home, place, passage(*met[home], *other)) for place, other in met.items() if place != home]
+            return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.float64()))], ["home", "place", "w"])
+
+        sent = slim.select("place", "xs", "height").join(F.broadcast(wanted), "place")
+        known = {(r["home"], r["place"]): r["w"] for r in sent.groupBy("home").applyInArrow(passages, "home int, place int, w double").collect()}
+    tree = linked(roots, np.array([r["least"] for r in boxes], float), known)
 
-    slim = cored.select("leaf", "ids", "xs", "near").mapInArrow(cores, PACKED + ", core binary").join(F.broadcast(places), "leaf")
     tiles = slim.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(max(0, side - 1)))))
-    tiles = tiles.select("place", "ids", "xs", "core", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"))
+    same = F.col("own") == F.col("other")
+    tiles = tiles.select("place", "at", "ids", "xs", "core", "height", *[F.when(same, F.col(c)).alias(c) for c in ("tw", "ta", "tb")], F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"))
 
     def run(table: pa.Table) -> pa.Table:
-        rows = sorted(zip(*(table.column(c).to_pylist() for c in ("place", "ids", "xs", "core"))), key=lambda r: r[0])
-        leaves = [(place, _ids(ids), _floats(xs, width), np.frombuffer(core, "<f8")) for place, ids, xs, core in rows]
+        rows = sorted(zip(*(table.column(c).to_pylist() for c in ("place", "at", "ids", "xs", "core", "height", "tw", "ta", "tb"))), key=lambda r: r[0])
+        met = [(place, at, _ids(ids), (_floats(xs, width), np.frombuffer(core, "<f8"), np.frombuffer(height, "<f8"))) for place, at, ids, xs, core, height, *_ in rows]
         p, q = table.column("p")[0].as_py(), table.column("q")[0].as_py()
         out = [(np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64))]
-        for first in (r for r in leaves if r[0] // TILE == p):
-            for second in (r for r in leaves if r[0] // TILE == q and r[0] >= first[0]):
-                parts = [first, second][: 1 if first[0] == second[0] else 2]
-                ids, x, core = (np.concatenate(c) for c in zip(*(r[1:] for r in parts)))
-                w, a, b = spanning_tree(x, core, ids)
-                if len(parts) == 2:
-                    between = (a < len(first[1])) != (b < len(first[1]))
-                    w, a, b = w[between], a[between], b[between]
-                out.append((w, np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])))
-        w, a, b = (np.concatenate(c) for c in zip(*out))
-        at = forest(w, a, b)
-        return pa.table([pa.array(w[at]), pa.array(a[at]), pa.array(b[at]), pa.array(np.full(len(at), p), pa.int32()), pa.array(np.full(len(at), q), pa.int32())], ["w", "a", "b", "p", "q"])
+        out += [(np.frombuffer(r[6], "<f8"), _ids(r[7]), _ids(r[8])) for r in rows if p == q and r[6] is not None]
+        held, seconds = 0, [r for r in met if r[1] // TILE == q]
+        others = np.array([r[0] for r in seconds], int)
+        for i, at, ids, first in (r for r in met if r[1] // TILE == p):
+            gaps = np.sqrt((np.maximum(0, np.maximum(low[i] - high[others], low[others] - high[i])) ** 2).sum(1))
+            for (j, other_at, other_ids, second), gap in zip(seconds, gaps.tolist()):
+                if other_at <= at:
+                    continue
+                most = way(i, j, *tree)
+                if gap > max(top[i], top[j], most) * (1 + SLACK):
+                    continue
+                for w, a, b in between(*first, *second, most):
+                    a, b = ids[a], other_ids[b]
+                    out.append((w, np.minimum(a, b), np.maximum(a, b)))
+                    held += len(w)
+                    if held > BLOCK:  # so many edges of a tile are kept, and its forest
+                        out, held = _lightest(out), 0
+        w, a, b = _lightest(out)[0]
+        return pa.table([pa.array(w), pa.array(a), pa.array(b), pa.array(np.full(len(w), p), pa.int32()), pa.array(np.full(len(w), q), pa.int32())], ["w", "a", "b", "p", "q"])
 
     tiled = EDGE + ", p int, q int"
     dealt = tiles.repartition(max(1, min(side * (side + 1) // 2, MOST_TASKS)), "p", "q")
@@ -250,6 +415,9 @@ def edges(cored: DataFrame, width: int, k: int, of: int) -> DataFrame:
     while side > MOST_SIDE:
         side = -(-side // TILE)
         found = found.withColumns({c: (F.col(c) / TILE).cast("int") for c in "pq"}).groupBy("p", "q").applyInArrow(_in_forests, tiled)
+    found = cut(found)
+    if side > 1 and found.count() <= JOINED:
+        found = found.withColumns({c: F.lit(0) for c in "pq"}).groupBy("p", "q").applyInArrow(_in_forests, tiled)
     return found.select("w", "a", "b")
 
 

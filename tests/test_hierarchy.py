@@ -80,3 +80,40 @@ def test_sweep_is_that_of_single_runs(spark):
         sizes = np.bincount(labels[labels >= 0])
         assert got[method, size, samples] == (len(sizes), round(100 * (labels < 0).mean(), 6), round(100 * sizes.max() / len(labels), 6))
     assert len(density.SWEEP) == 16
+
+
+@pytest.mark.parametrize("kind", ["blobs", "grid"])
+def test_edges_of_many_leaves_are_one_tree(spark, kind):
+    points = blobs(900, 6) if kind == "blobs" else np.stack(np.meshgrid(range(10), range(10), range(8)), -1).reshape(-1, 3).astype(float)  # of equal weights
+    n = len(points)
+    cored = hierarchy.with_cores(hierarchy.packed_leaves(frame(spark, points), n, 3, 64), 3, 10)
+    near = {int(i): d for r in cored.collect() for i, d in zip(np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["near"], "<f8").reshape(-1, 10))}
+    for k in (5, 10):
+        w, a, b = hierarchy.spanning_tree(points, np.array([near[i][k - 1] for i in range(n)]), np.arange(n))
+        assert sorted(map(tuple, hierarchy.edges(cored, 3, 10, k).collect())) == sorted(zip(w.tolist(), np.minimum(a, b).tolist(), np.maximum(a, b).tolist()))
+
+
+def test_few_pairs_are_weighed():
+    rng = np.random.default_rng(4)
+    points = np.concatenate([c + 0.3 * rng.normal(size=(600, 3)) for c in ([0, 0, 0], [6, 0, 0], [0, 6, 0])] + [rng.uniform(-3, 9, size=(60, 3))])
+    core = _core(points, points, 5)
+    leaf = (points[:, 0] > np.median(points[:, 0])).astype(int)
+    parts, edges = [], []
+    for i in (0, 1):
+        ids = np.flatnonzero(leaf == i)
+        found, tree = hierarchy.grown(points[ids], core[ids], ids)
+        assert sorted(np.concatenate([at for at, _ in found])) == list(range(len(ids))) and 1 < len(found) <= hierarchy.PARTS
+        parts += [(i, ids[at], height) for at, height in found]
+        edges.append(tree)
+    roots = np.array([ids[0] for _, ids, _ in parts])
+    links = hierarchy.linked(points[roots], core[roots], {(i, j): hierarchy.passage(points[a], h, points[b], g) for i, (_, a, h) in enumerate(parts) for j, (_, b, g) in enumerate(parts) if i < j})
+    n_within = sum(len(w) for w, _, _ in edges)
+    for i, (of, a, h) in enumerate(parts):
+        for j, (other, b, g) in enumerate(parts):
+            if of < other:
+                edges += [(w, np.minimum(a[x], b[y]), np.maximum(a[x], b[y])) for w, x, y in hierarchy.between(points[a], core[a], h, points[b], core[b], g, hierarchy.way(i, j, *links))]
+    w, a, b = (np.concatenate(c) for c in zip(*edges))
+    kept = hierarchy.forest(w, a, b)
+    x, y, z = hierarchy.spanning_tree(points, core, np.arange(len(points)))
+    assert sorted(zip(w[kept], a[kept], b[kept])) == sorted(zip(x, np.minimum(y, z), np.maximum(y, z)))
+    assert len(w) - n_within < 0.1 * (leaf == 0).sum() * (leaf == 1).sum()
